@@ -10,7 +10,7 @@ URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 
 
 def first_label(domain: Column) -> Column:
-    return F.split_part(domain, F.lit("."), F.lit(1))
+    return F.substring_index(domain, ".", 1)
 
 
 def tail(domain: Column) -> Column:
@@ -28,10 +28,8 @@ def qualified(name: Column, tld: Column) -> Column:
 
 def reject_reason(domain: Column) -> Column:
     """Why a raw name cannot be split, or NULL when it can."""
-    return (
-        F.when(domain.isNull() | (domain == ""), F.lit("empty"))
-        .when(~domain.contains("."), F.lit("no_dot"))
-        .otherwise(F.lit(None).cast("string"))
+    return F.when(F.coalesce(domain, F.lit("")) == "", F.lit("empty")).when(
+        ~domain.contains("."), F.lit("no_dot")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapseflow.functions import names, responses
+from lapseflow.operators.ingest import DOMAIN_KEY
 
 BACKLOG_SIZE = 500
 
@@ -34,20 +35,25 @@ class Enricher:
         return backlog(domains, self.missing, size)
 
     def parse(self, landed: DataFrame) -> DataFrame:
-        """Every response with its domain id and parsed ``_result``."""
+        """Every response with its domain's key and parsed ``_result``."""
+        domain = F.lower("domain")
         usable = F.col("error").isNull()
-        return with_domain_id(landed).select(
-            "id", "fetched_at", "seq", F.when(usable, self.result(F.col("body"))).alias("_result")
+        return landed.select(
+            names.first_label(domain).alias("name"),
+            names.tail(domain).alias("tld"),
+            "fetched_at",
+            "seq",
+            F.when(usable, self.result(F.col("body"))).alias("_result"),
         )
 
     def updates(self, landed: DataFrame) -> DataFrame:
         """The usable answers only: a failed lookup changes nothing."""
         return self.parse(landed).where("_result IS NOT NULL").select(
-            "id", "fetched_at", "seq", "_result.*"
+            *DOMAIN_KEY, "fetched_at", "seq", "_result.*"
         )
 
     def failures(self, landed: DataFrame) -> DataFrame:
-        return self.parse(landed).where("_result IS NULL").select("id", "fetched_at", "seq")
+        return self.parse(landed).where("_result IS NULL").drop("_result")
 
     def apply(self, domains: DataFrame, landed: DataFrame, as_of: Column) -> DataFrame:
         return apply_enrichment(domains, self.updates(landed), self.columns, as_of)
@@ -69,12 +75,6 @@ REGISTRY = Enricher(
 ENRICHERS = {e.source: e for e in (RANK, WIKI, REGISTRY)}
 
 
-def with_domain_id(landed: DataFrame) -> DataFrame:
-    """Responses name their domain in full; the id comes from its two parts."""
-    domain = F.col("domain")
-    return landed.withColumn("id", names.domain_uuid(names.first_label(domain), names.tail(domain)))
-
-
 def unenriched(domains: DataFrame, missing: Sequence[str]) -> DataFrame:
     """Domains that lack any of the columns; NULL means "not looked up yet"."""
     return domains.where(" OR ".join(f"{c} IS NULL" for c in missing))
@@ -98,7 +98,8 @@ def backlog(domains: DataFrame, missing: Sequence[str], size: int = BACKLOG_SIZE
 def latest_update(updates: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One answer per domain: latest fetch, then highest ``seq``."""
     latest = F.max(F.struct("fetched_at", "seq", *columns)).alias("_latest")
-    return updates.groupBy("id").agg(latest).select("id", *[f"_latest.{c}" for c in columns])
+    grouped = updates.groupBy(*DOMAIN_KEY).agg(latest)
+    return grouped.select(*DOMAIN_KEY, *[f"_latest.{c}" for c in columns])
 
 
 def apply_enrichment(
@@ -109,10 +110,10 @@ def apply_enrichment(
     All other rows stay as they are; an update also touches ``updated_at``.
     """
     answers = latest_update(updates, columns).select(
-        "id", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns]
+        *DOMAIN_KEY, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns]
     )
     new = {c: F.col(f"_new_{c}") for c in columns} | {"updated_at": as_of}
-    return domains.join(answers, "id", "left").select(
+    return domains.join(answers, list(DOMAIN_KEY), "left").select(
         *[
             F.when(F.col("_hit"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
             for c in domains.columns
@@ -122,10 +123,10 @@ def apply_enrichment(
 
 def record_attempts(domains: DataFrame, attempted: DataFrame, as_of: Column) -> DataFrame:
     """Count failed lookups and when the last one was, leaving the values alone."""
-    tries = attempted.groupBy("id").agg(F.count("id").cast("int").alias("_tries"))
+    tries = attempted.groupBy(*DOMAIN_KEY).agg(F.count("name").cast("int").alias("_tries"))
     tried = F.col("_tries").isNotNull()
     return (
-        domains.join(tries, "id", "left")
+        domains.join(tries, list(DOMAIN_KEY), "left")
         .withColumns(
             {
                 "attempts": F.coalesce("attempts", F.lit(0)) + F.coalesce("_tries", F.lit(0)),

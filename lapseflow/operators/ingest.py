@@ -11,15 +11,19 @@ from lapseflow.functions import names
 from lapseflow.operators import dims
 
 
+# What a domain's id is computed from: joining on it equals joining on the id.
+DOMAIN_KEY = ("name", "tld")
+
+
 def first_wins(contract: DataFrame) -> DataFrame:
     """One row per name and tld: the one with the lowest ``seq``.
 
     A minimum over whole rows, so each map task already sends one row per
     domain it saw, however often that domain is listed.
     """
-    payload = [c for c in contract.columns if c not in ("name", "tld", "seq")]
+    payload = [c for c in contract.columns if c not in (*DOMAIN_KEY, "seq")]
     first = F.min(F.struct("seq", *payload)).alias("_first")
-    return contract.groupBy("name", "tld").agg(first).select("name", "tld", "_first.*")
+    return contract.groupBy(*DOMAIN_KEY).agg(first).select(*DOMAIN_KEY, "_first.*")
 
 
 def with_id(df: DataFrame) -> DataFrame:
@@ -43,17 +47,23 @@ def insert_new_domains(
 ) -> DataFrame:
     """The rows to append to ``target``: first of each new domain, in table layout.
 
-    Duplicates go first, so the anti-join and both dimension lookups see each
-    domain once and the anti-join's key is a hash spread evenly by nature.
+    Duplicates go first, so the anti-join and both lookups see each domain once.
+    Name and tld stand for the id they determine: the rows are partitioned by
+    them already, and only rows that stay get an id computed.
     """
-    fresh = with_id(first_wins(contract)).join(target.select("id"), "id", "left_anti")
+    fresh = not_stored(first_wins(contract), target)
     resolved = dims.resolve_ids(
         dims.resolve_ids(fresh, tld_dim, "tld", "tld_id"),
         registrar_dim,
         "registrar",
         "registrar_id",
     )
-    return to_domain_layout(stamp_created(resolved, as_of))
+    return to_domain_layout(stamp_created(with_id(resolved), as_of))
+
+
+def not_stored(firsts: DataFrame, target: DataFrame) -> DataFrame:
+    """Distinct domains that the target lacks."""
+    return firsts.join(target.select(*DOMAIN_KEY), list(DOMAIN_KEY), "left_anti")
 
 
 def to_domain_layout(df: DataFrame) -> DataFrame:

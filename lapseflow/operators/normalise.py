@@ -38,12 +38,15 @@ def split_domain(df: DataFrame, column: str = "domain_name", mode: str = "tail")
 
 
 def accepted(df: DataFrame, column: str = "domain_name") -> DataFrame:
-    return df.where(names.reject_reason(F.col(column)).isNull())
+    """The rows that can be split; a plain text test that reaches the scan."""
+    return df.where(F.col(column).contains("."))
 
 
 def rejects(df: DataFrame, column: str = "domain_name") -> DataFrame:
     """The rows that cannot be split, each with its reason."""
-    return df.withColumn("reason", names.reject_reason(F.col(column))).where("reason IS NOT NULL")
+    domain = F.col(column)
+    bad = df.where(domain.isNull() | ~domain.contains("."))
+    return bad.withColumn("reason", names.reject_reason(domain))
 
 
 def tag_registrar(df: DataFrame, registrar: str) -> DataFrame:

@@ -26,16 +26,14 @@ def term_search(
     wanted = F.array(
         *[F.struct(F.lit(t.lower()).alias("term"), trigrams(F.lit(t)).alias("grams")) for t in terms]
     )
-    grams = trigrams(F.col(label))
+    labels = names.select(F.col(label).alias("name"))
+    grams = trigrams(F.col("name"))
     scored = F.transform(
         wanted,
         lambda t: F.struct(t["term"].alias("term"), overlap(grams, t["grams"]).alias("similarity")),
     )
     hits = (
-        names.select(
-            F.col(label).alias("name"),
-            F.inline(F.filter(scored, lambda s: s["similarity"] >= threshold)),
-        )
+        labels.select("name", F.inline(F.filter(scored, lambda s: s["similarity"] >= threshold)))
         .distinct()
         .withColumn("distance", F.levenshtein("term", F.lower("name")))
     )

@@ -78,20 +78,23 @@ def scan_listing_select(x: Inputs) -> DataFrame:
     return auctions.select_listing_files(x.listing().select(name.alias("file_name")))
 
 
-def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        contents = []
-        for name, document in zip(batch["file_name"], batch["document"]):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(name.rsplit(".", 1)[0], document)
-            contents.append(buffer.getvalue())
-        yield pd.DataFrame({"file_name": batch["file_name"], "content": contents})
+def zipped(documents: DataFrame) -> DataFrame:
+    """Each document as an archive with one member."""
+
+    def archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, document in zip(batch["file_name"], batch["document"]):
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(name.rsplit(".", 1)[0], document)
+                yield pd.DataFrame({"file_name": [name], "content": [buffer.getvalue()]})
+
+    return documents.mapInPandas(archives, "file_name STRING, content BINARY")
 
 
 @query("scan_zip_json", _AUCTION)
 def scan_zip_json(x: Inputs) -> DataFrame:
-    archives = envelope_documents(x).mapInPandas(_zip, "file_name STRING, content BINARY")
+    archives = zipped(envelope_documents(x))
     return auction_columns(auctions.entries_of(auctions.unzip(archives)))
 
 

@@ -310,9 +310,9 @@ def domain_with_tld(x: Inputs) -> DataFrame:
 
 @query("insert_new_domains", f"""
     SELECT {uuid_sql("d.name || '.' || d.tld")} AS id, d.name, d.tld, t.id AS tld_id, r.id AS registrar_id,
-           d.seq IS NULL AS has_wiki, TIMESTAMP '{LOADED}' AS created_at, TIMESTAMP '{LOADED}' AS updated_at
+           TIMESTAMP '{LOADED}' AS created_at, TIMESTAMP '{LOADED}' AS updated_at
     FROM fx_domain d JOIN fx_tld t ON t.name = d.tld JOIN fx_registrar r ON r.name = d.registrar
-    WHERE (d.name, d.tld) NOT IN (SELECT (name, tld) FROM ({_KNOWN}) k)""".replace("d.seq IS NULL AS has_wiki, ", ""))
+    WHERE (d.name, d.tld) NOT IN (SELECT (name, tld) FROM ({_KNOWN}) k)""")
 def insert_new_domains(x: Inputs) -> DataFrame:
     """A whole load on top of the table as it stood before."""
     fresh = ingest.insert_new_domains(
@@ -327,7 +327,7 @@ def insert_new_domains(x: Inputs) -> DataFrame:
 
 def known_domains(x: Inputs) -> DataFrame:
     known = normalise.to_contract(x.known_listing(), "domain_name")
-    return ingest.with_id(ingest.first_wins(known))
+    return ingest.first_wins(known).select("name", "tld")
 
 
 @query("stamp_created", f"SELECT id, TIMESTAMP '{LOADED}' AS created_at, TIMESTAMP '{LOADED}' AS updated_at FROM fx_table")
@@ -343,8 +343,8 @@ def stamp_created(x: Inputs) -> DataFrame:
          (SELECT count(*) AS n FROM fx_listing WHERE domain_name NOT LIKE '%.%') p""")
 def ingest_delta(x: Inputs) -> DataFrame:
     before = known_domains(x)
-    fresh = ingest.with_id(ingest.first_wins(normalise.to_contract(x.listing(), "domain_name")))
-    added = fresh.join(before.select("id"), "id", "left_anti")
+    batch = ingest.first_wins(normalise.to_contract(x.listing(), "domain_name"))
+    added = ingest.not_stored(batch, before)
     return ingest.ingest_delta(before, added, normalise.rejects(x.listing()))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lapseflow.operators import dims, ingest, normalise
 from lapseflow.operators.enrich import ENRICHERS
+from lapseflow.session import stored
 
 # Listings that ended before this day make up the table as it stood before the load.
 KNOWN_BEFORE = "1996-01-01 00:00:00"
@@ -29,6 +30,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._dims: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -126,15 +128,21 @@ class Inputs:
 
     # Dimensions and the domain table
 
+    def dim(self, column: str) -> DataFrame:
+        """A dimension grown from all listings, stored as one is between loads."""
+        if column not in self._dims:
+            rows = self.contract().select(column)
+            grown = dims.grow_dimension(
+                dims.empty_dimension(self.spark), rows, column, moment(LOADED)
+            )
+            self._dims[column] = stored(grown, f"{column}-dim")
+        return self._dims[column]
+
     def tld_dim(self) -> DataFrame:
-        return dims.grow_dimension(
-            dims.empty_dimension(self.spark), self.contract(), "tld", moment(LOADED)
-        )
+        return self.dim("tld")
 
     def registrar_dim(self) -> DataFrame:
-        return dims.grow_dimension(
-            dims.empty_dimension(self.spark), self.contract(), "registrar", moment(LOADED)
-        )
+        return self.dim("registrar")
 
     def domain_table(self) -> DataFrame:
         """The domain table right after loading, each row dated by its first listing."""

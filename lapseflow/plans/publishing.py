@@ -130,7 +130,7 @@ def api_result_shape(x: Inputs) -> DataFrame:
 
 TERMS = ("bluebolt", "ring", "tacos", "steelgear")
 
-_GRAMS = "list_distinct(list_transform(range(1, length({0}) + 2), i -> substr('  ' || {0} || ' ', CAST(i AS INTEGER), 3)))"
+_GRAMS = "list_distinct(list_transform(range(1, length({0}) + 2), lambda i: substr('  ' || {0} || ' ', CAST(i AS INTEGER), 3)))"
 
 
 @query("term_search", f"""

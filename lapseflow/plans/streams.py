@@ -17,9 +17,8 @@ from lapseflow.streaming import loops
 
 def table_stream(x: Inputs, name: str) -> DataFrame:
     """One of the given tables as a file stream."""
-    layout = x.table(name).schema.simpleString()
-    inner = layout[len("struct<") : -1]
-    return loops.file_stream(x.spark, x.folder, inner, pathGlobFilter=f"{name}.parquet")
+    layout = x.table(name).schema
+    return loops.file_stream(x.spark, x.folder, layout, pathGlobFilter=f"{name}.parquet")
 
 
 def loaded_root(x: Inputs, rounds: int) -> str:

@@ -1,4 +1,4 @@
-"""The stored domain table: Parquet in buckets of the id, rewritten bucket by bucket."""
+"""The stored domain table: Parquet in hash buckets, rewritten bucket by bucket."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapseflow import schemas
+from lapseflow.operators.ingest import DOMAIN_KEY
 from lapseflow.session import shared_folder
 
 # Bucket count of a small table; a large one takes as many as give files of about 1 GB.
@@ -16,7 +17,7 @@ _LAYOUT = f"{schemas.DOMAIN}, bucket INT"
 
 
 def bucket_of(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*DOMAIN_KEY), F.lit(buckets)).cast("int")
 
 
 def read_domains(spark: SparkSession, path: str) -> DataFrame:
@@ -38,12 +39,12 @@ def _is_complete(spark: SparkSession, path: str) -> bool:
 def rewrite_touched(
     spark: SparkSession,
     path: str,
-    ids: DataFrame,
+    keys: DataFrame,
     change: Callable[[DataFrame], DataFrame],
     run: str,
     buckets: int = BUCKETS,
 ) -> None:
-    """Publish ``change`` to the buckets that hold ``ids``; the others are not read.
+    """Publish ``change`` to the buckets that hold ``keys``; the others are not read.
 
     The new buckets are staged whole in the shared folder before they replace
     the old ones, under the name of the run. If a run dies while replacing, the
@@ -54,7 +55,7 @@ def rewrite_touched(
     if not _is_complete(spark, staged):
         # Control data only: at most one small integer per bucket.
         touched = [
-            row.bucket for row in ids.select(bucket_of(buckets).alias("bucket")).distinct().collect()
+            row.bucket for row in keys.select(bucket_of(buckets).alias("bucket")).distinct().collect()
         ]
         if not touched:
             return

@@ -48,19 +48,21 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
     return select_listing_files(files.select("path", name.alias("file_name"), "content"))
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        texts = []
-        for name, content in zip(batch["file_name"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                texts.append(archive.read(name.rsplit(".", 1)[0]).decode("utf-8"))
-        yield pd.DataFrame({"file_name": batch["file_name"], "document": texts})
+def unzip(files: DataFrame) -> DataFrame:
+    """Text of the one member of each archive, which bears its name less the last suffix.
+
+    One archive is unpacked at a time; a task holds one text, not all of its texts.
+    """
 
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, content in zip(batch["file_name"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    text = archive.read(name.rsplit(".", 1)[0]).decode("utf-8")
+                yield pd.DataFrame({"file_name": [name], "document": [text]})
 
-def unzip(files: DataFrame) -> DataFrame:
-    """Text of the one member of each archive, which bears its name less the last suffix."""
     return files.select("file_name", "content").mapInPandas(
-        _unzip, "file_name STRING, document STRING"
+        members, "file_name STRING, document STRING"
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from lapseflow import schemas
 from lapseflow.operators import dims, ingest
@@ -17,7 +18,7 @@ FILES_PER_PASS = 5
 def file_stream(
     spark: SparkSession,
     path: str,
-    layout: str,
+    layout: str | StructType,
     kind: str = "parquet",
     files_per_pass: int = FILES_PER_PASS,
     **options: str,
@@ -58,8 +59,7 @@ def stream_listing_ingest(
 ) -> StreamingQuery:
     """Load every pending listing of a stream into the tables below ``root``.
 
-    A batch that runs again adds nothing: a domain's id follows from its name,
-    and ids already stored are skipped.
+    A batch that runs again adds nothing: domains already stored are skipped.
     """
 
     def step(batch: DataFrame, _: int) -> None:
@@ -93,7 +93,7 @@ def stream_enrichment_apply(
             enriched = apply_enrichment(current, updates, enricher.columns, as_of)
             return record_attempts(enriched, failures, as_of)
 
-        ids = updates.select("id").unionAll(failures.select("id"))
-        table.rewrite_touched(batch.sparkSession, path, ids, change, f"{name}-{number}", buckets)
+        keys = enricher.parse(batch).select("name", "tld")
+        table.rewrite_touched(batch.sparkSession, path, keys, change, f"{name}-{number}", buckets)
 
     return _run_available(landed, name, step)
