@@ -32,14 +32,14 @@ def capture_count(body: Column) -> Column:
     return F.length(body) - F.length(F.replace(body, F.lit(","), F.lit("")))
 
 
-def _date_fields(body: Column) -> Column:
-    return F.from_json(body, "creation_date STRING, expiration_date STRING")
+def _date(body: Column, key: str) -> Column:
+    """A registry date is one text or a list of texts (then the first counts)."""
+    first = F.get_json_object(body, f"$.{key}[0]")
+    return F.coalesce(first, F.get_json_object(body, f"$.{key}")).try_cast("timestamp_ntz")
 
 
-def _first_date(field: Column) -> Column:
-    """A registry date is one text or a list of texts (then the first counts)."""
-    listed = F.get(F.from_json(field, "ARRAY<STRING>"), F.lit(0))
-    return F.when(field.startswith("["), listed).otherwise(field).try_cast("timestamp_ntz")
+def _is_empty_list(body: Column, key: str) -> Column:
+    return F.coalesce(F.get_json_object(body, f"$.{key}") == "[]", F.lit(False))
 
 
 def registry_dates(body: Column) -> Column:
@@ -48,16 +48,12 @@ def registry_dates(body: Column) -> Column:
     No record, an empty record, malformed text and an empty date list give no
     update; a record whose dates are null does update, to NULL.
     """
-    fields = _date_fields(body)
-    created, expires = fields["creation_date"], fields["expiration_date"]
     has_record = F.coalesce(F.size(F.json_object_keys(body)) > 0, F.lit(False))
-    empty_list = F.coalesce(
-        F.json_array_length(created) == 0, F.lit(False)
-    ) | F.coalesce(F.json_array_length(expires) == 0, F.lit(False))
+    empty_list = _is_empty_list(body, "creation_date") | _is_empty_list(body, "expiration_date")
     return F.when(
         has_record & ~empty_list,
         F.struct(
-            _first_date(created).alias("registered"),
-            _first_date(expires).alias("expired"),
+            _date(body, "creation_date").alias("registered"),
+            _date(body, "expiration_date").alias("expired"),
         ),
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +20,9 @@ BACKLOG_SIZE = 500
 class Enricher:
     """One kind of lookup, as DataFrame-in, DataFrame-out steps.
 
-    ``missing`` are the columns whose NULL puts a domain on the backlog,
-    ``columns`` the ones an answer sets, and ``result`` reads a body into a
-    struct of exactly those columns, or NULL when the body is not usable.
+    ``missing`` are the columns whose NULL puts a domain on the backlog and
+    ``columns`` the ones an answer sets. ``result`` reads a body into the value
+    of the column, or a struct when there are several; NULL means not usable.
     """
 
     source: str
@@ -35,40 +37,34 @@ class Enricher:
         return backlog(domains, self.missing, size)
 
     def parse(self, landed: DataFrame) -> DataFrame:
-        """Every response with its domain's key and parsed ``_result``."""
-        domain = F.lower("domain")
-        usable = F.col("error").isNull()
-        return landed.select(
-            names.first_label(domain).alias("name"),
-            names.tail(domain).alias("tld"),
-            "fetched_at",
-            "seq",
-            F.when(usable, self.result(F.col("body"))).alias("_result"),
+        """This source's responses with their domain's key and parsed ``_result``."""
+        own = landed.where(F.col("source") == self.source)
+        return own.select(
+            *_domain_key(), "fetched_at", "seq", self.answer().alias("_result")
         )
 
-    def updates(self, landed: DataFrame) -> DataFrame:
-        """The usable answers only: a failed lookup changes nothing."""
-        return self.parse(landed).where("_result IS NOT NULL").select(
-            *DOMAIN_KEY, "fetched_at", "seq", "_result.*"
-        )
+    def value(self, answer: Column, column: str) -> Column:
+        return answer if len(self.columns) == 1 else answer[column]
 
-    def failures(self, landed: DataFrame) -> DataFrame:
-        return self.parse(landed).where("_result IS NULL").drop("_result")
+    def answer(self) -> Column:
+        """The parsed body of a row of this source, NULL for any other or failed one."""
+        mine = (F.col("source") == self.source) & F.col("error").isNull()
+        return F.when(mine, self.result(F.col("body")))
 
-    def apply(self, domains: DataFrame, landed: DataFrame, as_of: Column) -> DataFrame:
-        return apply_enrichment(domains, self.updates(landed), self.columns, as_of)
+    def updates(self, landed: DataFrame) -> DataFrame:
+        """The usable answers only: a failed lookup changes nothing."""
+        values = [self.value(F.col("_result"), c).alias(c) for c in self.columns]
+        usable = self.parse(landed).where("_result IS NOT NULL")
+        return usable.select(*DOMAIN_KEY, "fetched_at", "seq", *values)
 
 
-def _named(value: Column, name: str) -> Column:
-    return F.when(value.isNotNull(), F.struct(value.alias(name)))
+def _domain_key() -> list[Column]:
+    domain = F.lower("domain")
+    return [names.first_label(domain).alias("name"), names.tail(domain).alias("tld")]
 
 
-RANK = Enricher(
-    "alexa", ("alexa_score",), ("alexa_score",), lambda body: _named(responses.rank(body), "alexa_score")
-)
-WIKI = Enricher(
-    "wiki", ("has_wiki",), ("has_wiki",), lambda body: _named(responses.has_titles(body), "has_wiki")
-)
+RANK = Enricher("alexa", ("alexa_score",), ("alexa_score",), responses.rank)
+WIKI = Enricher("wiki", ("has_wiki",), ("has_wiki",), responses.has_titles)
 REGISTRY = Enricher(
     "whois", ("registered", "expired"), ("registered", "expired"), responses.registry_dates
 )
@@ -95,64 +91,72 @@ def backlog(domains: DataFrame, missing: Sequence[str], size: int = BACKLOG_SIZE
     )
 
 
-def latest_update(updates: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One answer per domain: latest fetch, then highest ``seq``."""
-    latest = F.max(F.struct("fetched_at", "seq", *columns)).alias("_latest")
-    grouped = updates.groupBy(*DOMAIN_KEY).agg(latest)
-    return grouped.select(*DOMAIN_KEY, *[f"_latest.{c}" for c in columns])
+def latest_answers(landed: DataFrame, enrichers: Sequence[Enricher]) -> DataFrame:
+    """One row per domain: each source's latest usable answer, and the failed lookups.
 
+    One pass over the landed responses for all sources. The latest fetch wins,
+    then the highest ``seq``; a maximum over structs, so each map task sends
+    one row per domain however many responses a domain has.
+    """
+    own = landed.where(F.col("source").isin([e.source for e in enrichers]))
+    parsed = own.select(
+        *_domain_key(), "fetched_at", "seq", *[e.answer().alias(e.source) for e in enrichers]
+    )
 
-def apply_enrichment(
-    domains: DataFrame, updates: DataFrame, columns: Sequence[str], as_of: Column
+    def latest(source: str) -> Column:
+        answer = F.struct("fetched_at", "seq", F.col(source).alias("answer"))
+        return F.max(F.when(F.col(source).isNotNull(), answer))["answer"].alias(source)
+
+    usable = reduce(or_, (F.col(e.source).isNotNull() for e in enrichers))
+    return parsed.groupBy(*DOMAIN_KEY).agg(
+        *[latest(e.source) for e in enrichers], F.count_if(~usable).cast("int").alias("_failed")
+    )
+
+
+def apply_answers(
+    domains: DataFrame, answers: DataFrame, enrichers: Sequence[Enricher], as_of: Column
 ) -> DataFrame:
-    """Overwrite ``columns`` of every domain that has an answer, with NULLs too.
+    """Overwrite the columns of every answered domain, with NULLs too.
 
-    All other rows stay as they are; an update also touches ``updated_at``.
+    Everything else stays as it is. An answer touches ``updated_at``; a failed
+    lookup only counts as an attempt.
     """
-    answers = latest_update(updates, columns).select(
-        *DOMAIN_KEY, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns]
+    hits = {e.source: F.col(f"_answers.{e.source}").isNotNull() for e in enrichers}
+    new = {
+        c: F.when(hits[e.source], e.value(F.col(f"_answers.{e.source}"), c)).otherwise(F.col(c))
+        for e in enrichers
+        for c in e.columns
+    }
+    failed = F.coalesce("_answers._failed", F.lit(0))
+    new["updated_at"] = F.when(reduce(or_, hits.values()), as_of).otherwise(F.col("updated_at"))
+    new["attempts"] = F.coalesce("attempts", F.lit(0)) + failed
+    new["last_attempt"] = F.when(failed > 0, as_of).otherwise(F.col("last_attempt"))
+    packed = answers.select(
+        *DOMAIN_KEY, F.struct("_failed", *[e.source for e in enrichers]).alias("_answers")
     )
-    new = {c: F.col(f"_new_{c}") for c in columns} | {"updated_at": as_of}
-    return domains.join(answers, list(DOMAIN_KEY), "left").select(
-        *[
-            F.when(F.col("_hit"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
-            for c in domains.columns
-        ]
+    return domains.join(packed, list(DOMAIN_KEY), "left").select(
+        *[new[c].alias(c) if c in new else F.col(c) for c in domains.columns]
     )
 
 
-def record_attempts(domains: DataFrame, attempted: DataFrame, as_of: Column) -> DataFrame:
-    """Count failed lookups and when the last one was, leaving the values alone."""
-    tries = attempted.groupBy(*DOMAIN_KEY).agg(F.count("name").cast("int").alias("_tries"))
-    tried = F.col("_tries").isNotNull()
-    return (
-        domains.join(tries, list(DOMAIN_KEY), "left")
-        .withColumns(
-            {
-                "attempts": F.coalesce("attempts", F.lit(0)) + F.coalesce("_tries", F.lit(0)),
-                "last_attempt": F.when(tried, as_of).otherwise(F.col("last_attempt")),
-            }
-        )
-        .select(domains.columns)
-    )
+def apply_enrichment(
+    domains: DataFrame, landed: DataFrame, enrichers: Sequence[Enricher], as_of: Column
+) -> DataFrame:
+    """Bring landed responses of any of the sources into the domain table."""
+    return apply_answers(domains, latest_answers(landed, enrichers), enrichers, as_of)
 
 
 def response_counts(landed: DataFrame, enrichers: Sequence[Enricher]) -> DataFrame:
     """Responses, usable answers and failures by source, in one pass over the landed rows."""
-    usable = None
-    for e in enrichers:
-        ok = e.result(F.col("body")).isNotNull()
-        usable = F.when(F.col("source") == e.source, ok) if usable is None else usable.when(
-            F.col("source") == e.source, ok
-        )
-    usable = F.col("error").isNull() & usable
+    own = landed.where(F.col("source").isin([e.source for e in enrichers]))
+    usable = reduce(or_, (e.answer().isNotNull() for e in enrichers))
     return (
-        landed.where(F.col("source").isin([e.source for e in enrichers]))
+        own.select("source", usable.alias("usable"))
         .groupBy("source")
         .agg(
             F.count("source").alias("responses"),
-            F.count_if(usable).alias("answers"),
-            F.count_if(~F.coalesce(usable, F.lit(False))).alias("failures"),
+            F.count_if("usable").alias("answers"),
+            F.count_if(~F.col("usable")).alias("failures"),
         )
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 48 * 1024 * 1024
 
-# Frequent-item sketch: entries per partial state, keys reported, merge fan-in.
+# Frequent-item sketch: entries kept, keys reported, groups the tasks are merged in.
 SKETCH_ENTRIES = 4096
 HOT_KEYS = 512
 SKETCH_GROUPS = 256
@@ -38,32 +38,33 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int = HOT_ROWS) -> list[tuple[int, int]]:
-    """``(key hash, parts)`` of the keys above twice a partition's fair share.
+    """``(key hash, parts)`` of the keys above a partition's fair share.
 
-    One pass over the key columns with a frequent-item sketch, merged in two
-    levels; at most HOT_KEYS pairs come back. It only decides how rows are laid
-    out: a key it misses or adds changes no result.
+    One pass over the key columns: a frequent-item sketch per group of tasks,
+    whose few top keys are then added up; at most HOT_KEYS pairs come back. It
+    only decides how rows are laid out: a key it misses or adds changes no result.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = df.select(
         F.xxhash64(*on).alias("key"),
         F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"),
     )
-    states = hashed.groupBy("part").agg(
-        F.expr(f"approx_top_k_accumulate(key, {SKETCH_ENTRIES})").alias("state"),
+    sketched = hashed.groupBy("part").agg(
+        F.expr(f"approx_top_k(key, {HOT_KEYS}, {SKETCH_ENTRIES})").alias("top"),
         F.count("key").alias("n"),
     )
-    merged = states.agg(
-        F.expr(f"approx_top_k_combine(state, {SKETCH_ENTRIES})").alias("state"),
-        F.sum("n").alias("n"),
-    ).where("n > 0")
-    top = merged.select("n", F.expr(f"inline(approx_top_k_estimate(state, {HOT_KEYS}))"))
-    found = []
-    for total, key, count in top.collect():
-        fair = max(total / partitions, 1.0)
-        if count >= min_rows and count > 2 * fair:
-            found.append((key, min(MAX_PARTS, int(count / fair) + 1)))
-    return found
+    # The entry without a key carries the row count of its group.
+    entries = sketched.selectExpr(
+        "inline(concat(top, array(named_struct('item', CAST(NULL AS BIGINT), 'count', n))))"
+    )
+    counts = entries.groupBy("item").agg(F.sum("count").alias("n"))
+    top = {r["item"]: r["n"] for r in counts.orderBy(F.desc("n")).limit(HOT_KEYS + 1).collect()}
+    fair = max(top.pop(None, 0) / partitions, 1.0)
+    return [
+        (key, min(MAX_PARTS, int(count / fair) + 1))
+        for key, count in top.items()
+        if count >= min_rows and count > fair
+    ]
 
 
 def spread_join(

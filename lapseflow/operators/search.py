@@ -2,39 +2,55 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lapseflow.functions.text import overlap, trigrams
+from lapseflow.functions.text import trigrams
 
 SIMILAR = 0.3
 PAGE_LIMIT = (1, 499)
 
 
+def _grams_of(term: str) -> list[str]:
+    padded = f"  {term.lower()} "
+    return sorted({padded[i : i + 3] for i in range(len(padded) - 2)})
+
+
 def term_search(
     names: DataFrame, terms: Sequence[str], top: int = 10, threshold: float = SIMILAR, label: str = "name"
 ) -> DataFrame:
     """Labels that look like each search term, best first.
 
-    A label is compared with the terms inside its own row and only matches
-    leave it, so the names are read once and nothing but matches is shuffled.
+    A term's triples that occur in the padded label are exactly those the two
+    share, so plain text tests inside the label's own row count them. A label
+    sharing less than ``threshold`` of the term's triples cannot reach it, and
+    only the others get their own triples computed: names are read once and
+    nothing but near matches is paired with a term or leaves its row.
     Ties in similarity go to the smaller edit distance, then to the label.
     """
-    wanted = F.array(
-        *[F.struct(F.lit(t.lower()).alias("term"), trigrams(F.lit(t)).alias("grams")) for t in terms]
-    )
-    labels = names.select(F.col(label).alias("name"))
-    grams = trigrams(F.col("name"))
-    scored = F.transform(
-        wanted,
-        lambda t: F.struct(t["term"].alias("term"), overlap(grams, t["grams"]).alias("similarity")),
-    )
+    padded = F.concat(F.lit("  "), F.lower("name"), F.lit(" "))
+    near = []
+    for term in terms:
+        grams = _grams_of(term)
+        shared = reduce(add, (padded.contains(g).cast("int") for g in grams))
+        hit = F.struct(
+            F.lit(term.lower()).alias("term"),
+            shared.alias("shared"),
+            F.lit(len(grams)).alias("size"),
+        )
+        near.append(F.when(shared >= math.ceil(threshold * len(grams) - 1e-9), hit))
+    labels = names.select(F.col(label).alias("name")).distinct()
+    pairs = labels.select("name", F.inline(F.array_compact(F.array(*near))))
+    union = F.size(trigrams(F.col("name"))) + F.col("size") - F.col("shared")
     hits = (
-        labels.select("name", F.inline(F.filter(scored, lambda s: s["similarity"] >= threshold)))
-        .distinct()
+        pairs.select("name", "term", (F.col("shared") / union).alias("similarity"))
+        .where(F.col("similarity") >= threshold)
         .withColumn("distance", F.levenshtein("term", F.lower("name")))
     )
     best = W.partitionBy("term").orderBy(F.desc("similarity"), "distance", "name")

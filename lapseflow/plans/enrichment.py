@@ -46,8 +46,7 @@ def archive_count(x: Inputs) -> DataFrame:
 
 @query("parse_whois", "SELECT seq, CAST(created_text AS TIMESTAMP) AS registered, CAST(expires_text AS TIMESTAMP) AS expired FROM fx_parsed WHERE usable")
 def parse_whois(x: Inputs) -> DataFrame:
-    landed = x.responses("whois")
-    return ENRICHERS["whois"].updates(landed).select("seq", "registered", "expired")
+    return ENRICHERS["whois"].updates(x.responses()).select("seq", "registered", "expired")
 
 
 @query("skip_failed", """
@@ -72,12 +71,12 @@ def _register_backlogs() -> None:
         enricher = ENRICHERS[source]
 
         def build(x: Inputs, enricher=enricher) -> DataFrame:
-            return enricher.backlog(stored(x.enriched(), "enriched"))
+            return enricher.backlog(x.enriched())
 
         query(
             f"backlog_{source}",
-            f"SELECT id, name, tld, updated_at AS touched_at FROM fx_enriched WHERE {test} "
-            "ORDER BY updated_at NULLS LAST, id LIMIT 500",
+            f"SELECT id, name, tld, greatest(updated_at, last_attempt) AS touched_at FROM fx_enriched "
+            f"WHERE {test} ORDER BY touched_at NULLS LAST, id LIMIT 500",
         )(build)
 
 
@@ -93,7 +92,8 @@ def apply_enrichment(x: Inputs) -> DataFrame:
 
 @query("touch_updated_at", f"SELECT t.id, CASE WHEN w.id IS NULL THEN t.updated_at ELSE TIMESTAMP '{ENRICHED}' END AS updated_at FROM fx_table t LEFT JOIN fx_new_wiki w ON w.id = t.id")
 def touch_updated_at(x: Inputs) -> DataFrame:
-    table = ENRICHERS["wiki"].apply(x.domain_table(), x.responses("wiki"), moment(ENRICHED))
+    wiki = [ENRICHERS["wiki"]]
+    table = enrich.apply_enrichment(x.domain_table(), x.responses(), wiki, moment(ENRICHED))
     return table.select("id", "updated_at")
 
 
@@ -103,8 +103,8 @@ def touch_updated_at(x: Inputs) -> DataFrame:
     FROM fx_table t LEFT JOIN (SELECT id, count(*) AS n FROM fx_parsed WHERE score IS NULL GROUP BY id) f
     ON f.id = t.id""")
 def record_attempts(x: Inputs) -> DataFrame:
-    failed = ENRICHERS["alexa"].failures(x.responses("alexa"))
-    table = enrich.record_attempts(x.domain_table(), failed, moment(ENRICHED))
+    rank = [ENRICHERS["alexa"]]
+    table = enrich.apply_enrichment(x.domain_table(), x.responses(), rank, moment(ENRICHED))
     return table.select("id", "attempts", "last_attempt")
 
 
@@ -113,13 +113,13 @@ def update_domains(x: Inputs) -> DataFrame:
     """A new version of the stored table: only the buckets with answers are rewritten."""
     path = scratch_path(x.spark, "domain")
     domain_table.append_domains(x.domain_table(), path)
-    rank = ENRICHERS["alexa"]
-    updates = stored(rank.updates(x.responses("alexa")), "updates")
+    rank = [ENRICHERS["alexa"]]
+    answers = stored(enrich.latest_answers(x.responses(), rank), "answers")
     domain_table.rewrite_touched(
         x.spark,
         path,
-        updates,
-        lambda rows: enrich.apply_enrichment(rows, updates, rank.columns, moment(ENRICHED)),
+        answers,
+        lambda rows: enrich.apply_answers(rows, answers, rank, moment(ENRICHED)),
         run=path.rsplit("/", 1)[-1],
     )
     return domain_table.read_domains(x.spark, path).select("id", "name", "tld", "alexa_score")

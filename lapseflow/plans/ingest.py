@@ -12,7 +12,6 @@ from lapseflow.plans.inputs import KNOWN_BEFORE, LOADED, Inputs, moment
 from lapseflow.plans.registry import query
 from lapseflow.plans.views import uuid_sql
 from lapseflow.schemas import MARKET_COLUMNS, MARKET_EXTRA
-from lapseflow.session import stored
 from lapseflow.sources import tables
 
 # Splitting, rejecting, folding
@@ -316,7 +315,7 @@ def domain_with_tld(x: Inputs) -> DataFrame:
 def insert_new_domains(x: Inputs) -> DataFrame:
     """A whole load on top of the table as it stood before."""
     fresh = ingest.insert_new_domains(
-        normalise.to_contract(x.listing(), "domain_name"),
+        x.staged().drop("auction_end", "price"),
         known_domains(x),
         x.tld_dim(),
         x.registrar_dim(),
@@ -326,7 +325,7 @@ def insert_new_domains(x: Inputs) -> DataFrame:
 
 
 def known_domains(x: Inputs) -> DataFrame:
-    known = normalise.to_contract(x.known_listing(), "domain_name")
+    known = x.staged().where(F.col("auction_end") < moment(KNOWN_BEFORE))
     return ingest.first_wins(known).select("name", "tld")
 
 
@@ -343,7 +342,7 @@ def stamp_created(x: Inputs) -> DataFrame:
          (SELECT count(*) AS n FROM fx_listing WHERE domain_name NOT LIKE '%.%') p""")
 def ingest_delta(x: Inputs) -> DataFrame:
     before = known_domains(x)
-    batch = ingest.first_wins(normalise.to_contract(x.listing(), "domain_name"))
+    batch = ingest.first_wins(x.staged())
     added = ingest.not_stored(batch, before)
     return ingest.ingest_delta(before, added, normalise.rejects(x.listing()))
 
@@ -428,8 +427,7 @@ def _register_unenriched() -> None:
         enricher = ENRICHERS[source]
 
         def build(x: Inputs, enricher=enricher) -> DataFrame:
-            table = stored(x.enriched(), "enriched")
-            return unenriched(table, enricher.missing).select("id", "name", "tld")
+            return unenriched(x.enriched(), enricher.missing).select("id", "name", "tld")
 
         query(f"filter_unenriched_{source}", f"SELECT id, name, tld FROM fx_enriched WHERE {test}")(build)
 

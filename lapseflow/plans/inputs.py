@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapseflow.operators import dims, ingest, normalise
-from lapseflow.operators.enrich import ENRICHERS
+from lapseflow.operators.enrich import ENRICHERS, apply_enrichment
 from lapseflow.session import stored
 
 # Listings that ended before this day make up the table as it stood before the load.
@@ -30,10 +30,13 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self._dims: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # Listings
 
@@ -61,9 +64,6 @@ class Inputs:
     def listing(self) -> DataFrame:
         return self.listings_of(self.table("orders"))
 
-    def known_listing(self) -> DataFrame:
-        return self.listing().where(F.col("auction_end") < moment(KNOWN_BEFORE))
-
     def attributes(self) -> DataFrame:
         """Attribute text of each listing, as the auction feed writes it."""
         orders = self.table("orders")
@@ -88,20 +88,22 @@ class Inputs:
         rows = normalise.split_domain(normalise.accepted(self.listing()))
         return normalise.lower_keys(rows).drop("domain_name")
 
-    def contract(self) -> DataFrame:
-        return normalise.to_contract(self.listing(), "domain_name", keep=("auction_end",))
+    def staged(self) -> DataFrame:
+        """All listings in the contract's columns, staged once as a load does it."""
+        if "staged" not in self._stored:
+            rows = normalise.to_contract(
+                self.listing(), "domain_name", keep=("auction_end", "price")
+            )
+            self._stored["staged"] = stored(rows, "staged")
+        return self._stored["staged"]
 
     def domains(self) -> DataFrame:
         """First listing of each domain: name, tld, seq, registrar."""
-        return ingest.first_wins(
-            normalise.to_contract(self.listing(), "domain_name").select(
-                "seq", "name", "tld", "registrar"
-            )
-        )
+        return ingest.first_wins(self.staged().select("seq", "name", "tld", "registrar"))
 
     def registry(self) -> DataFrame:
         """Which names are registered, and since when."""
-        return self.norm().groupBy("name", "tld").agg(F.min("auction_end").alias("created"))
+        return self.staged().groupBy("name", "tld").agg(F.min("auction_end").alias("created"))
 
     def dated(self) -> DataFrame:
         """Domains with registration and expiry dates."""
@@ -130,13 +132,11 @@ class Inputs:
 
     def dim(self, column: str) -> DataFrame:
         """A dimension grown from all listings, stored as one is between loads."""
-        if column not in self._dims:
-            rows = self.contract().select(column)
-            grown = dims.grow_dimension(
-                dims.empty_dimension(self.spark), rows, column, moment(LOADED)
-            )
-            self._dims[column] = stored(grown, f"{column}-dim")
-        return self._dims[column]
+        if column not in self._stored:
+            none = dims.empty_dimension(self.spark)
+            grown = dims.grow_dimension(none, self.staged(), column, moment(LOADED))
+            self._stored[column] = stored(grown, f"{column}-dim")
+        return self._stored[column]
 
     def tld_dim(self) -> DataFrame:
         return self.dim("tld")
@@ -147,7 +147,7 @@ class Inputs:
     def domain_table(self) -> DataFrame:
         """The domain table right after loading, each row dated by its first listing."""
         return ingest.insert_new_domains(
-            self.contract(),
+            self.staged().drop("price"),
             ingest.empty_domains(self.spark),
             self.tld_dim(),
             self.registrar_dim(),
@@ -216,19 +216,18 @@ class Inputs:
             ]
         )
         answers = bodies.select("seq", "fetched_at", F.inline(sources))
-        names = self.norm().select("seq", F.concat_ws(".", "name", "tld").alias("domain"))
+        names = self.staged().select("seq", F.concat_ws(".", "name", "tld").alias("domain"))
         failed = (F.col("source") == "alexa") & F.col("body").isNull()
         return answers.join(names, "seq").select(
             "domain", "source", "body", "fetched_at", F.when(failed, "timeout").alias("error"), "seq"
         )
 
-    def responses(self, source: str | None = None) -> DataFrame:
-        rows = self.responses_of(self.bodies())
-        return rows if source is None else rows.where(F.col("source") == source)
+    def responses(self) -> DataFrame:
+        return self.responses_of(self.bodies())
 
     def enriched(self) -> DataFrame:
         """The domain table after one round of each lookup."""
-        df = self.domain_table()
-        for source, enricher in ENRICHERS.items():
-            df = enricher.apply(df, self.responses(source), moment(ENRICHED))
-        return df
+        sources = list(ENRICHERS.values())
+        return apply_enrichment(
+            self.domain_table(), self.responses(), sources, moment(ENRICHED)
+        )

@@ -132,7 +132,10 @@ VIEWS: dict[str, str] = {
         SELECT t.id, t.name, t.tld, t.tld_id, t.registrar_id, r.score AS alexa_score, w.has_wiki,
                d.registered, d.expired,
                CASE WHEN r.id IS NOT NULL OR w.id IS NOT NULL OR d.id IS NOT NULL
-                    THEN TIMESTAMP '1999-02-01 00:00:00' ELSE t.updated_at END AS updated_at
+                    THEN TIMESTAMP '1999-02-01 00:00:00' ELSE t.updated_at END AS updated_at,
+               CASE WHEN t.id IN (SELECT id FROM fx_parsed
+                                  WHERE score IS NULL OR has_wiki IS NULL OR NOT usable)
+                    THEN TIMESTAMP '1999-02-01 00:00:00' END AS last_attempt
         FROM fx_table t LEFT JOIN fx_new_rank r ON r.id = t.id
         LEFT JOIN fx_new_wiki w ON w.id = t.id LEFT JOIN fx_new_dates d ON d.id = t.id""",
 }

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from lapseflow import schemas
 from lapseflow.operators import dims, ingest
-from lapseflow.operators.enrich import Enricher, apply_enrichment, record_attempts
+from lapseflow.operators.enrich import Enricher, apply_answers, latest_answers
 from lapseflow.session import shared_folder
 from lapseflow.sinks import domain_table as table
 
@@ -66,7 +66,7 @@ def stream_listing_ingest(
         spark = batch.sparkSession
         rows = ingest.first_wins(batch).persist()
         tlds = _grown(spark, f"{root}/tld", rows, "tld", as_of)
-        registrars = _grown(spark, f"{root}/registrar", rows, "registrar", as_of)
+        registrars = _grown(spark, f"{root}/registrar", batch, "registrar", as_of)
         target = table.read_domains(spark, f"{root}/domain")
         fresh = ingest.insert_new_domains(rows, target, tlds, registrars, as_of)
         table.append_domains(fresh, f"{root}/domain", buckets)
@@ -86,14 +86,15 @@ def stream_enrichment_apply(
     """Apply landed responses of one kind to the stored domain table as they arrive."""
 
     def step(batch: DataFrame, number: int) -> None:
-        updates = enricher.updates(batch)
-        failures = enricher.failures(batch)
-
-        def change(current: DataFrame) -> DataFrame:
-            enriched = apply_enrichment(current, updates, enricher.columns, as_of)
-            return record_attempts(enriched, failures, as_of)
-
-        keys = enricher.parse(batch).select("name", "tld")
-        table.rewrite_touched(batch.sparkSession, path, keys, change, f"{name}-{number}", buckets)
+        answers = latest_answers(batch, [enricher]).persist()
+        table.rewrite_touched(
+            batch.sparkSession,
+            path,
+            answers,
+            lambda current: apply_answers(current, answers, [enricher], as_of),
+            f"{name}-{number}",
+            buckets,
+        )
+        answers.unpersist()
 
     return _run_available(landed, name, step)
