@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapseflow import schemas
@@ -17,15 +17,20 @@ CONTRACT = ("seq", "name", "tld", "registrar", "expired", "registered")
 
 @dataclass(frozen=True)
 class Feed:
-    """A listing source: how to read it and how to bring it to the contract."""
+    """A listing source: its registrar, how it is read, and where its domain name stands."""
 
     registrar: str
     read: Callable[..., DataFrame]
-    normalise: Callable[[DataFrame], DataFrame]
+    domain: str
 
-    def load(self, *args, **kwargs) -> DataFrame:
-        rows = self.normalise(self.read(*args, **kwargs))
-        return tag_registrar(rows, self.registrar)
+    def load(self, spark: SparkSession, path: str, seq: int = 0) -> DataFrame:
+        """All rows of the feed in the contract. ``seq`` is the feed's turn in a load.
+
+        Rows of one feed differ in nothing but their domain, so which copy of a
+        domain is kept does not matter within a feed.
+        """
+        rows = self.read(spark, path).withColumn("seq", F.lit(seq).cast("bigint"))
+        return to_contract(rows, self.domain, registrar=F.lit(self.registrar))
 
 
 def split_domain(df: DataFrame, column: str = "domain_name", mode: str = "tail") -> DataFrame:
@@ -106,7 +111,8 @@ def to_contract(
 ) -> DataFrame:
     """Split, fold and project one feed; unknown dates stay NULL for the registry lookup."""
     no_date = F.lit(None).cast("timestamp_ntz")
-    split = split_domain(accepted(df, domain), domain)
+    named = df.withColumnRenamed(domain, "_domain")
+    split = split_domain(accepted(named, "_domain"), "_domain")
     return lower_keys(
         split.select(
             "seq",

@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapseflow.functions import names
@@ -17,7 +17,7 @@ from lapseflow.plans.inputs import AS_OF, Inputs, moment
 from lapseflow.plans.registry import query
 from lapseflow.session import scratch_path
 from lapseflow.sinks import files
-from lapseflow.sources import auctions, tables
+from lapseflow.sources import auctions, feeds, tables
 
 # Listings per landed envelope: bounds what one document, hence one task, holds.
 ENVELOPE_ROWS = 20_000
@@ -27,9 +27,10 @@ _AUCTION = """
     FROM fx_listing l JOIN fx_attr a ON a.seq = l.seq"""
 
 
-def envelope_documents(x: Inputs) -> DataFrame:
+def envelope_documents(x: Inputs, of: Column | None = None) -> DataFrame:
     """Listings as JSON envelopes, one document per run of ENVELOPE_ROWS keys."""
-    rows = x.listing().drop("price").join(x.attributes(), "seq")
+    listings = x.listing() if of is None else x.listing().where(of)
+    rows = listings.drop("price").join(x.attributes(), "seq")
     entry = F.struct(
         F.col("domain_name").alias("domainName"),
         F.col("seq").cast("string").alias("link"),
@@ -92,6 +93,21 @@ def zipped(documents: DataFrame) -> DataFrame:
     return documents.mapInPandas(archives, "file_name STRING, content BINARY")
 
 
+@query("load_feeds", "SELECT name, tld, registrar FROM fx_norm")
+def load_feeds(x: Inputs) -> DataFrame:
+    """Each registrar's listings landed in its own format, loaded through its feed."""
+    json, market = scratch_path(x.spark, "envelopes"), scratch_path(x.spark, "market")
+    auction = envelope_documents(x, F.col("registrar") == "GoDaddy").select("document")
+    auction.write.option("maxRecordsPerFile", 1).text(json)
+    market_rows(x, F.col("registrar") == "sedo").write.csv(
+        market, sep=";", encoding="UTF-16", header=True
+    )
+    loaded = normalise.union_feeds(
+        feeds.AUCTION_JSON.load(x.spark, json, 0), feeds.MARKET_CSV.load(x.spark, market, 1)
+    )
+    return loaded.select("name", "tld", "registrar")
+
+
 @query("scan_zip_json", _AUCTION)
 def scan_zip_json(x: Inputs) -> DataFrame:
     archives = zipped(envelope_documents(x))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapseflow.functions import names, values
@@ -85,8 +85,9 @@ def rename_market_columns(x: Inputs) -> DataFrame:
     return normalise.rename_market_columns(market_rows(x))
 
 
-def market_rows(x: Inputs) -> DataFrame:
+def market_rows(x: Inputs, of: Column | None = None) -> DataFrame:
     """Listings under the marketplace file's column titles."""
+    listings = x.listing() if of is None else x.listing().where(of)
     start = F.col("auction_end")
     week = F.make_dt_interval(days=F.lit(7))
     parts = [
@@ -102,7 +103,7 @@ def market_rows(x: Inputs) -> DataFrame:
         F.col("seq").cast("string"),
         F.concat(F.lit("https://"), F.col("domain_name")),
     ]
-    rows = x.listing().join(x.attributes().alias("a"), "seq")
+    rows = listings.join(x.attributes().alias("a"), "seq")
     return rows.select([c.alias(t) for c, t in zip(parts, [*MARKET_COLUMNS, *MARKET_EXTRA])])
 
 

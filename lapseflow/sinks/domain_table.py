@@ -25,9 +25,9 @@ def read_domains(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_domains(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Append new rows, gathered by bucket so that a load adds one file to each."""
+    """Append new rows, gathered by bucket so that a load adds few files to each."""
     bucketed = rows.withColumn("bucket", bucket_of(buckets))
-    bucketed.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
+    bucketed.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
 
 
 def _is_complete(spark: SparkSession, path: str) -> bool:
@@ -62,7 +62,7 @@ def rewrite_touched(
         current = read_domains(spark, path)
         if len(touched) < buckets:
             current = current.where(F.col("bucket").isin(touched))
-        changed = change(current).repartition("bucket")
+        changed = change(current).hint("rebalance", "bucket")
         changed.write.mode("overwrite").partitionBy("bucket").parquet(staged)
     (
         spark.read.schema(_LAYOUT)

@@ -47,8 +47,11 @@ def write_batches(contract: DataFrame, path: str, rows: int = BATCH_ROWS) -> Non
 
 
 def write_archive(old: DataFrame, path: str) -> None:
-    """Purged listings by month. A month may hold most rows, so its files are cut by size."""
-    old.write.mode("append").partitionBy("month").option("maxRecordsPerFile", 5_000_000).parquet(path)
+    """Purged listings by month, gathered first so that a month gets few files.
+
+    A rebalance, not a plain repartition: a month that holds most rows is split.
+    """
+    old.hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(path)
 
 
 def append_database(df: DataFrame, **options: str) -> None:

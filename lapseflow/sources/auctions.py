@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from lapseflow import schemas
 from lapseflow.functions.names import is_listing_file
 
+# The file test of ``is_listing_file`` as a path pattern.
+LISTING_ARCHIVES = "all_listings[^_]*.zip"
+
 
 def auction_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per listing of the JSON envelopes ``{meta, data[]}`` below ``path``."""
@@ -41,11 +44,11 @@ def select_listing_files(files: DataFrame, file_name: str = "file_name") -> Data
 def archives(spark: SparkSession, path: str) -> DataFrame:
     """The listing archives below ``path``, with their bytes.
 
-    The name test runs on file metadata, ahead of the content.
+    The names are tested while the files are listed, so no other file is read.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", LISTING_ARCHIVES).load(path)
     name = F.element_at(F.split("path", "/"), -1)
-    return select_listing_files(files.select("path", name.alias("file_name"), "content"))
+    return files.select("path", name.alias("file_name"), "content")
 
 
 def unzip(files: DataFrame) -> DataFrame:

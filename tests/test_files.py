@@ -14,7 +14,7 @@ from lapseflow.operators.enrich import ENRICHERS, apply_enrichment
 from lapseflow.plans.inputs import LOADED, Inputs, moment
 from lapseflow.session import scratch_path
 from lapseflow.sinks import domain_table, files
-from lapseflow.sources import auctions, tables
+from lapseflow.sources import auctions, feeds, tables
 from lapseflow.streaming import loops
 
 ENTRIES = [
@@ -62,6 +62,14 @@ def test_market_csv(spark, tmp_path):
     assert df.first().reserve_price == "1;2"
 
 
+def test_feeds_reach_the_contract(spark, tmp_path):
+    (tmp_path / "one.json").write_text(envelope(ENTRIES))
+    rows = feeds.AUCTION_JSON.load(spark, str(tmp_path / "one.json"), 1)
+    assert rows.columns == list(normalise.CONTRACT)
+    first = rows.orderBy("name").first()
+    assert (first.seq, first.name, first.tld, first.registrar, first.expired) == (1, "name0", "com", "godaddy", None)
+
+
 def test_word_lists(spark, tmp_path):
     (tmp_path / "w.txt").write_text("tree\nhouse\n\ntree\n")
     (tmp_path / "w.json").write_text('["tree",\n "house"]')

@@ -203,6 +203,19 @@ def test_pages(spark):
             search.page(df, limit, number)
 
 
+def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
+    names = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, F.format_string("www.%04d", "id"))
+        .otherwise(F.format_string("%s.%d", F.md5(F.col("id").cast("string")), "id"))
+        .alias("domain_name")
+    )
+    wanted = [r.domain_name for r in names.orderBy("domain_name").collect()]
+    monkeypatch.setattr(search, "SHALLOW", 20)
+    for number in (1, 3, 30, 73, 80, 81):
+        got = [r.domain_name for r in search.page(names, 50, number).collect()]
+        assert got == wanted[(number - 1) * 50 : number * 50]
+
+
 def test_retention_splits_without_loss(spark):
     df = spark.createDataFrame(
         [("a", datetime(2021, 3, 2)), ("b", datetime(2021, 3, 4)), ("c", datetime(2020, 1, 1))],

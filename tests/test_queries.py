@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_points
+from lapseflow.plans import registry
 
 QUERIES = entry_points.queries()
 ORACLES = entry_points.oracle_sql()
@@ -16,6 +19,15 @@ def con(folder):
     return duck(folder)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_inputs():
+    """Let the queries share one staged listing; each stages its own otherwise."""
+    own = registry.Inputs
+    registry.Inputs = cache(own)
+    yield
+    registry.Inputs = own
+
+
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_equals_sql(spark, con, folder, key):
     assert difference(QUERIES[key](spark, folder), con, ORACLES[key]) is None
