@@ -14,7 +14,7 @@ RANK_PATTERN = r'RANK="(\d+)"'
 
 def rank(body: Column) -> Column:
     """First rank in the body, 0 when it holds none, NULL when there is no body."""
-    found = F.nullif(F.regexp_extract(body, RANK_PATTERN, 1), F.lit("")).try_cast("int")
+    found = F.regexp_extract(body, RANK_PATTERN, 1).try_cast("int")
     return F.when(body.isNotNull(), F.coalesce(found, F.lit(0)))
 
 
