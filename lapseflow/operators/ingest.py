@@ -105,7 +105,7 @@ def added_on(df: DataFrame, on: str, day: str = "date_added") -> DataFrame:
     return df.where((F.col(day) >= start) & (F.col(day) < start + F.make_dt_interval(days=F.lit(1))))
 
 
-def upsert_auction_meta(attributes: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def upsert_meta(attributes: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One attribute row per domain id, the highest ``seq`` winning over older ones."""
     rows = attributes if existing is None else attributes.unionByName(existing)
     payload = [c for c in rows.columns if c not in ("domain_id", "seq")]

@@ -89,6 +89,18 @@ def type_auction_attributes(df: DataFrame) -> DataFrame:
     return df.withColumns({c: e for c, e in typed.items() if c in df.columns})
 
 
+def type_market_attributes(df: DataFrame) -> DataFrame:
+    """Text attributes of the marketplace feed, already renamed, as typed columns."""
+    moments = {c: F.col(c).try_cast("timestamp_ntz") for c in ("start_time", "end_time")}
+    flags = {
+        c: F.col(c).try_cast("boolean")
+        for c in ("domain_is_idn", "domain_has_hyphen", "domain_has_numbers")
+    }
+    numbers = {c: values.nullable_int(F.col(c)) for c in ("domain_length", "traffic")}
+    price = {"reserve_price": values.money(F.col("reserve_price"))}
+    return df.withColumns(moments | flags | numbers | price)
+
+
 def label_shape(df: DataFrame, column: str = "name") -> DataFrame:
     label = F.col(column)
     return df.withColumns(

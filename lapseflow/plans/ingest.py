@@ -363,7 +363,7 @@ def upsert_auction_meta(x: Inputs) -> DataFrame:
     rows = ingest.with_id(x.norm().select("seq", "name", "tld")).select(
         F.col("id").alias("domain_id"), "seq"
     )
-    latest = ingest.upsert_auction_meta(rows.join(typed, "seq"))
+    latest = ingest.upsert_meta(rows.join(typed, "seq"))
     return latest.select(
         "domain_id",
         "seq",
@@ -374,6 +374,34 @@ def upsert_auction_meta(x: Inputs) -> DataFrame:
     )
 
 
+@query("upsert_market_meta", f"""
+    SELECT domain_id, seq, start_time, end_time, reserve_price, domain_is_idn, domain_has_hyphen, domain_length FROM (
+        SELECT {uuid_sql("n.name || '.' || n.tld")} AS domain_id, n.seq,
+               CAST(CAST(n.auction_end AS DATE) AS TIMESTAMP) AS start_time,
+               CAST(CAST(n.auction_end AS DATE) AS TIMESTAMP) + INTERVAL 7 DAY AS end_time,
+               CAST(CAST(regexp_replace(a.price, '[$,]', '', 'g') AS DECIMAL(19,2)) AS DOUBLE) AS reserve_price,
+               false AS domain_is_idn, TRY_CAST(a.is_adult AS BOOLEAN) AS domain_has_hyphen,
+               CAST(length(n.name) + 1 + length(n.tld) AS INTEGER) AS domain_length,
+               row_number() OVER (PARTITION BY n.name, n.tld ORDER BY n.seq DESC) AS rn
+        FROM fx_norm n JOIN fx_attr a ON a.seq = n.seq) q
+    WHERE rn = 1""")
+def upsert_market_meta(x: Inputs) -> DataFrame:
+    renamed = normalise.accepted(normalise.rename_market_columns(market_rows(x)), "name")
+    typed = normalise.type_market_attributes(renamed)
+    domain = F.col("name")
+    keyed = typed.select(
+        names.domain_uuid(names.first_label(domain), names.tail(domain)).alias("domain_id"),
+        F.col("traffic").cast("bigint").alias("seq"),
+        "start_time",
+        "end_time",
+        F.col("reserve_price").cast("double").alias("reserve_price"),
+        "domain_is_idn",
+        "domain_has_hyphen",
+        "domain_length",
+    )
+    return ingest.upsert_meta(keyed)
+
+
 # Checks
 
 

@@ -36,6 +36,22 @@ DOMAIN = (
     "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ"
 )
 
+# Attribute tables of the feeds and lookups, one row per domain id.
+AUCTION_META = (
+    "domain_id STRING, auctionType STRING, auctionEndTime TIMESTAMP_NTZ, price DECIMAL(19,2), "
+    "numberOfBids INT, domainAge INT, description STRING, pageviews INT, valuation DECIMAL(19,2), "
+    "monthlyParkingRevenue DECIMAL(19,2), isAdult BOOLEAN"
+)
+MARKET_META = (
+    "domain_id STRING, start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, "
+    "reserve_price DECIMAL(19,2), domain_is_idn BOOLEAN, domain_has_hyphen BOOLEAN, "
+    "domain_has_numbers BOOLEAN, domain_length INT, tld STRING, traffic INT"
+)
+POPULARITY_META = (
+    "domain_id STRING, popularity INT, reach_rank INT, rank_delta INT, country_code STRING, "
+    "country_name STRING, country_rank INT"
+)
+
 RESPONSE = "domain STRING, source STRING, body STRING, fetched_at TIMESTAMP_NTZ, error STRING"
 
 RECORDSET = (

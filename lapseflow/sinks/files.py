@@ -35,6 +35,11 @@ def export_manifest(spark: SparkSession, path: str, base_url: str) -> DataFrame:
     )
 
 
+def append_manifest(manifest: DataFrame, path: str) -> None:
+    """Add a run's lines to the kept manifest; its readers see one header."""
+    export_csv(manifest, path, mode="append")
+
+
 def write_batches(contract: DataFrame, path: str, rows: int = BATCH_ROWS) -> None:
     """Pending rows as staged batch files of at most ``rows`` rows."""
     contract.select(

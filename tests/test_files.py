@@ -106,6 +106,10 @@ def test_export_and_manifest(spark, tmp_path):
     row = files.export_manifest(spark, path, "https://files.example.org/").first()
     assert row["size"] == part.stat().st_size and part.name in row.file_name
     assert row.date == datetime.fromtimestamp(part.stat().st_mtime).date()
+    kept = str(tmp_path / "kept")
+    for _ in range(2):
+        files.append_manifest(files.export_manifest(spark, path, "https://files.example.org/"), kept)
+    assert spark.read.csv(kept, header=True).count() == 2
 
 
 def test_archive_by_month(spark, tmp_path):
