@@ -45,7 +45,8 @@ def number_members(members: DataFrame) -> DataFrame:
 
 
 def empty_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.DIMENSION)
+    # The limit lets the optimizer know there are no rows and drop joins with them.
+    return spark.createDataFrame([], schemas.DIMENSION).limit(0)
 
 
 def grow_dimension(dim: DataFrame, staged: DataFrame, column: str, as_of: Column) -> DataFrame:

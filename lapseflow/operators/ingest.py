@@ -31,7 +31,7 @@ def with_id(df: DataFrame) -> DataFrame:
 
 
 def empty_domains(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.DOMAIN)
+    return spark.createDataFrame([], schemas.DOMAIN).limit(0)
 
 
 def stamp_created(df: DataFrame, as_of: Column) -> DataFrame:
