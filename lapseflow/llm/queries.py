@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lapseflow.llm import decontamination, line_dedup, near_duplicates  # noqa: F401
+from lapseflow.llm import decontamination, line_dedup, near_duplicates, quality  # noqa: F401
 from lapseflow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -101,9 +101,13 @@ def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 
 def words(column: pa.Array, lut: np.ndarray) -> Words:
-    raw, starts = text_bytes(column)
+    return words_of(*text_bytes(column), lut)
+
+
+def words_of(raw: np.ndarray, starts: np.ndarray, lut: np.ndarray) -> Words:
+    """The words of the bytes ``raw``, of which text i has those from ``starts[i]`` to ``starts[i + 1]``."""
     if not len(raw):
-        return Words(np.zeros(0, np.uint64), np.zeros(len(column) + 1, np.int64))
+        return Words(np.zeros(0, np.uint64), np.zeros(len(starts), np.int64))
     hashes, begins = [], []
     low = 0
     breaks = starts[1:-1]
@@ -133,7 +137,7 @@ def words(column: pa.Array, lut: np.ndarray) -> Words:
             begins.append(at + low)
         low = high
     if not hashes:
-        return Words(np.zeros(0, np.uint64), np.zeros(len(column) + 1, np.int64))
+        return Words(np.zeros(0, np.uint64), np.zeros(len(starts), np.int64))
     begin = np.concatenate(begins)
     return Words(np.concatenate(hashes), np.searchsorted(begin, starts, "left"))
 
