@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapseflow.llm.bounds import BROADCAST_ROWS, small
 from lapseflow.llm.registry import query, table
 from lapseflow.session import stored
 
@@ -23,19 +24,11 @@ from lapseflow.session import stored
 MIN_WORDS = 3
 #: Lines of fewer words are compared exactly only: one word of them is too much of them.
 NEAR_WORDS = 8
-#: A written table of at most so many rows, each of a few numbers, may be broadcast.
-BROADCAST_ROWS = 1_000_000
-
 #: What tells lines apart and orders them: document, hash of its text, number of the line.
 PLACE = ("doc_id", "text_hash", "line_no")
 _ID = ["doc_id", "text_hash"]
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, a written table of narrow rows, marked for broadcast if it is within the bound."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def _identified(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
