@@ -96,7 +96,7 @@ class Windows:
         return np.unique(self.words)
 
 
-def test_blocks(benchmark: DataFrame, window: int, most: int = BLOCK_WORDS) -> Iterator[Windows]:
+def item_blocks(benchmark: DataFrame, window: int, most: int = BLOCK_WORDS) -> Iterator[Windows]:
     """The windows of all items in blocks of at most about ``most`` words each.
 
     Items without an id or without words have no window; texts that share an id are one item.
@@ -276,7 +276,7 @@ def find_matches(
     """
     index = stored(build_index(docs), "postings")
     found = None
-    for tests in test_blocks(benchmark, window):
+    for tests in item_blocks(benchmark, window):
         part = search(index, tests, near)
         found = part if found is None else found.unionByName(part)
     return index, found
