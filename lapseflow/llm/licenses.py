@@ -1,7 +1,7 @@
 """License notices by conditional compression.
 
-Lines with words of the templates are candidates, and neighbouring ones form a block. A block is
-compressed alone and once with each template as a raw Zstandard dictionary: the template that
+Lines with words of the templates are candidates, and neighbouring ones form a block. In lower case
+and with single spaces, a block is compressed alone and once with each template as a raw Zstandard dictionary: the template that
 explains it saves most of its bytes. The templates with the greatest savings are then
 confirmed, or not, by the exact words that the block lacks or adds.
 """
@@ -76,11 +76,15 @@ TRIED, LEAST_SAVING = 4, 0.2
 LEAST_SHARED = 0.7
 #: Level of compression.
 LEVEL = 6
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 
 
+def _plain(text: str) -> bytes:
+    return " ".join(text.lower().split()).encode()
+
+
 def _words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -111,7 +115,7 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.with_template = {}
         for name, text in templates.items():
-            given = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            given = zstandard.ZstdCompressionDict(_plain(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.with_template[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=given)
         self.signals = ahocorasick.Automaton()
         for word in {w for words in self.words.values() for w in words if len(w) >= SIGNAL_WORD}:
@@ -120,7 +124,10 @@ class Scanner:
             self.signals.make_automaton()
 
     def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """Ranges of neighbouring lines that hold signal words; blank lines don't part them."""
+        """Ranges of neighbouring lines that hold signal words, one of them SIGNALS of them.
+
+        Blank lines and single lines without signals don't part a block.
+        """
         if not len(self.signals):
             return
         lower = text.lower()
@@ -138,20 +145,19 @@ class Scanner:
                 after = lower.find("\n", start)
                 line = (lower.rfind("\n", 0, start) + 1, len(lower) if after < 0 else after)
             seen.setdefault(line, set()).add(word)
-        now: tuple[int, int] | None = None
-        for start, end in sorted(k for k, v in seen.items() if len(v) >= SIGNALS):
-            if now and not text[now[1] : start].strip():
-                now = (now[0], end)
-            else:
-                if now:
-                    yield now
-                now = (start, end)
-        if now:
-            yield now
+        block: list[int] = []
+        for (start, end), found in [*sorted(seen.items()), ((len(text) + 2, 0), set())]:
+            near = block and len([x for x in text[block[1] : start].split("\n") if x.strip()]) <= 1
+            if near and start <= len(text):
+                block = [block[0], end, max(block[2], len(found))]
+                continue
+            if block and block[2] >= SIGNALS:
+                yield block[0], block[1]
+            block = [start, end, len(found)]
 
     def savings(self, block: str) -> list[tuple[float, str]]:
         """Templates by the share of the block's compressed size that they save, greatest first."""
-        raw = block.encode()
+        raw = _plain(block)
         alone = len(self.plain.compress(raw))
         found = [((alone - len(c.compress(raw))) / alone, name) for name, c in self.with_template.items()]
         return sorted(found, key=lambda x: (-x[0], x[1]))
@@ -184,18 +190,21 @@ class Scanner:
         return name, saving, next((n for _, n in ranked if n != name), None), missing, added
 
     def scan(self, text: str | None) -> list[Notice]:
-        """All notices of a text: each block as a whole, or else each of its lines."""
+        """All notices of a text: of each block as a whole, or of its lines if one of these fits better."""
         found: list[Notice] = []
         for start, end in self.blocks(text or ""):
-            spans = [(start, end)]
-            if self.confirm(text[start:end]) is None and "\n" in text[start:end]:
-                at, spans = start, []
-                for line in text[start:end].split("\n"):
-                    spans.append((at, at + len(line)))
-                    at += len(line) + 1
-            for a, b in spans:
-                if (said := self.confirm(text[a:b])) is not None:
-                    found.append(Notice(len(found), a, b, *said))
+            spans, at = [], start
+            for line in text[start:end].split("\n"):
+                spans.append((at, at + len(line)))
+                at += len(line) + 1
+            whole = self.confirm(text[start:end])
+            if len(spans) == 1 or whole and not whole[3] and not whole[4]:
+                said = [(start, end, whole)]
+            else:
+                said = [(a, b, self.confirm(text[a:b]) if text[a:b].strip() else None) for a, b in spans]
+                if whole and not any(x and not x[3] and not x[4] for _, _, x in said):
+                    said = [(start, end, whole)]
+            found += [Notice(len(found) + k, a, b, *x) for k, (a, b, x) in enumerate(y for y in said if y[2])]
         return found
 
 

@@ -121,10 +121,9 @@ def mixed(docs: DataFrame, budget: float = BUDGET, temperature: float = TEMPERAT
     docs = docs.drop("topic", "n_tokens", "probability")
     rows = docs.withColumns({"topic": topic(), "n_tokens": n_tokens()})
     cells = probabilities(rows.select(*DIMENSIONS, "n_tokens"), DIMENSIONS, budget, temperature)
-    named = small(cells.select(*[F.col(d).alias(f"__{d}") for d in DIMENSIONS], "probability"))
-    same = [_cell(d) == F.col(f"__{d}") for d in DIMENSIONS]
-    joined = rows.join(named, same).drop(*[f"__{d}" for d in DIMENSIONS])
-    return joined.where(uniform("doc_id") < F.col("probability"))
+    same = [_cell(f"d.{d}") == F.col(f"c.{d}") for d in DIMENSIONS]
+    joined = rows.alias("d").join(small(cells).alias("c"), same)
+    return joined.where(uniform("d.doc_id") < F.col("c.probability")).select("d.*", "c.probability")
 
 
 def _sql_sweeps() -> str:

@@ -33,7 +33,7 @@ WEIGHTS = (0.6, 1.0, 1.0)
 RANK = 64
 NEIGHBOURS = 25
 #: Texts that are compared with the sample at once, and bytes of text in a piece.
-BLOCK, PIECE = 512, 1 << 20
+BLOCK, PIECE = 512, 1 << 19
 
 #: Capitals, other letters and digits by class; other signs stay.
 _SHAPE = np.array(
@@ -247,7 +247,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def of_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` whose score is 0.5 or more."""
-    return scored(docs, learnt(docs, labels), "__score").where("__score >= 0.5").drop("__score")
+    name = "_".join(["score", *docs.columns])
+    return scored(docs, learnt(docs, labels), name).where(F.col(f"`{name}`") >= 0.5).drop(name)
 
 
 @query("op8_quality")
