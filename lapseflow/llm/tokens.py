@@ -2,7 +2,7 @@
 
 Texts are cut on bytes: both word classes used here consist of all bytes of non-ASCII characters
 and some ASCII bytes, so cutting UTF-8 bytes equals cutting characters. Work goes over pieces of
-about ``PIECE`` bytes that end between words, so memory does not follow a text's length.
+about ``PIECE`` bytes that end between words, and only hashes are kept of a long text.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 SPACE = 0x20
 
 
@@ -88,14 +88,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[starts[0] : starts[-1]], starts - starts[0]
 
 
-def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``most`` bytes of text; a longer text is a range of its own."""
+def slices(column: pa.Array, most: int, rows: int = 512) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``rows`` rows with about ``most`` bytes of text; a longer text is a range of its own."""
     if not len(column):
         return
     _, starts = text_bytes(column)
     low = 0
     while low < len(column):
         high = max(low + 1, int(np.searchsorted(starts, starts[low] + most, "right")) - 1)
+        high = min(high, low + rows)
         yield low, high
         low = high
 
