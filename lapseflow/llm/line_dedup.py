@@ -34,47 +34,48 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """Every line of ``least`` words or more, with its place and words."""
-    norm = F.trim(F.regexp_replace(F.lower("line"), r"[\s]+", " "))
-    return (
-        _identified(docs)
-        .select(*_ID, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select(*PLACE, norm.alias("line"))
-        .select(*PLACE, "line", F.split("line", " ").alias("words"))
-        .where(F.size("words") >= least)
-    )
+#: Fixed value: the white space within a line.
+_BLANKS = "\t\x0b\f\r"
 
 
-def _half_keys(words: Column, n: Column) -> Column:
-    """Keys of the halves by which a neighbour of the same length, or one word shorter, is met."""
+def _words(line: Column) -> Column:
+    """Lower-case words between white space."""
+    return F.array_remove(F.split(F.translate(F.lower(line), _BLANKS, " " * len(_BLANKS)), " "), "")
 
-    def halves(size: Column) -> list[Column]:
-        first = F.floor(size / 2).cast("int")
-        return [
-            F.xxhash64(size, F.lit("first"), F.slice(words, F.lit(1), first)),
-            F.xxhash64(size, F.lit("second"), F.slice(words, n - size + first + 1, size - first)),
-        ]
 
-    # The longer of two neighbours drops a word of its second half, or one of its first half.
-    return F.array(*halves(n), *halves(n - 1))
+def _line_hashes(words: Column, n: Column, near: int) -> list[Column]:
+    """Two hashes that make out a line, and keys of the halves by which its neighbours are met.
+
+    A line of n words has keys for neighbours of n or n + 1 words and, as the longer one, for those of
+    n - 1. One edit leaves the first half of the shorter one's length whole, or all the rest.
+    """
+    half, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
+    first = F.xxhash64(F.slice(words, F.lit(1), half))
+    second = F.xxhash64(F.slice(words, half + 1, n - half))
+    # Of an odd number of words the first half stays the same without one word, of an even one the second.
+    other = F.xxhash64(F.when(n % 2 == 0, F.slice(words, F.lit(1), less)).otherwise(F.slice(words, n - less + 1, less)))
+    less_first = F.when(n % 2 == 0, other).otherwise(first)
+    less_second = F.when(n % 2 == 0, second).otherwise(other)
+    keys = [
+        F.xxhash64(size, F.lit(which), value)
+        for size, which, value in ((n, 1, first), (n, 2, second), (n - 1, 1, less_first), (n - 1, 2, less_second))
+    ]
+    return [
+        F.xxhash64(n, first).alias("line_a"),
+        F.xxhash64(n, second).alias("line_b"),
+        *[F.when(n >= near, key).alias(f"key_{i}") for i, key in enumerate(keys)],
+    ]
 
 
 def distinct_lines(docs: DataFrame, least: int, near: int) -> tuple[DataFrame, DataFrame]:
-    """All lines (place, line_a, line_b), and one row per distinct line.
+    """All lines of ``least`` words or more (place, line_a, line_b), and one row per distinct line.
 
     A distinct line has its earliest place ``at``, its number of occurrences and, from ``near``
     words on, the keys of its halves.
     """
-    n = F.size("words")
-    rows = _lines(docs, least).select(
-        *PLACE,
-        F.xxhash64("line").alias("line_a"),
-        F.xxhash64(F.lit("b"), "line").alias("line_b"),
-        F.when(n >= near, _half_keys(F.col("words"), n)).alias("keys"),
-    )
-    keys = [F.col("keys")[i].alias(f"key_{i}") for i in range(4)]
-    rows = stored(rows.select(*PLACE, "line_a", "line_b", *keys), "lines")
+    lines = _identified(docs).select(*_ID, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    words = lines.select(*PLACE, _words(F.col("line")).alias("words")).where(F.size("words") >= least)
+    rows = stored(words.select(*PLACE, *_line_hashes(F.col("words"), F.size("words"), near)), "lines")
     classes = rows.groupBy("line_a", "line_b").agg(
         F.min(F.struct(*PLACE)).alias("at"),
         F.count(F.lit(1)).alias("times"),
@@ -84,6 +85,23 @@ def distinct_lines(docs: DataFrame, least: int, near: int) -> tuple[DataFrame, D
     return rows.select(*PLACE, "line_a", "line_b"), stored(classes, "classes")
 
 
+def _words_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(at, words) of the lines at given places; other documents and lines are not cut into words."""
+    wanted = stored(places.groupBy(*_ID).agg(F.collect_set("line_no").alias("wanted")), "wanted")
+    texts = _identified(docs).alias("t").join(small(wanted).alias("w"), _same("t", "w"))
+    lines = texts.select("t.doc_id", "t.text_hash", "w.wanted", F.posexplode(F.split("t.text", "\n")).alias("line_no", "line"))
+    return (
+        lines.where(F.array_contains("wanted", F.col("line_no")))
+        .select(F.struct(*PLACE).alias("at"), _words(F.col("line")).alias("words"))
+        # Equal rows have equal places and one line is enough.
+        .dropDuplicates(["at"])
+    )
+
+
+def _same(left: str, right: str) -> list[Column]:
+    return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in _ID]
+
+
 def _neighbourly(classes: DataFrame) -> DataFrame:
     """Places of the distinct lines that share a half with another one."""
     keys = classes.where(F.col("key_0").isNotNull()).select(
@@ -167,19 +185,9 @@ def _less(words: str, gone: str) -> Column:
     return F.when(at < 0, F.col(words)).otherwise(rest)
 
 
-def near_repeats(docs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+def near_repeats(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Places ``at`` of the distinct lines that are one edit away from an earlier line."""
-    picked = stored(_neighbourly(classes).select("at.*"), "picked")
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"p.{c}")) for c in PLACE]
-    lines = stored(
-        _lines(docs, least)
-        .alias("l")
-        .join(small(picked).alias("p"), same)
-        .select(F.struct(*[F.col(f"l.{c}") for c in PLACE]).alias("at"), "l.words")
-        # Equal rows have equal places and one line is enough.
-        .dropDuplicates(["at"]),
-        "neighbours",
-    )
+    lines = stored(_words_at(docs, _neighbourly(classes).select("at.*")), "neighbours")
     variants = stored(_variants(lines), "variants")
     proposals = stored(_proposals(variants), "proposals")
     early = lines.select(F.col("at").alias("first"), F.col("words").alias("first_words"))
@@ -200,7 +208,7 @@ def repeated_lines(docs: DataFrame, least: int = MIN_WORDS, near: int = NEAR_WOR
     of white space don't count.
     """
     rows, classes = distinct_lines(docs, least, near)
-    close = stored(near_repeats(docs, classes, near).withColumn("close", F.lit(True)), "close")
+    close = stored(near_repeats(docs, classes).withColumn("close", F.lit(True)), "close")
     again = stored(
         classes.select("line_a", "line_b", "at", "times")
         .join(close, "at", "left")
@@ -213,37 +221,34 @@ def repeated_lines(docs: DataFrame, least: int = MIN_WORDS, near: int = NEAR_WOR
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, near: int = NEAR_WORDS) -> DataFrame:
-    """``docs`` with the text that remains, and ``n_lines``, ``n_dropped``, ``n_left`` (lines of ``least`` words or more).
+    """``docs`` with the text that remains, ``n_lines``, ``n_dropped`` and ``emptied``.
 
-    The columns of ``docs`` stay, but for earlier ones of those names. Null texts stay null and
-    have no lines; blank and short lines stay. Rows without an id count as the earliest; rows
-    that share id and text are one document and all keep the same lines.
+    ``emptied``: some lines went and none of ``least`` words is left. The columns of ``docs`` stay, but for
+    earlier ones of those names. Null texts stay null and have no lines; blank and short lines
+    stay. Rows without an id count as the earliest; rows that share id and text are one
+    document and all keep the same lines.
     """
-    added = ["n_lines", "n_dropped", "n_left"]
-    docs = docs.drop(*added)
-    gone = stored(repeated_lines(docs, least, near), "gone").withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+    docs = docs.drop("n_lines", "n_dropped", "emptied")
+    gone = stored(repeated_lines(docs, least, near), "gone")
     bounded = small(gone) if (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= 8 * BROADCAST_ROWS else gone
-    matched = docs.join(
-        bounded,
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash")),
-        "left",
-    )
-    lines = F.split(F.col("text").cast("string"), "\n")
-    dropped = F.coalesce(F.size("gone"), F.lit(0))
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("gone", i))
-    long_lines = F.size(F.filter(lines, lambda line: F.size(F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")) >= least))
-    return matched.select(
-        *[F.when(dropped > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.coalesce(F.when(F.col("text").isNotNull(), F.size(lines)), F.lit(0)).cast("bigint").alias("n_lines"),
-        dropped.cast("bigint").alias("n_dropped"),
-        F.coalesce(F.when(F.col("text").isNotNull(), long_lines - dropped), F.lit(0)).cast("bigint").alias("n_left"),
+    text = F.col("d.text").cast("string")
+    same = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64(text) == F.col("g.text_hash"))
+    lines, some = F.split(text, "\n"), F.col("g.gone").isNotNull()
+    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("g.gone"), i))
+    rest = F.when(some, F.array_join(kept, "\n")).otherwise(F.col("d.text"))
+    # Only texts that lost lines are looked at again.
+    left = F.exists(kept, lambda line: F.size(_words(line)) >= least)
+    return docs.alias("d").join(bounded.alias("g"), same, "left").select(
+        *[rest.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns],
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+        F.when(some, F.size("g.gone")).otherwise(0).cast("bigint").alias("n_dropped"),
+        F.when(some, ~left).otherwise(F.lit(False)).alias("emptied"),
     )
 
 
 def without_repeated_lines(docs: DataFrame, least: int = MIN_WORDS, near: int = NEAR_WORDS) -> DataFrame:
     """``docs`` without repeated lines; a document whose lines of ``least`` words all went goes too."""
-    done = dedup_lines(docs, least, near)
-    return done.where("n_dropped = 0 OR n_left > 0").select(*docs.columns)
+    return dedup_lines(docs, least, near).where("NOT emptied").select(*[f"`{c}`" for c in docs.columns])
 
 
 _NORM = r"trim(regexp_replace(lower(line), '[\s]+', ' ', 'g'))"
@@ -270,7 +275,7 @@ dropped AS (SELECT doc_id, list(line_no) AS g FROM gone GROUP BY doc_id),
 longs AS (SELECT doc_id, count(*) AS n FROM long_lines GROUP BY doc_id)
 SELECT doc_id,
   CASE WHEN g IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda x, i: NOT list_contains(g, i - 1)), chr(10)) END AS text,
-  coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(g), 0)::BIGINT AS n_dropped, (coalesce(longs.n, 0) - coalesce(len(g), 0))::BIGINT AS n_left
+  coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(g), 0)::BIGINT AS n_dropped, (g IS NOT NULL AND longs.n = len(g)) AS emptied
 FROM raw LEFT JOIN dropped USING (doc_id) LEFT JOIN longs USING (doc_id)
 """
 
