@@ -53,7 +53,7 @@ def build_index(docs: DataFrame) -> DataFrame:
         count = 0
         for batch in batches:
             ids, text = batch.column(0), batch.column(1)
-            for low, high in tokens.slices(text, SEGMENT):
+            for low, high in tokens.slices(text, SEGMENT, SEGMENT):
                 found = tokens.words(text.slice(low, high - low), tokens.ALNUM)
                 order = np.argsort(found.hashes, kind="stable")
                 terms, starts = np.unique(found.hashes[order], return_index=True)

@@ -33,7 +33,7 @@ PARTS, LEVELS = 16, 13
 #: Hexadecimal digits of the full hash, and of a part's.
 FULL, DIGITS = 16, 3
 #: Bytes of text that are counted before the counts are passed on, and that are hashed at once.
-COUNTED, PIECE = 8 << 20, 1 << 20
+COUNTED, PIECE = 8 << 20, 1 << 19
 
 
 def _distinct(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +50,7 @@ def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high in tokens.slices(batch.column(0), COUNTED):
+            for low, high in tokens.slices(batch.column(0), COUNTED, COUNTED):
                 seen = [_distinct(batch.column(0).slice(low + a, b - a))[0] for a, b in tokens.slices(batch.column(0).slice(low, high - low), PIECE)]
                 words, n = np.unique(np.concatenate(seen), return_counts=True)
                 yield pa.record_batch([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])

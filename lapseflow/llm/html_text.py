@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from lapseflow.llm import tokens
 from lapseflow.llm.registry import query, table
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What they hold is text up to their own end tag.

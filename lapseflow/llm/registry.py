@@ -24,5 +24,13 @@ def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+#: Rows of whole texts that a Python worker is handed at once at most.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table; from here on the session hands Python workers bounded batches."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     return spark.read.parquet(f"{folder}/{name}.parquet")

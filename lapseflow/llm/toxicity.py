@@ -43,7 +43,7 @@ PENALTY = 2.0
 ENTRIES = 2_000
 #: A word or pair of words is an exception when so many clean documents and no toxic one have it.
 EXCEPTION_SUPPORT = 2
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 #: Letters of other scripts that look like Latin ones, and signs that stand for letters.
 LOOK_ALIKES = {
