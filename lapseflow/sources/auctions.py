@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -12,9 +13,12 @@ from pyspark.sql import functions as F
 
 from lapseflow import schemas
 from lapseflow.functions.names import is_listing_file
+from lapseflow.sources import json_stream
 
-# The file test of ``is_listing_file`` as a path pattern.
-LISTING_ARCHIVES = "all_listings[^_]*.zip"
+# Listings that an archive's reader hands on at once.
+BATCH = 5_000
+# The archives among the files that ``is_listing_file`` names.
+LISTING_ARCHIVES = "{all_listings.zip,all_listings[^_]*.zip}"
 
 
 def auction_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -23,7 +27,8 @@ def auction_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(schemas.AUCTION_ENVELOPE).json(path, multiLine=True)
+    """One row per envelope. A broken or cut-off file fails the read instead of losing its listings."""
+    return spark.read.schema(schemas.AUCTION_ENVELOPE).json(path, multiLine=True, mode="FAILFAST")
 
 
 def envelope_meta(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -32,8 +37,8 @@ def envelope_meta(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def entries_of(documents: DataFrame, column: str = "document") -> DataFrame:
-    """One row per listing of envelope documents held as text."""
-    parsed = F.from_json(column, schemas.AUCTION_ENVELOPE)
+    """One row per listing of envelope documents held as text; a broken document fails the read."""
+    parsed = F.from_json(column, schemas.AUCTION_ENVELOPE, {"mode": "FAILFAST"})
     return documents.select(F.inline(parsed["data"]))
 
 
@@ -51,33 +56,36 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", name.alias("file_name"), "content")
 
 
-def unzip(files: DataFrame) -> DataFrame:
-    """Text of the one member of each archive, which bears its name less the last suffix.
+def unzipped_listings(files: DataFrame) -> DataFrame:
+    """One row per listing of the one member of each archive, which bears its name less the last suffix.
 
-    One archive is unpacked at a time; a task holds one text, not all of its texts.
+    The member is read as a stream: a task holds an archive's bytes and BATCH listings, however
+    long the text is that they unpack to. A broken archive or document fails the read.
     """
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["file_name"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    text = archive.read(name.rsplit(".", 1)[0]).decode("utf-8")
-                yield pd.DataFrame({"file_name": [name], "document": [text]})
+            for name, content in zip(batch["file_name"], batch["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(name.rsplit(".", 1)[0]) as member:
+                    entries = json_stream.listings(io.TextIOWrapper(member, encoding="utf-8"))
+                    while part := list(itertools.islice(entries, BATCH)):
+                        yield pd.DataFrame({"entry": part})
 
-    return files.select("file_name", "content").mapInPandas(
-        members, "file_name STRING, document STRING"
-    )
+    texts = files.select("file_name", "content").mapInPandas(members, "entry STRING")
+    entry = F.from_json("entry", schemas.AUCTION_ENTRY, {"mode": "FAILFAST"})
+    return texts.select(entry.alias("entry")).select("entry.*")
 
 
 def zipped_auction_json(spark: SparkSession, path: str) -> DataFrame:
-    return entries_of(unzip(archives(spark, path)))
+    return unzipped_listings(archives(spark, path))
 
 
 def market_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The marketplace file: UTF-16, ``;`` between fields, a ``sep=;`` line, a header line.
 
     It has to be read whole per file (``multiLine``): a split inside two-byte
-    text would corrupt rows. The two leading lines are dropped by content.
+    text would corrupt rows. The two leading lines are dropped by content; rows
+    without a name stay, for the rejects.
     """
     titles = [*schemas.MARKET_COLUMNS, *schemas.MARKET_EXTRA]
     layout = ", ".join(f"`{t}` STRING" for t in titles)
@@ -85,4 +93,4 @@ def market_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
         path, sep=";", encoding="UTF-16", multiLine=True, enforceSchema=True
     )
     first = F.col("`Domain Name`")
-    return rows.where(first.isNotNull() & ~first.isin("sep=", "Domain Name"))
+    return rows.where(~F.coalesce(first.isin("sep=", "Domain Name"), F.lit(False)))
