@@ -28,8 +28,11 @@ def qualified(name: Column, tld: Column) -> Column:
 
 def reject_reason(domain: Column) -> Column:
     """Why a raw name cannot be split, or NULL when it can."""
-    return F.when(F.coalesce(domain, F.lit("")) == "", F.lit("empty")).when(
-        ~domain.contains("."), F.lit("no_dot")
+    return (
+        F.when(F.coalesce(domain, F.lit("")) == "", F.lit("empty"))
+        .when(~domain.contains("."), F.lit("no_dot"))
+        .when(domain.startswith("."), F.lit("no_name"))
+        .when(tail(domain) == "", F.lit("no_tld"))
     )
 
 

@@ -13,9 +13,9 @@ RANK_PATTERN = r'RANK="(\d+)"'
 
 
 def rank(body: Column) -> Column:
-    """First rank in the body, 0 when it holds none, NULL when there is no body."""
-    found = F.regexp_extract(body, RANK_PATTERN, 1).try_cast("int")
-    return F.when(body.isNotNull(), F.coalesce(found, F.lit(0)))
+    """First rank in the body, 0 when it holds none; NULL without a body or with a rank beyond INT."""
+    found = F.regexp_extract(body, RANK_PATTERN, 1)
+    return F.when(found == "", F.lit(0)).otherwise(found.try_cast("int"))
 
 
 def title_count(body: Column) -> Column:
@@ -32,10 +32,21 @@ def capture_count(body: Column) -> Column:
     return F.length(body) - F.length(F.replace(body, F.lit(","), F.lit("")))
 
 
+# How a time ends that names its offset from UTC.
+OFFSET_PATTERN = r"(?:[Zz]|[+-]\d\d(?::?\d\d)?)$"
+
+
+def utc_time(text: Column) -> Column:
+    """UTC wall clock of a time as text; one without an offset is UTC already."""
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    named = text.rlike(r"\d\d:\d\d.*" + OFFSET_PATTERN)
+    return F.when(named, instant).otherwise(text.try_cast("timestamp_ntz"))
+
+
 def _date(body: Column, key: str) -> Column:
     """A registry date is one text or a list of texts (then the first counts)."""
     first = F.get_json_object(body, f"$.{key}[0]")
-    return F.coalesce(first, F.get_json_object(body, f"$.{key}")).try_cast("timestamp_ntz")
+    return utc_time(F.coalesce(first, F.get_json_object(body, f"$.{key}")))
 
 
 def _is_empty_list(body: Column, key: str) -> Column:

@@ -72,9 +72,10 @@ def sale_stage(expired: Column, registrar: Column, as_of: Column) -> Column:
     """Where a listing stands between being listed and being free to buy.
 
     Past expiry plus grace it is sellable; inside the grace period one feed
-    sells already ("grace"), the other makes the buyer wait ("waiting").
+    sells already ("grace"), the other makes the buyer wait ("waiting"). A registrar
+    without a grace period sells from expiry on.
     """
-    free = expired + F.make_dt_interval(days=grace_days(registrar)) <= as_of
+    free = expired + F.make_dt_interval(days=F.coalesce(grace_days(registrar), F.lit(0))) <= as_of
     return (
         F.when(free, F.lit("sellable"))
         .when((expired <= as_of) & (registrar == GRACE_SELLER), F.lit("grace"))

@@ -49,16 +49,21 @@ def empty_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.DIMENSION).limit(0)
 
 
-def grow_dimension(dim: DataFrame, staged: DataFrame, column: str, as_of: Column) -> DataFrame:
-    """The dimension plus its new members, numbered on from the highest id in use."""
+def added_members(dim: DataFrame, staged: DataFrame, column: str, as_of: Column) -> DataFrame:
+    """The members that the dimension lacks, numbered on from the highest id in use."""
     highest = dim.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    added = number_members(new_members(staged, column, dim)).select(
+    return number_members(new_members(staged, column, dim)).select(
         (highest + F.col("position")).cast("int").alias("id"),
         "name",
         as_of.alias("created_at"),
         as_of.alias("updated_at"),
     )
-    return dim.select("id", "name", "created_at", "updated_at").unionByName(added)
+
+
+def grow_dimension(dim: DataFrame, staged: DataFrame, column: str, as_of: Column) -> DataFrame:
+    """The dimension with its new members."""
+    known = dim.select("id", "name", "created_at", "updated_at")
+    return known.unionByName(added_members(dim, staged, column, as_of))
 
 
 def resolve_ids(facts: DataFrame, dim: DataFrame, column: str, id_column: str) -> DataFrame:

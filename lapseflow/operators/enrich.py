@@ -9,9 +9,13 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lapseflow import schemas
 from lapseflow.functions import names, responses
 from lapseflow.operators.ingest import DOMAIN_KEY
+from lapseflow.operators.joins import lookup_join
+from lapseflow.session import stored
 
 BACKLOG_SIZE = 500
 
@@ -92,11 +96,12 @@ def backlog(domains: DataFrame, missing: Sequence[str], size: int = BACKLOG_SIZE
 
 
 def latest_answers(landed: DataFrame, enrichers: Sequence[Enricher]) -> DataFrame:
-    """One row per domain: each source's latest usable answer, and the failed lookups.
+    """One row per domain: each source's latest usable answer with its time, and the failed lookups.
 
     One pass over the landed responses for all sources. The latest fetch wins,
     then the highest ``seq``; a maximum over structs, so each map task sends
-    one row per domain however many responses a domain has.
+    one row per domain however many responses a domain has. Such rows of several
+    batches can be merged in any order (:func:`merge_answers`).
     """
     own = landed.where(F.col("source").isin([e.source for e in enrichers]))
     parsed = own.select(
@@ -105,36 +110,51 @@ def latest_answers(landed: DataFrame, enrichers: Sequence[Enricher]) -> DataFram
 
     def latest(source: str) -> Column:
         answer = F.struct("fetched_at", "seq", F.col(source).alias("answer"))
-        return F.max(F.when(F.col(source).isNotNull(), answer))["answer"].alias(source)
+        return F.max(F.when(F.col(source).isNotNull(), answer)).alias(source)
 
     usable = reduce(or_, (F.col(e.source).isNotNull() for e in enrichers))
     return parsed.groupBy(*DOMAIN_KEY).agg(
-        *[latest(e.source) for e in enrichers], F.count_if(~usable).cast("int").alias("_failed")
+        *[latest(e.source) for e in enrichers], F.count_if(~usable).cast("int").alias("failed")
     )
 
 
-def apply_answers(
-    domains: DataFrame, answers: DataFrame, enrichers: Sequence[Enricher], as_of: Column
-) -> DataFrame:
+def dated_answers(answers: DataFrame, as_of: Column) -> DataFrame:
+    """Answers in the layout of the change log, with the time at which they came in."""
+    layout = T.StructType.fromDDL(schemas.CHANGE)
+    sources = [s for s in ENRICHERS if s in answers.columns]
+    answered = reduce(or_, (F.col(s).isNotNull() for s in sources))
+    dated = answers.withColumns(
+        {"answered_at": F.when(answered, as_of), "failed_at": F.when(F.col("failed") > 0, as_of)}
+    )
+    return dated.select(
+        [(F.col(f.name) if f.name in dated.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in layout]
+    )
+
+
+def merge_answers(changes: DataFrame) -> DataFrame:
+    """Dated answers of any number of runs as one row per domain; the newest fetch of a source wins."""
+    latest = [F.max(c).alias(c) for c in (*ENRICHERS, "answered_at", "failed_at")]
+    return changes.groupBy(*DOMAIN_KEY).agg(F.sum("failed").cast("int").alias("failed"), *latest)
+
+
+def apply_answers(domains: DataFrame, merged: DataFrame) -> DataFrame:
     """Overwrite the columns of every answered domain, with NULLs too.
 
-    Everything else stays as it is. An answer touches ``updated_at``; a failed
-    lookup only counts as an attempt.
+    ``merged``: dated answers, one row per domain. Everything else stays as it is.
+    An answer touches ``updated_at``; a failed lookup only counts as an attempt.
+    Answers measured as small are broadcast and the table stays where it is.
     """
-    hits = {e.source: F.col(f"_answers.{e.source}").isNotNull() for e in enrichers}
-    new = {
-        c: F.when(hits[e.source], e.value(F.col(f"_answers.{e.source}"), c)).otherwise(F.col(c))
-        for e in enrichers
-        for c in e.columns
-    }
-    failed = F.coalesce("_answers._failed", F.lit(0))
-    new["updated_at"] = F.when(reduce(or_, hits.values()), as_of).otherwise(F.col("updated_at"))
-    new["attempts"] = F.coalesce("attempts", F.lit(0)) + failed
-    new["last_attempt"] = F.when(failed > 0, as_of).otherwise(F.col("last_attempt"))
-    packed = answers.select(
-        *DOMAIN_KEY, F.struct("_failed", *[e.source for e in enrichers]).alias("_answers")
-    )
-    return domains.join(packed, list(DOMAIN_KEY), "left").select(
+    new = {}
+    for e in ENRICHERS.values():
+        given = F.col(f"_answers.{e.source}")
+        for c in e.columns:
+            new[c] = F.when(given.isNotNull(), e.value(given["answer"], c)).otherwise(F.col(c))
+    new["updated_at"] = F.coalesce("_answers.answered_at", "updated_at")
+    new["attempts"] = F.coalesce("attempts", F.lit(0)) + F.coalesce("_answers.failed", F.lit(0))
+    new["last_attempt"] = F.coalesce("_answers.failed_at", "last_attempt")
+    rest = [c for c in merged.columns if c not in DOMAIN_KEY]
+    packed = merged.select(*DOMAIN_KEY, F.struct(*rest).alias("_answers"))
+    return lookup_join(domains, packed, list(DOMAIN_KEY), "left").select(
         *[new[c].alias(c) if c in new else F.col(c) for c in domains.columns]
     )
 
@@ -142,8 +162,9 @@ def apply_answers(
 def apply_enrichment(
     domains: DataFrame, landed: DataFrame, enrichers: Sequence[Enricher], as_of: Column
 ) -> DataFrame:
-    """Bring landed responses of any of the sources into the domain table."""
-    return apply_answers(domains, latest_answers(landed, enrichers), enrichers, as_of)
+    """Bring all landed responses of any of the sources into the domain table."""
+    answers = dated_answers(latest_answers(landed, enrichers), as_of)
+    return apply_answers(domains, stored(answers, "answers"))
 
 
 def response_counts(landed: DataFrame, enrichers: Sequence[Enricher]) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from lapseflow import schemas
 from lapseflow.functions import names
 from lapseflow.operators import dims
+from lapseflow.operators.joins import is_small
+from lapseflow.session import stored
 
 
 # What a domain's id is computed from: joining on it equals joining on the id.
@@ -51,7 +53,7 @@ def insert_new_domains(
     Name and tld stand for the id they determine: the rows are partitioned by
     them already, and only rows that stay get an id computed.
     """
-    fresh = not_stored(first_wins(contract), target)
+    fresh = not_stored(stored(first_wins(contract), "firsts"), target)
     resolved = dims.resolve_ids(
         dims.resolve_ids(fresh, tld_dim, "tld", "tld_id"),
         registrar_dim,
@@ -62,17 +64,23 @@ def insert_new_domains(
 
 
 def not_stored(firsts: DataFrame, target: DataFrame) -> DataFrame:
-    """Distinct domains that the target lacks."""
-    return firsts.join(target.select(*DOMAIN_KEY), list(DOMAIN_KEY), "left_anti")
+    """Distinct domains that the target lacks.
+
+    For a batch measured as small the target isn't moved: its key columns are
+    scanned for the batch's keys, and the few hits leave the batch.
+    """
+    keys = list(DOMAIN_KEY)
+    known = target.select(*keys)
+    if not is_small(firsts.select(*keys)):
+        return firsts.join(known, keys, "left_anti")
+    hits = known.join(F.broadcast(firsts.select(*keys)), keys, "left_semi")
+    return firsts.join(F.broadcast(hits), keys, "left_anti")
 
 
 def to_domain_layout(df: DataFrame) -> DataFrame:
     """Domain-table columns in order and type; the ones ``df`` lacks become NULL."""
-    fields = T.StructType.fromDDL(schemas.DOMAIN).fields
-    missing = {f.name: F.lit(None) for f in fields if f.name not in df.columns}
-    if "attempts" in missing:
-        missing["attempts"] = F.lit(0)
-    return df.withColumns(missing).select([F.col(f.name).cast(f.dataType) for f in fields])
+    known = df if "attempts" in df.columns else df.withColumn("attempts", F.lit(0))
+    return in_layout(known, schemas.DOMAIN)
 
 
 def ingest_delta(before: DataFrame, inserted: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -105,9 +113,35 @@ def added_on(df: DataFrame, on: str, day: str = "date_added") -> DataFrame:
     return df.where((F.col(day) >= start) & (F.col(day) < start + F.make_dt_interval(days=F.lit(1))))
 
 
-def upsert_meta(attributes: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """One attribute row per domain id, the highest ``seq`` winning over older ones."""
-    rows = attributes if existing is None else attributes.unionByName(existing)
-    payload = [c for c in rows.columns if c not in ("domain_id", "seq")]
+def latest_by_domain(attributes: DataFrame) -> DataFrame:
+    """One attribute row per name and tld: the one with the highest ``seq``."""
+    payload = [c for c in attributes.columns if c not in (*DOMAIN_KEY, "seq")]
     latest = F.max(F.struct("seq", *payload)).alias("_latest")
-    return rows.groupBy("domain_id").agg(latest).select("domain_id", "_latest.*")
+    return attributes.groupBy(*DOMAIN_KEY).agg(latest).select(*DOMAIN_KEY, "_latest.*")
+
+
+def upsert_meta(attributes: DataFrame, layout: str, existing: DataFrame | None = None) -> DataFrame:
+    """A feed's attribute table: the highest ``seq`` of a domain wins over older rows, stored ones included.
+
+    ``attributes`` bear name and tld. They are reduced by these, and ids are computed for
+    the rows that stay. ``layout`` names the table's columns; ones that the feed lacks are NULL.
+    """
+    # Ids know no case.
+    folded = attributes.drop("domain_id").withColumns({c: F.lower(c) for c in DOMAIN_KEY})
+    latest = latest_by_domain(folded)
+    keyed = latest.withColumn("domain_id", names.domain_uuid(F.col("name"), F.col("tld")))
+    rows = in_layout(keyed, layout)
+    if existing is None:
+        return rows
+    both = rows.unionByName(in_layout(existing, layout))
+    payload = [c for c in both.columns if c not in ("domain_id", "seq")]
+    newest = F.max(F.struct("seq", *payload)).alias("_latest")
+    return both.groupBy("domain_id").agg(newest).select("domain_id", "_latest.*")
+
+
+def in_layout(df: DataFrame, layout: str) -> DataFrame:
+    """The columns of a layout in order and type; the ones ``df`` lacks become NULL."""
+    fields = T.StructType.fromDDL(layout).fields
+    return df.select(
+        [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapseflow.session import stored
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 48 * 1024 * 1024
 
@@ -26,13 +28,13 @@ MAX_PARTS = 1024
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (reading at most ``max_rows`` + 1 rows of it) against both bounds."""
+    """Measure ``df`` against both bounds: each task sums up its own rows, and only sums move."""
     width = reduce(
         lambda total, name: total + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(8)),
         df.columns,
         F.lit(0),
     )
-    seen = df.limit(max_rows + 1).select(width.cast("long").alias("width"))
+    seen = df.select(width.cast("long").alias("width"))
     rows, size = seen.agg(F.count("width"), F.coalesce(F.sum("width"), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
@@ -78,9 +80,12 @@ def spread_join(
     """Shuffle join in which each hot key is split into sub-keys.
 
     ``lookup`` holds at most one row per key. ``spread_on`` names fact columns
-    that tell the rows of one key apart; the sub-key is a hash of them, so a
-    task that runs again puts every row in the same place.
+    that tell the rows of one key apart. The sub-key is a hash of them and of the
+    row's partition, so equal rows are spread as well, and a task that runs again
+    puts every row in the same place. The facts are written first: finding
+    the hot keys then reads the key columns only and repeats no earlier work.
     """
+    facts = stored(facts, "facts")
     hot = hot_keys(facts, on, min_rows)
     if not hot:
         return facts.join(lookup, list(on), how)
@@ -92,7 +97,7 @@ def spread_join(
         return keyed.withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop("_key")
 
     salted = with_parts(facts).withColumn(
-        "_part", F.pmod(F.xxhash64(*spread_on), F.col("_parts").cast("long"))
+        "_part", F.pmod(F.xxhash64(F.spark_partition_id(), *spread_on), F.col("_parts").cast("long"))
     )
     copies = with_parts(lookup).withColumn(
         "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts").cast("long") - 1))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lapseflow import schemas
 from lapseflow.functions import names, values
+from lapseflow.session import stored
 
 CONTRACT = ("seq", "name", "tld", "registrar", "expired", "registered")
 
@@ -32,6 +33,17 @@ class Feed:
         rows = self.read(spark, path).withColumn("seq", F.lit(seq).cast("bigint"))
         return to_contract(rows, self.domain, registrar=F.lit(self.registrar))
 
+    def rejects(self, spark: SparkSession, path: str, seq: int = 0) -> DataFrame:
+        """The rows that :meth:`load` leaves out, as ``seq``, ``registrar``, ``domain`` and ``reason``."""
+        rows = self.read(spark, path).withColumn("seq", F.lit(seq).cast("bigint"))
+        return reject_rows(rows, self.domain, F.lit(self.registrar))
+
+    def load_all(self, spark: SparkSession, path: str, rejected: str, seq: int = 0) -> DataFrame:
+        """As :meth:`load`, with the rejects written to the table ``rejected``; the files are read once."""
+        rows = stored(self.read(spark, path).withColumn("seq", F.lit(seq).cast("bigint")), "feed")
+        reject_rows(rows, self.domain, F.lit(self.registrar)).write.mode("append").parquet(rejected)
+        return to_contract(rows, self.domain, registrar=F.lit(self.registrar))
+
 
 def split_domain(df: DataFrame, column: str = "domain_name", mode: str = "tail") -> DataFrame:
     """Add ``name`` (first label) and ``tld`` (the tail, or the second label only)."""
@@ -43,15 +55,15 @@ def split_domain(df: DataFrame, column: str = "domain_name", mode: str = "tail")
 
 
 def accepted(df: DataFrame, column: str = "domain_name") -> DataFrame:
-    """The rows that can be split; a plain text test that reaches the scan."""
-    return df.where(F.col(column).contains("."))
+    """The rows that can be split into a name and a tld; plain text tests that reach the scan."""
+    domain = F.col(column)
+    return df.where(domain.contains(".") & ~domain.startswith(".") & (names.tail(domain) != ""))
 
 
 def rejects(df: DataFrame, column: str = "domain_name") -> DataFrame:
-    """The rows that cannot be split, each with its reason."""
-    domain = F.col(column)
-    bad = df.where(domain.isNull() | ~domain.contains("."))
-    return bad.withColumn("reason", names.reject_reason(domain))
+    """The rows that cannot be split, each with its reason: all that :func:`accepted` leaves out."""
+    reasoned = df.withColumn("reason", names.reject_reason(F.col(column)))
+    return reasoned.where("reason IS NOT NULL")
 
 
 def tag_registrar(df: DataFrame, registrar: str) -> DataFrame:
@@ -138,10 +150,22 @@ def to_contract(
     )
 
 
-def from_staged(df: DataFrame) -> DataFrame:
-    """Staged batch rows (text dates, epoch for unknown) to the contract, without ``seq``."""
+def reject_rows(df: DataFrame, domain: str, registrar: Column | None = None) -> DataFrame:
+    """What :func:`to_contract` leaves out, with its reason."""
+    bad = rejects(df, domain)
+    return bad.select(
+        "seq",
+        F.lower(F.col("registrar") if registrar is None else registrar).alias("registrar"),
+        F.col(domain).alias("domain"),
+        "reason",
+    )
+
+
+def from_staged(df: DataFrame, seq: int = 0) -> DataFrame:
+    """Staged batch rows (text dates, epoch for unknown) to the contract; ``seq`` is the batch's turn."""
     return lower_keys(
         df.select(
+            F.lit(seq).cast("bigint").alias("seq"),
             "name",
             "tld",
             "registrar",

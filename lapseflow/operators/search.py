@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lapseflow.functions.text import trigrams
+from lapseflow.session import stored
 
 SIMILAR = 0.3
 PAGE_LIMIT = (1, 499)
-# Rows a page may skip by sorting them.
+# Rows a page may skip by sorting them; beyond, they are counted, with the same result.
 SHALLOW = 50_000
 
 
@@ -36,6 +37,8 @@ def term_search(
     nothing but near matches is paired with a term or leaves its row.
     Ties in similarity go to the smaller edit distance, then to the label.
     """
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must lie above 0 and be 1 at most")
     padded = F.concat(F.lit("  "), F.lower("name"), F.lit(" "))
     near = []
     for term in terms:
@@ -47,8 +50,9 @@ def term_search(
             F.lit(len(grams)).alias("size"),
         )
         near.append(F.when(shared >= math.ceil(threshold * len(grams) - 1e-9), hit))
-    labels = names.select(F.col(label).alias("name")).distinct()
-    pairs = labels.select("name", F.inline(F.array_compact(F.array(*near))))
+    labels = names.select(F.col(label).alias("name"))
+    # Only near matches are gathered to drop repeated ones.
+    pairs = labels.select("name", F.inline(F.array_compact(F.array(*near)))).distinct()
     union = F.size(trigrams(F.col("name"))) + F.col("size") - F.col("shared")
     hits = (
         pairs.select("name", "term", (F.col("shared") / union).alias("similarity"))
@@ -66,21 +70,34 @@ def _checked(limit: int, page: int = 1) -> None:
 
 
 def page(df: DataFrame, limit: int, number: int = 1, key: str = "domain_name") -> DataFrame:
-    """The n-th page in key order. Following pages one by one is cheaper with :func:`page_after`."""
-    _checked(limit, number)
-    start, skip = _near_start(df, (number - 1) * limit, key)
-    rows = df if start is None else df.where(F.col(key) >= start)
-    return rows.orderBy(key).offset(skip).limit(limit)
-
+    """The n-th page in key order; empty past the end. Rows without a key are on no page.
 
-def _near_start(df: DataFrame, skip: int, key: str) -> tuple[str | None, int]:
-    """A text at most SHALLOW rows before the ``skip``-th key, and the rows left to skip.
+    Following pages one by one is cheaper with :func:`page_after`.
+    """
+    _checked(limit, number)
+    rows, skip = df.where(F.col(key).isNotNull()), (number - 1) * limit
+    if skip <= SHALLOW:
+        return rows.orderBy(key).offset(skip).limit(limit)
+    rows = stored(rows, "page")
+    start = _near_start(rows, skip, key)
+    if start is None:
+        return rows.limit(0)
+    first, skip, equal = start
+    if not equal:
+        return rows.where(F.col(key) >= first).orderBy(key).offset(skip).limit(limit)
+    # So many rows bear one key that the page starts among them: which of them is the same.
+    head = rows.where(F.col(key) == first).limit(min(limit, equal - skip))
+    return head.unionByName(rows.where(F.col(key) > first).orderBy(key).limit(limit)).orderBy(key).limit(limit)
+
+
+def _near_start(df: DataFrame, skip: int, key: str) -> tuple[str, int, int] | None:
+    """A text near the ``skip``-th key, the rows left to skip from there, and the rows of just that key if it's hot.
 
     A top-k keeps all skipped rows, so a deep page is approached by counting
     instead: one more character of the key per pass, until few rows are left.
-    A pass returns one count per next character.
+    A pass returns one count per next character; None means past the last key.
     """
-    prefix, start = "", None
+    prefix = start = ""
     while skip > SHALLOW:
         below = df.where(F.col(key).startswith(prefix))
         head = F.substring(key, 1, len(prefix) + 1).alias("head")
@@ -91,14 +108,14 @@ def _near_start(df: DataFrame, skip: int, key: str) -> tuple[str | None, int]:
                 break
             passed += row["count"]
         else:
-            # The page lies behind the last key.
-            return start, skip
+            return None
         skip -= passed
         start = row["head"]
         if start == prefix:
-            return start, skip
+            # The key itself, which has no further character.
+            return start, skip, row["count"]
         prefix = start
-    return start, skip
+    return start, skip, 0
 
 
 def page_after(df: DataFrame, limit: int, last: str, key: str = "domain_name") -> DataFrame:

@@ -110,19 +110,13 @@ def record_attempts(x: Inputs) -> DataFrame:
 
 @query("update_domains", "SELECT t.id, t.name, t.tld, r.score AS alexa_score FROM fx_table t LEFT JOIN fx_new_rank r ON r.id = t.id")
 def update_domains(x: Inputs) -> DataFrame:
-    """A new version of the stored table: only the buckets with answers are rewritten."""
+    """The stored table with answers from its log, before and after folding it."""
     path = scratch_path(x.spark, "domain")
     domain_table.append_domains(x.domain_table(), path)
-    rank = [ENRICHERS["alexa"]]
-    answers = stored(enrich.latest_answers(x.responses(), rank), "answers")
-    domain_table.rewrite_touched(
-        x.spark,
-        path,
-        answers,
-        lambda rows: enrich.apply_answers(rows, answers, rank, moment(ENRICHED)),
-        run=path.rsplit("/", 1)[-1],
-    )
-    return domain_table.read_domains(x.spark, path).select("id", "name", "tld", "alexa_score")
+    answers = enrich.latest_answers(x.responses(), [ENRICHERS["alexa"]])
+    domain_table.append_changes(answers, path, "first", moment(ENRICHED))
+    domain_table.fold_changes(x.spark, path)
+    return domain_table.read_current(x.spark, path).select("id", "name", "tld", "alexa_score")
 
 
 @query("coverage_report", """
@@ -136,6 +130,7 @@ def coverage_report(x: Inputs) -> DataFrame:
 
 # Labels
 
+# The affixes that the scores know, as patterns for the SQL side.
 _PREFIX = "anti|de|dis|em|en|fore|il|im|in|inter|ir|mid|mis|non|over|pre|re|semi|sub|super|trans|un|under"
 _SUFFIX = "able|al|ation|ative|ed|en|eous|er|es|est|ful|ial|ible|ic|ing|ion|ious|ition|itive|ity|ive|less|ly|ment|ness|ous|s|tion|y"
 

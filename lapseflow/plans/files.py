@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapseflow.functions import names
-from lapseflow.operators import feed, normalise
+from lapseflow.operators import feed, ingest, normalise
 from lapseflow.plans.ingest import market_rows
 from lapseflow.plans.inputs import AS_OF, Inputs, moment
 from lapseflow.plans.registry import query
+from lapseflow.plans.views import uuid_sql
 from lapseflow.session import scratch_path
 from lapseflow.sinks import files
 from lapseflow.sources import auctions, feeds, tables
@@ -62,8 +63,8 @@ def auction_columns(df: DataFrame) -> DataFrame:
 
 @query("scan_auction_json", _AUCTION)
 def scan_auction_json(x: Inputs) -> DataFrame:
-    path = scratch_path(x.spark, "envelopes")
-    envelope_documents(x).select("document").write.option("maxRecordsPerFile", 1).text(path)
+    documents = envelope_documents(x).select("document")
+    path = x.landed("envelopes", documents.write.option("maxRecordsPerFile", 1).text)
     return auction_columns(auctions.auction_json(x.spark, path))
 
 
@@ -111,7 +112,7 @@ def load_feeds(x: Inputs) -> DataFrame:
 @query("scan_zip_json", _AUCTION)
 def scan_zip_json(x: Inputs) -> DataFrame:
     archives = zipped(envelope_documents(x))
-    return auction_columns(auctions.entries_of(auctions.unzip(archives)))
+    return auction_columns(auctions.unzipped_listings(archives))
 
 
 @query("scan_auction_csv", """
@@ -120,8 +121,7 @@ def scan_zip_json(x: Inputs) -> DataFrame:
            CAST(l.seq AS INTEGER) AS traffic
     FROM fx_listing l JOIN fx_attr a ON a.seq = l.seq""")
 def scan_auction_csv(x: Inputs) -> DataFrame:
-    path = scratch_path(x.spark, "market")
-    market_rows(x).write.csv(path, sep=";", encoding="UTF-16", header=True)
+    path = x.landed("market", lambda to: market_rows(x).write.csv(to, sep=";", encoding="UTF-16", header=True))
     rows = normalise.rename_market_columns(auctions.market_csv(x.spark, path))
     return rows.select(
         names.first_label(F.col("name")).alias("name"),
@@ -138,9 +138,7 @@ def _staged(x: Inputs) -> DataFrame:
         "domain_name",
         registered=F.when(F.col("seq") % 3 > 0, F.col("auction_end")),
     )
-    path = scratch_path(x.spark, "staged")
-    files.write_batches(rows, path)
-    return tables.staged_csv(x.spark, path)
+    return tables.staged_csv(x.spark, x.landed("batches", lambda to: files.write_batches(rows, to)))
 
 
 @query("write_batches", """
@@ -153,7 +151,19 @@ def write_batches(x: Inputs) -> DataFrame:
 
 @query("scan_staged_csv", "SELECT name, tld, registrar, CAST(NULL AS TIMESTAMP) AS expired, CASE WHEN seq % 3 > 0 THEN auction_end END AS registered FROM fx_norm")
 def scan_staged_csv(x: Inputs) -> DataFrame:
-    return normalise.from_staged(_staged(x))
+    return normalise.from_staged(_staged(x)).drop("seq")
+
+
+@query("insert_staged_batches", f"""
+    SELECT {uuid_sql("d.name || '.' || d.tld")} AS id, d.name, d.tld, t.id AS tld_id, r.id AS registrar_id
+    FROM (SELECT name, tld, min(registrar) AS registrar FROM fx_norm GROUP BY name, tld) d
+    JOIN fx_tld t ON t.name = d.tld JOIN fx_registrar r ON r.name = d.registrar""")
+def insert_staged_batches(x: Inputs) -> DataFrame:
+    """Staged batch files read back and inserted; within one batch the first registrar in the alphabet wins."""
+    rows = normalise.from_staged(_staged(x), seq=1)
+    none = ingest.empty_domains(x.spark)
+    fresh = ingest.insert_new_domains(rows, none, x.tld_dim(), x.registrar_dim(), moment(AS_OF))
+    return fresh.select("id", "name", "tld", "tld_id", "registrar_id")
 
 
 def _exported(x: Inputs) -> str:
@@ -175,6 +185,25 @@ def export_csv(x: Inputs) -> DataFrame:
     return x.spark.read.schema(layout).csv(_exported(x), header=True, quote='"', escape='"')
 
 
-@query("export_manifest")
+@query("export_manifest", """
+    SELECT registrar, true AS linked, true AS filled, true AS dated, count(*) AS n_rows
+    FROM fx_dated GROUP BY registrar""")
 def export_manifest(x: Inputs) -> DataFrame:
-    return files.export_manifest(x.spark, _exported(x), "https://files.example.org/")
+    """An export folder per registrar: what its manifest says, next to the rows that its files hold."""
+    root = scratch_path(x.spark, "exports")
+    x.dated().select("registrar", "name", "tld", "expired").write.partitionBy("registrar").csv(
+        root, header=True, quote='"', escape='"'
+    )
+    base = "https://files.example.org/"
+    lines = files.export_manifest(x.spark, root, base)
+    said = lines.groupBy("folder").agg(
+        F.every(F.col("file_name").rlike(f'^<a href="{base}[^"]+[.]csv">[^<]+[.]csv</a>$')).alias("linked"),
+        F.every(F.col("size") > 0).alias("filled"),
+        F.every(F.col("date").isNotNull()).alias("dated"),
+    )
+    layout = "name STRING, tld STRING, expired TIMESTAMP_NTZ, registrar STRING"
+    held = x.spark.read.schema(layout).csv(root, header=True, quote='"', escape='"')
+    counted = held.groupBy("registrar").agg(F.count(F.lit(1)).alias("n_rows"))
+    return said.withColumn("registrar", F.split_part("folder", F.lit("="), F.lit(2))).join(counted, "registrar").select(
+        "registrar", "linked", "filled", "dated", "n_rows"
+    )

@@ -11,7 +11,8 @@ from lapseflow.operators.enrich import ENRICHERS, unenriched
 from lapseflow.plans.inputs import KNOWN_BEFORE, LOADED, Inputs, moment
 from lapseflow.plans.registry import query
 from lapseflow.plans.views import uuid_sql
-from lapseflow.schemas import MARKET_COLUMNS, MARKET_EXTRA
+from lapseflow.schemas import AUCTION_META, MARKET_COLUMNS, MARKET_EXTRA, MARKET_META
+from lapseflow.session import stored
 from lapseflow.sources import tables
 
 # Splitting, rejecting, folding
@@ -360,10 +361,10 @@ def ingest_delta(x: Inputs) -> DataFrame:
     WHERE rn = 1""")
 def upsert_auction_meta(x: Inputs) -> DataFrame:
     typed = normalise.type_auction_attributes(x.attributes())
-    rows = ingest.with_id(x.norm().select("seq", "name", "tld")).select(
-        F.col("id").alias("domain_id"), "seq"
-    )
-    latest = ingest.upsert_meta(rows.join(typed, "seq"))
+    rows = x.norm().select("seq", "name", "tld").join(typed, "seq")
+    # A first load of the odd rows, then all rows on top of what it stored.
+    old = stored(ingest.upsert_meta(rows.where("seq % 2 = 1"), AUCTION_META), "auction-meta")
+    latest = ingest.upsert_meta(rows, AUCTION_META, old)
     return latest.select(
         "domain_id",
         "seq",
@@ -389,9 +390,16 @@ def upsert_market_meta(x: Inputs) -> DataFrame:
     renamed = normalise.accepted(normalise.rename_market_columns(market_rows(x)), "name")
     typed = normalise.type_market_attributes(renamed)
     domain = F.col("name")
-    keyed = typed.select(
-        names.domain_uuid(names.first_label(domain), names.tail(domain)).alias("domain_id"),
-        F.col("traffic").cast("bigint").alias("seq"),
+    keyed = typed.withColumns(
+        {
+            "name": names.first_label(domain),
+            "tld": names.tail(domain),
+            "seq": F.col("traffic").cast("bigint"),
+        }
+    )
+    return ingest.upsert_meta(keyed, MARKET_META).select(
+        "domain_id",
+        "seq",
         "start_time",
         "end_time",
         F.col("reserve_price").cast("double").alias("reserve_price"),
@@ -399,7 +407,6 @@ def upsert_market_meta(x: Inputs) -> DataFrame:
         "domain_has_hyphen",
         "domain_length",
     )
-    return ingest.upsert_meta(keyed)
 
 
 # Checks

@@ -8,12 +8,14 @@ that states the same inputs on its own (``views``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapseflow.operators import dims, ingest, normalise
 from lapseflow.operators.enrich import ENRICHERS, apply_enrichment
-from lapseflow.session import stored
+from lapseflow.session import scratch_path, stored
 
 # Listings that ended before this day make up the table as it stood before the load.
 KNOWN_BEFORE = "1996-01-01 00:00:00"
@@ -32,6 +34,15 @@ class Inputs:
         self.folder = folder.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
+
+    def landed(self, label: str, write: Callable[[str], None]) -> str:
+        """The path of files that are written once and then read by any number of queries."""
+        if label not in self._paths:
+            path = scratch_path(self.spark, label)
+            write(path)
+            self._paths[label] = path
+        return self._paths[label]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -145,14 +156,17 @@ class Inputs:
         return self.dim("registrar")
 
     def domain_table(self) -> DataFrame:
-        """The domain table right after loading, each row dated by its first listing."""
-        return ingest.insert_new_domains(
-            self.staged().drop("price"),
-            ingest.empty_domains(self.spark),
-            self.tld_dim(),
-            self.registrar_dim(),
-            F.col("auction_end"),
-        )
+        """The domain table right after loading, each row dated by its first listing, landed once."""
+        if "domain" not in self._stored:
+            rows = ingest.insert_new_domains(
+                self.staged().drop("price"),
+                ingest.empty_domains(self.spark),
+                self.tld_dim(),
+                self.registrar_dim(),
+                F.col("auction_end"),
+            )
+            self._stored["domain"] = stored(rows, "domain")
+        return self._stored["domain"]
 
     # Pages
 
@@ -223,7 +237,10 @@ class Inputs:
         )
 
     def responses(self) -> DataFrame:
-        return self.responses_of(self.bodies())
+        """All responses, landed once."""
+        if "responses" not in self._stored:
+            self._stored["responses"] = stored(self.responses_of(self.bodies()), "responses")
+        return self._stored["responses"]
 
     def enriched(self) -> DataFrame:
         """The domain table after one round of each lookup."""

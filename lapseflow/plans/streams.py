@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapseflow.operators import normalise
 from lapseflow.operators.enrich import ENRICHERS
 from lapseflow.plans.inputs import ENRICHED, LOADED, Inputs, moment
 from lapseflow.plans.registry import query
@@ -27,9 +26,9 @@ def loaded_root(x: Inputs, rounds: int) -> str:
     loops.create_tables(x.spark, root)
     run = root.rsplit("/", 1)[-1]
     for number in range(rounds):
-        contract = normalise.to_contract(x.listings_of(table_stream(x, "orders")), "domain_name")
+        listings = x.listings_of(table_stream(x, "orders"))
         loops.stream_listing_ingest(
-            contract, root, moment(LOADED), f"{run}-{number}"
+            listings, root, moment(LOADED), f"{run}-{number}"
         ).awaitTermination()
     return root
 
@@ -47,6 +46,12 @@ def stream_listing_ingest(x: Inputs) -> DataFrame:
     return domain_table.read_domains(x.spark, f"{root}/domain").select(*_COLUMNS)
 
 
+@query("stream_rejects", "SELECT seq, lower(registrar) AS registrar, domain_name AS domain, 'no_dot' AS reason FROM fx_listing WHERE domain_name NOT LIKE '%.%'")
+def stream_rejects(x: Inputs) -> DataFrame:
+    """The listings that a stream could not load."""
+    return loops.read_rejects(x.spark, loaded_root(x, rounds=1)).drop("run")
+
+
 @query("dedup_repeat_listing", _LOADED)
 def dedup_repeat_listing(x: Inputs) -> DataFrame:
     """The same listings delivered again on a second day add nothing."""
@@ -65,8 +70,8 @@ def stream_enrichment_apply(x: Inputs) -> DataFrame:
     domain_table.append_domains(x.domain_table(), path)
     landed = x.responses_of(x.bodies_of(table_stream(x, "events"))).where(F.col("source") == "whois")
     loops.stream_enrichment_apply(
-        landed, ENRICHERS["whois"], path, moment(ENRICHED), path.rsplit("/", 1)[-1]
+        landed, [ENRICHERS["whois"]], path, moment(ENRICHED), path.rsplit("/", 1)[-1]
     ).awaitTermination()
-    return domain_table.read_domains(x.spark, path).select(
+    return domain_table.read_current(x.spark, path).select(
         "id", "registered", "expired", "updated_at", "attempts"
     )

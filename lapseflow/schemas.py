@@ -26,6 +26,11 @@ MARKET_COLUMNS = {
 MARKET_EXTRA = ("Link",)
 
 STAGED = "name STRING, tld STRING, registrar STRING, expired STRING, registered STRING"
+# Both sides of a batch file: real quotes, line breaks within them, and empty text apart from NULL.
+STAGED_QUOTING = {
+    "quote": '"', "escape": '"', "nullValue": "\\N", "multiLine": True,
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 DIMENSION = "id INT, name STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ"
 
@@ -36,21 +41,27 @@ DOMAIN = (
     "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ"
 )
 
-# Attribute tables of the feeds and lookups, one row per domain id.
+# Answers of one run: each source's latest with its time, and the lookups that failed.
+CHANGE = (
+    "name STRING, tld STRING, "
+    "alexa STRUCT<fetched_at: TIMESTAMP_NTZ, seq: BIGINT, answer: INT>, "
+    "wiki STRUCT<fetched_at: TIMESTAMP_NTZ, seq: BIGINT, answer: BOOLEAN>, "
+    "whois STRUCT<fetched_at: TIMESTAMP_NTZ, seq: BIGINT, "
+    "answer: STRUCT<registered: TIMESTAMP_NTZ, expired: TIMESTAMP_NTZ>>, "
+    "failed INT, answered_at TIMESTAMP_NTZ, failed_at TIMESTAMP_NTZ"
+)
+
+# Attribute tables of the feeds, one row per domain id, with the row's turn.
 AUCTION_META = (
-    "domain_id STRING, auctionType STRING, auctionEndTime TIMESTAMP_NTZ, price DECIMAL(19,2), "
-    "numberOfBids INT, domainAge INT, description STRING, pageviews INT, valuation DECIMAL(19,2), "
-    "monthlyParkingRevenue DECIMAL(19,2), isAdult BOOLEAN"
+    "domain_id STRING, seq BIGINT, auctionType STRING, auctionEndTime TIMESTAMP_NTZ, "
+    "price DECIMAL(19,2), numberOfBids INT, domainAge INT, description STRING, pageviews INT, "
+    "valuation DECIMAL(19,2), monthlyParkingRevenue DECIMAL(19,2), isAdult BOOLEAN"
 )
 MARKET_META = (
-    "domain_id STRING, start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, "
+    "domain_id STRING, seq BIGINT, start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, "
     "reserve_price DECIMAL(19,2), domain_is_idn BOOLEAN, domain_has_hyphen BOOLEAN, "
     "domain_has_numbers BOOLEAN, domain_length INT, tld STRING, traffic INT"
 )
-POPULARITY_META = (
-    "domain_id STRING, popularity INT, reach_rank INT, rank_delta INT, country_code STRING, "
-    "country_name STRING, country_rank INT"
-)
 
 RESPONSE = "domain STRING, source STRING, body STRING, fetched_at TIMESTAMP_NTZ, error STRING"
 

@@ -1,19 +1,28 @@
-"""The stored domain table: Parquet in hash buckets, rewritten bucket by bucket."""
+"""The stored domain table: appended domains, and a log of what lookups changed.
+
+Domains are only ever appended. Answers go to a log of changes, one folder per run, so their cost
+follows the answers and not the table, writers never touch each other's files, and a run that is
+repeated replaces its own folder only. A read joins the table to the newest change of each domain.
+Folding the log writes a merged copy beside it and names it, with the runs it covers, in a list of
+folds; until that last small write nothing is different, and runs that came in meanwhile are not covered.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapseflow import schemas
+from lapseflow.operators.enrich import apply_answers, dated_answers, merge_answers
 from lapseflow.operators.ingest import DOMAIN_KEY
-from lapseflow.session import shared_folder
 
 # Bucket count of a small table; a large one takes as many as give files of about 1 GB.
 BUCKETS = 8
 _LAYOUT = f"{schemas.DOMAIN}, bucket INT"
+_FOLDS = "number BIGINT, folder STRING, runs ARRAY<STRING>"
 
 
 def bucket_of(buckets: int) -> Column:
@@ -21,6 +30,7 @@ def bucket_of(buckets: int) -> Column:
 
 
 def read_domains(spark: SparkSession, path: str) -> DataFrame:
+    """The domains as they were inserted, without later answers."""
     return spark.read.schema(_LAYOUT).parquet(path)
 
 
@@ -30,45 +40,56 @@ def append_domains(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     bucketed.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
 
 
-def _is_complete(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
-
-
-def rewrite_touched(
-    spark: SparkSession,
-    path: str,
-    keys: DataFrame,
-    change: Callable[[DataFrame], DataFrame],
-    run: str,
-    buckets: int = BUCKETS,
-) -> None:
-    """Publish ``change`` to the buckets that hold ``keys``; the others are not read.
-
-    The new buckets are staged whole in the shared folder before they replace
-    the old ones, under the name of the run. If a run dies while replacing, the
-    same run started again replaces from what it staged, not from a table that
-    may lack rows by then.
-    """
-    staged = f"{shared_folder(spark)}/lapseflow/publish/{run}"
-    if not _is_complete(spark, staged):
-        # Control data only: at most one small integer per bucket.
-        touched = [
-            row.bucket for row in keys.select(bucket_of(buckets).alias("bucket")).distinct().collect()
-        ]
-        if not touched:
-            return
-        current = read_domains(spark, path)
-        if len(touched) < buckets:
-            current = current.where(F.col("bucket").isin(touched))
-        changed = change(current).hint("rebalance", "bucket")
-        changed.write.mode("overwrite").partitionBy("bucket").parquet(staged)
-    (
-        spark.read.schema(_LAYOUT)
-        .parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+def _read_or_empty(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    try:
+        return spark.read.schema(layout).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], layout)
+
+
+def append_changes(answers: DataFrame, path: str, run: str, as_of: Column) -> None:
+    """Log the latest answers of one run; the same run again replaces what it logged."""
+    dated_answers(answers, as_of).write.mode("overwrite").parquet(f"{path}-changes/run={run}")
+
+
+def _last_fold(spark: SparkSession, path: str) -> tuple[int, str | None, list[str]]:
+    # One row per fold. Of two folds with one number, made at the same time, either is whole.
+    folds = _read_or_empty(spark, f"{path}-folds", _FOLDS)
+    last = folds.orderBy(F.desc("number"), "folder").first()
+    return (last.number, last.folder, last.runs) if last else (0, None, [])
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    return _read_or_empty(spark, f"{path}-changes", f"{schemas.CHANGE}, run STRING")
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The newest change of each domain; runs that a fold covers are not read again."""
+    _, folder, runs = _last_fold(spark, path)
+    log = _log(spark, path)
+    if folder is not None:
+        folded = spark.read.schema(schemas.CHANGE).parquet(folder)
+        log = log.where(~F.col("run").isin(runs)).drop("run").unionByName(folded)
+    return merge_answers(log)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The domains with the newest answer of every source."""
+    return apply_answers(read_domains(spark, path), read_changes(spark, path))
+
+
+def fold_changes(spark: SparkSession, path: str) -> None:
+    """Merge the log, so that a read has one row per changed domain and a short tail of runs."""
+    number, folder, covered = _last_fold(spark, path)
+    log = _log(spark, path)
+    # Names of runs, not rows.
+    runs = sorted(r.run for r in log.select("run").distinct().collect())
+    fresh = log.where(F.col("run").isin(runs) & ~F.col("run").isin(covered)).drop("run")
+    if folder is not None:
+        fresh = fresh.unionByName(spark.read.schema(schemas.CHANGE).parquet(folder))
+    target = f"{path}-folded/{uuid.uuid4().hex}"
+    merge_answers(fresh).write.parquet(target)
+    line = spark.createDataFrame([(number + 1, target, sorted({*runs, *covered}))], _FOLDS)
+    line.coalesce(1).write.mode("append").parquet(f"{path}-folds")

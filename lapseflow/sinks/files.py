@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapseflow import schemas
 from lapseflow.functions.text import html_link
 from lapseflow.functions.values import staged_date_text
 
@@ -17,7 +18,7 @@ def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def export_manifest(spark: SparkSession, path: str, base_url: str) -> DataFrame:
-    """Link, modification date and size of every exported ``.csv`` below ``path``.
+    """Folder, link, modification date and size of every exported ``.csv`` below ``path``.
 
     Only file metadata is read.
     """
@@ -29,6 +30,7 @@ def export_manifest(spark: SparkSession, path: str, base_url: str) -> DataFrame:
     )
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(
+        F.element_at(F.split("path", "/"), -2).alias("folder"),
         html_link(name, base_url).alias("file_name"),
         F.to_date("modificationTime").alias("date"),
         F.col("length").alias("size"),
@@ -37,7 +39,7 @@ def export_manifest(spark: SparkSession, path: str, base_url: str) -> DataFrame:
 
 def append_manifest(manifest: DataFrame, path: str) -> None:
     """Add a run's lines to the kept manifest; its readers see one header."""
-    export_csv(manifest, path, mode="append")
+    export_csv(manifest.drop("folder"), path, mode="append")
 
 
 def write_batches(contract: DataFrame, path: str, rows: int = BATCH_ROWS) -> None:
@@ -48,7 +50,7 @@ def write_batches(contract: DataFrame, path: str, rows: int = BATCH_ROWS) -> Non
         "registrar",
         staged_date_text(F.col("expired")).alias("expired"),
         staged_date_text(F.col("registered")).alias("registered"),
-    ).write.option("maxRecordsPerFile", rows).csv(path, quote='"', escape='"')
+    ).write.options(maxRecordsPerFile=rows, **schemas.STAGED_QUOTING).csv(path)
 
 
 def write_archive(old: DataFrame, path: str) -> None:

@@ -9,8 +9,8 @@ from lapseflow import schemas
 
 
 def staged_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Staged five-column batch files."""
-    return spark.read.schema(schemas.STAGED).csv(path)
+    """Staged five-column batch files, quoted as :func:`lapseflow.sinks.files.write_batches` quotes them."""
+    return spark.read.schema(schemas.STAGED).csv(path, **schemas.STAGED_QUOTING)
 
 
 def json_recordset(df: DataFrame, column: str, layout: str = schemas.RECORDSET) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lapseflow import schemas
-from lapseflow.operators import dims, ingest
-from lapseflow.operators.enrich import Enricher, apply_answers, latest_answers
-from lapseflow.session import shared_folder
+from lapseflow.operators import dims, ingest, normalise
+from lapseflow.operators.enrich import Enricher, latest_answers
+from lapseflow.session import shared_folder, stored
 from lapseflow.sinks import domain_table as table
 
 FILES_PER_PASS = 5
@@ -39,11 +41,12 @@ def _run_available(stream: DataFrame, name: str, step) -> StreamingQuery:
 
 
 def _grown(spark: SparkSession, path: str, staged: DataFrame, column: str, as_of: Column) -> DataFrame:
-    """Append a dimension's new members to its stored files and read it back."""
-    stored = spark.read.schema(schemas.DIMENSION).parquet(path)
-    known = stored.select("id")
-    grown = dims.grow_dimension(stored, staged, column, as_of)
-    grown.join(known, "id", "left_anti").write.mode("append").parquet(path)
+    """Append a dimension's new members to its stored files and read it back.
+
+    One writer at a time: two would number their new members alike.
+    """
+    known = spark.read.schema(schemas.DIMENSION).parquet(path)
+    dims.added_members(known, staged, column, as_of).write.mode("append").parquet(path)
     return spark.read.schema(schemas.DIMENSION).parquet(path)
 
 
@@ -55,46 +58,46 @@ def create_tables(spark: SparkSession, root: str, buckets: int = table.BUCKETS)
 
 
 def stream_listing_ingest(
-    contract: DataFrame, root: str, as_of: Column, name: str, buckets: int = table.BUCKETS
+    listings: DataFrame, root: str, as_of: Column, name: str, domain: str = "domain_name", buckets: int = table.BUCKETS
 ) -> StreamingQuery:
-    """Load every pending listing of a stream into the tables below ``root``.
+    """Load every pending listing (``seq``, ``registrar`` and ``domain``) into the tables below ``root``.
 
-    A batch that runs again adds nothing: domains already stored are skipped.
+    A batch is read once, reduced to a row per domain and stored. Listings that can't be split go
+    to ``root``/rejects with a reason. A batch that runs again adds nothing: domains
+    already stored are skipped, and its rejects are replaced. One such stream at a time
+    may write to a ``root``.
     """
 
-    def step(batch: DataFrame, _: int) -> None:
+    def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = ingest.first_wins(batch).persist()
+        listed = stored(batch.select("seq", "registrar", domain), "listed")
+        normalise.reject_rows(listed, domain).write.mode("overwrite").parquet(f"{root}/rejects/run={name}-{number}")
+        rows = stored(ingest.first_wins(normalise.to_contract(listed, domain)), "firsts")
+        # A registrar may appear with losing listings only; these count as well.
         tlds = _grown(spark, f"{root}/tld", rows, "tld", as_of)
-        registrars = _grown(spark, f"{root}/registrar", batch, "registrar", as_of)
+        registrars = _grown(spark, f"{root}/registrar", normalise.accepted(listed, domain), "registrar", as_of)
         target = table.read_domains(spark, f"{root}/domain")
         fresh = ingest.insert_new_domains(rows, target, tlds, registrars, as_of)
         table.append_domains(fresh, f"{root}/domain", buckets)
-        rows.unpersist()
 
-    return _run_available(contract, name, step)
+    return _run_available(listings, name, step)
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """What the listing streams below ``root`` couldn't load."""
+    return spark.read.schema("seq BIGINT, registrar STRING, domain STRING, reason STRING, run STRING").parquet(f"{root}/rejects")
 
 
 def stream_enrichment_apply(
-    landed: DataFrame,
-    enricher: Enricher,
-    path: str,
-    as_of: Column,
-    name: str,
-    buckets: int = table.BUCKETS,
+    landed: DataFrame, enrichers: Sequence[Enricher], path: str, as_of: Column, name: str
 ) -> StreamingQuery:
-    """Apply landed responses of one kind to the stored domain table as they arrive."""
+    """Log landed responses of any kinds for the stored domain table as they arrive.
+
+    One pass parses a batch for all kinds. The table itself is neither read nor written; a
+    batch that runs again replaces its own part of the log.
+    """
 
     def step(batch: DataFrame, number: int) -> None:
-        answers = latest_answers(batch, [enricher]).persist()
-        table.rewrite_touched(
-            batch.sparkSession,
-            path,
-            answers,
-            lambda current: apply_answers(current, answers, [enricher], as_of),
-            f"{name}-{number}",
-            buckets,
-        )
-        answers.unpersist()
+        table.append_changes(latest_answers(batch, enrichers), path, f"{name}-{number}", as_of)
 
     return _run_available(landed, name, step)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import zipfile
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from lapseflow.operators import ingest, normalise
+from lapseflow import schemas
+from lapseflow.operators import enrich, ingest, normalise
 from lapseflow.operators.enrich import ENRICHERS, apply_enrichment
 from lapseflow.plans.inputs import LOADED, Inputs, moment
 from lapseflow.session import scratch_path
@@ -129,7 +131,7 @@ def contract_rows(x):
 
 def test_stream_in_bites_equals_batch(spark, x, tmp_path):
     source = str(tmp_path / "landed")
-    rows = contract_rows(x).repartitionByRange(12, "seq")
+    rows = x.listing().repartitionByRange(12, "seq")
     rows.write.parquet(source)
     root = scratch_path(spark, "test-tables")
     loops.create_tables(spark, root)
@@ -146,41 +148,172 @@ def test_stream_in_bites_equals_batch(spark, x, tmp_path):
     assert len({r.name for r in tlds}) == len(tlds)
 
 
+def logged(spark, path):
+    """The stored table with its answers, as comparable rows."""
+    columns = ("name", "tld", "alexa_score", "has_wiki", "registered", "expired", "attempts")
+    return sorted(map(tuple, domain_table.read_current(spark, path).select(*columns).collect()), key=str)
+
+
+def fresh_table(spark, domains):
+    path = scratch_path(spark, "test-domain")
+    domain_table.append_domains(domains, path)
+    return path
+
+
+def applied(domains, answers):
+    columns = ("name", "tld", "alexa_score", "has_wiki", "registered", "expired", "attempts")
+    out = apply_enrichment(domains, answers, list(ENRICHERS.values()), moment(LOADED))
+    return sorted(map(tuple, out.select(*columns).collect()), key=str)
+
+
 def test_stream_of_answers_equals_batch(spark, x, tmp_path):
+    """All kinds in one stream, in several batches, newest answers first."""
     source = str(tmp_path / "answers")
     answers = x.responses()
-    answers.repartitionByRange(7, "fetched_at").write.parquet(source)
-    path = scratch_path(spark, "test-domain")
-    base = x.domain_table()
-    domain_table.append_domains(base, path)
-    want = apply_enrichment(base, answers, [ENRICHERS["alexa"]], moment(LOADED)).select("id", "alexa_score").collect()
-    stream = loops.file_stream(spark, source, answers.schema, files_per_pass=100)
-    loops.stream_enrichment_apply(
-        stream, ENRICHERS["alexa"], path, moment(LOADED), path.rsplit("/", 1)[-1]
-    ).awaitTermination()
-    got = domain_table.read_domains(spark, path).select("id", "alexa_score").collect()
-    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
-
-
-def test_rewrite_leaves_other_buckets_and_resumes(spark, x):
-    path = scratch_path(spark, "test-rewrite")
-    domain_table.append_domains(x.domain_table(), path)
-    before = domain_table.read_domains(spark, path)
-    total = before.count()
-    one = before.where("bucket = 0").select("name", "tld").limit(1).collect()
-    keys = spark.createDataFrame(one, "name STRING, tld STRING")
-    seen = []
-
-    def change(rows):
-        seen.append(rows.select("bucket").distinct().count())
-        return rows.withColumn("branding_score", F.lit(1))
-
-    run = path.rsplit("/", 1)[-1]
-    domain_table.rewrite_touched(spark, path, keys, change, run)
-    assert seen == [1]
-    scored = domain_table.read_domains(spark, path)
-    assert scored.count() == total
-    assert {r.bucket for r in scored.where("branding_score = 1").collect()} == {0}
-    # The same run again replaces from what it staged and computes nothing.
-    domain_table.rewrite_touched(spark, path, keys, change, run)
-    assert seen == [1] and domain_table.read_domains(spark, path).count() == total
+    days = [r.d for r in answers.select(F.to_date("fetched_at").alias("d")).distinct().orderBy(F.desc("d")).collect()]
+    cuts = days[:: max(1, len(days) // 6)][1:7]
+    for number, (high, low) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):
+        part = answers
+        part = part if high is None else part.where(F.to_date("fetched_at") < F.lit(high))
+        part = part if low is None else part.where(F.to_date("fetched_at") >= F.lit(low))
+        part.coalesce(1).write.parquet(f"{source}/{number}")
+    path = fresh_table(spark, x.domain_table())
+    stream = loops.file_stream(spark, f"{source}/*", answers.schema, files_per_pass=2)
+    query = loops.stream_enrichment_apply(stream, list(ENRICHERS.values()), path, moment(LOADED), path.rsplit("/", 1)[-1])
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) >= 3
+    assert logged(spark, path) == applied(x.domain_table(), answers)
+
+
+def one_answer(spark, domain, source, body, day, seq):
+    return spark.createDataFrame(
+        [(domain, source, body, datetime(2021, 1, day), None, seq)], f"{schemas.RESPONSE}, seq BIGINT"
+    )
+
+
+def three_domains(spark):
+    return ingest.to_domain_layout(
+        ingest.stamp_created(
+            ingest.with_id(spark.createDataFrame([("a", "com"), ("b", "com"), ("c", "net")], "name STRING, tld STRING")),
+            moment(LOADED),
+        )
+    )
+
+
+def ranked(spark, path):
+    return {r.name: r.alexa_score for r in domain_table.read_current(spark, path).collect()}
+
+
+def log(spark, path, run, *answers):
+    landed = normalise.union_feeds(*answers)
+    domain_table.append_changes(enrich.latest_answers(landed, list(ENRICHERS.values())), path, run, moment(LOADED))
+
+
+def test_an_older_answer_in_a_later_run_changes_nothing(spark):
+    path = fresh_table(spark, three_domains(spark))
+    log(spark, path, "1", one_answer(spark, "a.com", "alexa", 'RANK="2"', 9, 1))
+    log(spark, path, "2", one_answer(spark, "a.com", "alexa", 'RANK="1"', 3, 2))
+    assert ranked(spark, path) == {"a": 2, "b": None, "c": None}
+    domain_table.fold_changes(spark, path)
+    log(spark, path, "3", one_answer(spark, "a.com", "alexa", 'RANK="5"', 8, 3), one_answer(spark, "b.com", "alexa", 'RANK="7"', 1, 4))
+    assert ranked(spark, path) == {"a": 2, "b": 7, "c": None}
+
+
+def test_replays_appends_and_two_enrichers_lose_nothing(spark):
+    path = fresh_table(spark, three_domains(spark))
+    rank = one_answer(spark, "a.com", "alexa", 'RANK="2"', 9, 1)
+    wiki = one_answer(spark, "a.com", "wiki", '["q",["x"],[],[]]', 9, 2)
+    log(spark, path, "rank-1", rank)
+    # Domains that come in between, another enricher, and the first run again.
+    more = ingest.to_domain_layout(ingest.stamp_created(ingest.with_id(spark.createDataFrame([(f"n{i}", "org") for i in range(40)], "name STRING, tld STRING")), moment(LOADED)))
+    domain_table.append_domains(more, path)
+    log(spark, path, "wiki-1", wiki)
+    log(spark, path, "rank-1", rank)
+    for _ in range(2):
+        now = domain_table.read_current(spark, path)
+        assert now.count() == 43
+        assert [(r.alexa_score, r.has_wiki, r.attempts) for r in now.where("name = 'a'").collect()] == [(2, True, 0)]
+        domain_table.fold_changes(spark, path)
+        log(spark, path, "rank-1", rank)
+
+
+def test_failures_are_counted_once_per_run(spark):
+    path = fresh_table(spark, three_domains(spark))
+    failed = one_answer(spark, "a.com", "alexa", None, 2, 1)
+    for run in ("1", "1", "2"):
+        log(spark, path, run, failed)
+    domain_table.fold_changes(spark, path)
+    domain_table.fold_changes(spark, path)
+    log(spark, path, "3", failed)
+    attempts = {r.name: r.attempts for r in domain_table.read_current(spark, path).collect()}
+    assert attempts == {"a": 3, "b": 0, "c": 0}
+
+
+def test_log_follows_the_answers(spark, x):
+    path = fresh_table(spark, x.domain_table())
+    log(spark, path, "1", one_answer(spark, "a.com", "alexa", 'RANK="2"', 9, 1))
+    files_written = list(Path(f"{path.removeprefix('file:')}-changes").rglob("*.parquet"))
+    assert sum(spark.read.parquet(str(f)).count() for f in files_written) == 1
+
+
+def test_rows_in_are_accepted_plus_rejected(spark, tmp_path):
+    names = ["a.com", "undotted", "", ".com", "foo.", "B.co.uk"]
+    (tmp_path / "one.json").write_text(json.dumps({"meta": {}, "data": [{"domainName": n} for n in names] + [{"link": "x"}]}))
+    path, rejected = str(tmp_path / "one.json"), str(tmp_path / "rejects")
+    loaded = feeds.AUCTION_JSON.load_all(spark, path, rejected, 3)
+    assert sorted(r.name for r in loaded.collect()) == ["a", "b"]
+    assert loaded.exceptAll(feeds.AUCTION_JSON.load(spark, path, 3)).count() == 0
+    reasons = {(r.domain, r.reason) for r in spark.read.parquet(rejected).collect()}
+    assert reasons == {("undotted", "no_dot"), ("", "empty"), (".com", "no_name"), ("foo.", "no_tld"), (None, "empty")}
+    assert reasons == {(r.domain, r.reason) for r in feeds.AUCTION_JSON.rejects(spark, path).collect()}
+
+
+def test_market_rows_without_a_name_are_rejected(spark, tmp_path):
+    titles = [*schemas.MARKET_COLUMNS, *schemas.MARKET_EXTRA]
+    lines = ["sep=;", ";".join(titles), "a.com" + ";1" * 10, ";2" + ";1" * 9, "nodot" + ";1" * 10]
+    (tmp_path / "m.csv").write_text("\n".join(lines) + "\n", encoding="utf-16")
+    assert feeds.MARKET_CSV.load(spark, str(tmp_path / "m.csv")).count() == 1
+    assert sorted(r.reason for r in feeds.MARKET_CSV.rejects(spark, str(tmp_path / "m.csv")).collect()) == ["empty", "no_dot"]
+
+
+def test_broken_files_fail_the_read(spark, tmp_path):
+    whole = envelope(ENTRIES)
+    (tmp_path / "one.json").write_text(whole)
+    (tmp_path / "two.json").write_text(whole[: len(whole) // 2])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        auctions.auction_json(spark, str(tmp_path)).collect()
+    half = spark.createDataFrame([(whole[: len(whole) // 2],)], "document STRING")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        auctions.entries_of(half).collect()
+
+
+def test_archive_glob_equals_the_file_test(spark, tmp_path):
+    names = ["all_listings.zip", "all_listings1.zip", "all_listings_x.zip", "all_listings2.json.zip", "other.zip", "my_all_listings.zip"]
+    for name in names:
+        (tmp_path / name).write_bytes(b"x")
+    got = {r.file_name for r in auctions.archives(spark, str(tmp_path)).select("file_name").collect()}
+    files_of = spark.createDataFrame([(n,) for n in names], "file_name STRING")
+    assert got == {r.file_name for r in auctions.select_listing_files(files_of).collect()}
+
+
+def test_staged_batches_keep_any_text(spark, tmp_path):
+    odd = ['a"b,c', "line\nbreak", "", " space ", "plain", "back\\slash", "'quote'"]
+    rows = spark.createDataFrame([(t, "", "sedo", None, None) for t in odd], "name STRING, tld STRING, registrar STRING, expired TIMESTAMP_NTZ, registered TIMESTAMP_NTZ")
+    files.write_batches(rows, str(tmp_path / "b"))
+    back = normalise.from_staged(tables.staged_csv(spark, str(tmp_path / "b")), seq=4).collect()
+    assert sorted(r.name for r in back) == sorted(odd)
+    assert {(r.seq, r.tld, r.registrar) for r in back} == {(4, "", "sedo")}
+
+
+def test_stream_keeps_its_rejects(spark, x, tmp_path):
+    source = str(tmp_path / "listings")
+    x.listing().write.parquet(source)
+    root = scratch_path(spark, "test-tables")
+    loops.create_tables(spark, root)
+    for turn in ("one", "two"):
+        stream = loops.file_stream(spark, source, x.listing().schema)
+        loops.stream_listing_ingest(stream, root, moment(LOADED), f"{root.rsplit('/', 1)[-1]}-{turn}").awaitTermination()
+    rejected = loops.read_rejects(spark, root)
+    assert rejected.where("run LIKE '%one%'").count() == normalise.rejects(x.listing()).count()
+    accepted = normalise.accepted(x.listing()).count()
+    assert accepted + rejected.count() // 2 == x.listing().count()

@@ -6,6 +6,7 @@ import uuid
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -27,8 +28,9 @@ def test_split(spark):
     assert column(spark, rows, names.first_label(V)) == ["a", "a", "A-1", "plain", "", "", "a", None]
     assert column(spark, rows, names.tail(V)) == ["com", "co.uk", "Org", "", "", "com", "", None]
     assert column(spark, rows, names.second_label(V))[:4] == ["com", "co", "Org", ""]
+    # A name or a tld without letters can't be a domain.
     reasons = column(spark, rows, names.reject_reason(V))
-    assert reasons == [None, None, None, "no_dot", "empty", None, None, "empty"]
+    assert reasons == [None, None, None, "no_dot", "empty", "no_name", "no_tld", "empty"]
 
 
 def test_uuid_equals_the_standard_library(spark):
@@ -151,3 +153,32 @@ def test_link(spark):
     assert column(spark, ["a.csv"], text.html_link(V, "https://files.example.org/")) == [
         '<a href="https://files.example.org/a.csv">a.csv</a>'
     ]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("2020-01-01T00:00:00+05:00", datetime(2019, 12, 31, 19)),
+        ("2020-01-01 10:30:00-0230", datetime(2020, 1, 1, 13)),
+        ("2020-01-01T00:00:00Z", datetime(2020, 1, 1)),
+        ("2020-01-01 00:00:00", datetime(2020, 1, 1)),
+        ("2020-01-01", datetime(2020, 1, 1)),
+        ("soon", None),
+        (None, None),
+    ],
+)
+def test_times_become_utc(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t STRING")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            assert df.select(responses.utc_time(F.col("t"))).first()[0] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_rank_beyond_int_is_no_answer(spark):
+    bodies = [('RANK="7"',), ('RANK="99999999999"',), ("none",), (None,)]
+    got = spark.createDataFrame(bodies, "b STRING").select(responses.rank(F.col("b"))).collect()
+    assert [r[0] for r in got] == [7, None, 0, None]
