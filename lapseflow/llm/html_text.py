@@ -41,8 +41,12 @@ _MARKS = frozenset(
     "cookies consent gdpr notice notification alert popup modal overlay dialog comment comments commentlist disqus "
     "respond reply replies share sharing social related recommended recommendations widget subscribe subscription newsletter "
     "signup login signin search pager pagination paging toolbar skip complementary contentinfo outbrain taboola "
-    "toc hidden rail tags meta byline copyright legal disclaimer feedback form".split()
+    "toc hidden rail tags meta byline copyright legal disclaimer feedback form discussion discuss responses reviews "
+    "adbox adslot adunit adwrap dfp banners menus subnav topnav offcanvas paywall".split()
 )
+#: Beginnings and ends of such words.
+_MARKED_START = ("advert", "cookie", "breadcrumb", "sidebar", "newsletter", "sponsor", "footer", "navbar")
+_MARKED_END = ("comments", "sidebar", "footer", "navbar", "menu", "masthead")
 #: Marks that don't count on an element that is also named as main text.
 _SOFT = frozenset("head header foot meta byline tags rail side hidden copyright legal form feedback toolbar".split())
 #: Words of a class, id or itemprop of the main text itself.
@@ -151,7 +155,7 @@ class Page:
                 words.update(_WORD.findall(value))
             if name == "itemprop" and value == "articlebody" or name == "role" and value in ("main", "article"):
                 main = True
-        marks = words & _MARKS
+        marks = {w for w in words if w in _MARKS or w.startswith(_MARKED_START) or w.endswith(_MARKED_END)}
         if words & _MAIN or tag == "article":
             marks -= _SOFT
         marked = bool(marks) and tag not in ("body", "html", "main")
@@ -218,7 +222,12 @@ def _kept(page: Page) -> list[bool]:
         return linked[i] / size[i] if size[i] else 0.0
 
     final = [points[i] * (1 - density(i)) if not page.gone[i] else 0.0 for i in range(n)]
-    best = max(range(n), key=lambda i: (final[i], -i))
+    # Where elements are marked as main text, the best lies in one of these, however long the rest is.
+    within = [False] * n
+    for i in range(n):
+        within[i] = page.main[i] and not page.gone[i] or i > 0 and within[page.parents[i]]
+    marked = any(w and f > 0 for w, f in zip(within, final, strict=True))
+    best = max((i for i in range(n) if within[i] or not marked), key=lambda i: (final[i], -i))
     chosen = set()
     if final[best] > 0:
         around = best
@@ -227,8 +236,9 @@ def _kept(page: Page) -> list[bool]:
         top = around if around >= 0 else best
         chosen.add(top)
         for i in range(1, n):
-            if top and page.parents[i] == page.parents[top] and not page.gone[i]:
-                prose = around < 0 and page.tags[i] in ("p", "h1", "h2", "h3", "blockquote", "pre") and density(i) < 0.25
+            # Beside an element marked as main text only others so marked are text.
+            if top and page.parents[i] == page.parents[top] and not page.gone[i] and (around < 0 or page.main[i]):
+                prose = page.tags[i] in ("p", "h1", "h2", "h3", "blockquote", "pre") and density(i) < 0.25
                 if prose or final[i] >= 0.2 * final[best] and density(i) < 0.5:
                     chosen.add(i)
     links = [0] * n

@@ -29,6 +29,9 @@ MORE = "People carried chairs upstairs, lit candles, and waited for the boats to
         (f"<div><ul><li><a href=/a>Home, start</a><li><a href=/b>News, all</a></ul><p>{LONG}</p></div>", LONG),
         (f"<table><tr><td><p>{LONG}<td><a href=x>{MORE}</a><a href=y>{MORE}</a></table>", LONG),
         (f"<div><div class=c><p>{LONG}</p></div><div class=c><p>{MORE}</p></div></div>", f"{LONG} {MORE}"),
+        (f"<article><p>{LONG}</p></article><section><p>{MORE}</p><p>{MORE}</p></section>", LONG),
+        (f"<article><p>{LONG}</p></article><article><p>{MORE}</p></article>", f"{LONG} {MORE}"),
+        (f"<article><p>{LONG}</p><div class='text-ad'>{MORE}</div><p class=notice>{MORE}</p><div class=usercomments>{MORE}</div><p>{MORE}</p></article>", f"{LONG} {MORE}"),
         (f"<head><title>T</title><p>{LONG}</p>", LONG),
         (f"<article><p>5 < 6 and {LONG} </p></article", f"5 < 6 and {LONG}"),
         (f"<div hidden>{MORE}</div><div style='display: none'>{MORE}</div><div>{LONG}</div>", LONG),
