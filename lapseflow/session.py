@@ -49,12 +49,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/lapseflow/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For a frame that several branches of one job read: each branch then scans
     files instead of repeating the work, and lost executors cost only a re-read.
+    ``options`` are the Parquet writer's.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
