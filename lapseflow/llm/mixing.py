@@ -30,29 +30,39 @@ BUDGET = 0.5
 SWEEPS = 10
 
 
-def n_tokens(text: str = "text") -> Column:
-    """Words between white space; none for null and blank texts."""
-    plain = F.trim(F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]+", " "))
-    return F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.translate(plain, " ", "")) + 1).cast("bigint")
+_BLANKS = r"[ \t\n\x0B\f\r]+"
 
 
-def topic(text: str = "text") -> Column:
+def _words(text: str) -> Column:
+    """Lower-case words between white space; an empty one may stand at either end."""
+    return F.split(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), _BLANKS)
+
+
+def n_tokens(words: Column) -> Column:
+    """The number of words; none for null and blank texts."""
+    return F.size(F.array_remove(words, "")).cast("bigint")
+
+
+def first_letters(words: Column) -> Column:
+    """What long words begin with, as one text."""
+    long = F.filter(words, lambda w: F.length(w) >= TOPIC_WORD)
+    return F.array_join(F.transform(long, lambda w: F.substring(w, 1, 1)), "")
+
+
+def topic(first: Column) -> Column:
     """A topic for corpora without one: the commonest class of the first letters of long words.
 
     Stands in for the label of a topic model, which the operator takes as a column like
-    any other. Ties go to the smallest class; texts without long words have topic ``none``.
+    any other. Ties go to the smallest class; texts without long words that begin with
+    a letter have topic ``none``.
     """
-    words = F.filter(
-        F.split(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), r"[^a-zß-ÿ]+"),
-        lambda w: F.length(w) >= TOPIC_WORD,
-    )
-    classes = F.transform(words, lambda w: F.pmod(F.ascii(w), F.lit(TOPICS)))
+    letters = [chr(c) for c in (*range(ord("a"), ord("z") + 1), *range(ord("ß"), ord("ÿ") + 1))]
 
     def count(k: int) -> Column:
-        return F.size(F.filter(classes, lambda c: c == k))
+        own = "".join(c for c in letters if ord(c) % TOPICS == k)
+        return F.length(first) - F.length(F.translate(first, own, ""))
 
-    counts = [count(k) for k in range(TOPICS)]
-    best = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(-k).alias("k")) for k, n in enumerate(counts)]))
+    best = F.array_max(F.array(*[F.struct(count(k).alias("n"), F.lit(-k).alias("k")) for k in range(TOPICS)]))
     return F.when(best["n"] == 0, F.lit("none")).otherwise(F.concat(F.lit("topic"), (-best["k"]).cast("string")))
 
 
@@ -112,20 +122,33 @@ def probabilities(
     return stored(rake(cells, goals, budget), "probabilities")
 
 
-def mixed(docs: DataFrame, budget: float = BUDGET, temperature: float = TEMPERATURE) -> DataFrame:
-    """The sampled rows of ``docs`` with ``topic``, ``n_tokens`` and ``probability``, in place of columns so named.
+def annotated(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``topic`` and ``n_tokens``, in place of columns so named."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("topic", "n_tokens")]
+    # Step by step, so that nothing is computed twice.
+    words = docs.select(F.struct(*kept).alias("doc"), _words("text").alias("words"))
+    first = words.select("doc", first_letters(F.col("words")).alias("first"), n_tokens(F.col("words")).alias("n_tokens"))
+    return first.select("doc.*", topic(F.col("first")).alias("topic"), "n_tokens")
+
+
+def sampled(rows: DataFrame, budget: float = BUDGET, temperature: float = TEMPERATURE) -> DataFrame:
+    """The sampled rows of annotated documents with ``probability``, in place of a column so named.
 
     Nulls in source or language are one value with the empty text. Rows with equal ids, and
     all rows without one, stay or go together; documents without tokens follow their cell.
     """
-    docs = docs.drop("topic", "n_tokens", "probability")
-    rows = docs.withColumns({"topic": topic(), "n_tokens": n_tokens()})
+    rows = rows.drop("probability")
     cells = probabilities(rows.select(*DIMENSIONS, "n_tokens"), DIMENSIONS, budget, temperature)
     same = [_cell(f"d.{d}") == F.col(f"c.{d}") for d in DIMENSIONS]
     joined = rows.alias("d").join(small(cells).alias("c"), same)
     return joined.where(uniform("d.doc_id") < F.col("c.probability")).select("d.*", "c.probability")
 
 
+def mixed(docs: DataFrame, budget: float = BUDGET, temperature: float = TEMPERATURE) -> DataFrame:
+    """The sampled rows of ``docs`` with ``topic``, ``n_tokens`` and ``probability``; see :func:`sampled`."""
+    return sampled(annotated(docs), budget, temperature)
+
+
 def _sql_sweeps() -> str:
     """Common table expressions m1, m2 ... that scale the masses to one dimension after another."""
     steps, last = [], "m0"
@@ -139,8 +162,10 @@ def _sql_sweeps() -> str:
     return ",\n".join(steps)
 
 
-_CLASS = f"list_transform(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-zß-ÿ]+'), lambda w: len(w) >= {TOPIC_WORD}), lambda w: unicode(w) % {TOPICS})"
-_PLAIN = r"trim(regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g'))"
+_SPLIT = rf"regexp_split_to_array(lower(coalesce(text, '')), '{_BLANKS}')"
+_CLASS = (
+    f"list_transform(list_filter(w, lambda x: len(x) >= {TOPIC_WORD} AND regexp_matches(x, '^[a-zß-ÿ]')), lambda x: unicode(x) % {TOPICS})"
+)
 _COUNTS = ", ".join(f"len(list_filter(classes, lambda c: c = {k}))" for k in range(TOPICS))
 _TARGETS = ", ".join(
     f"t{d} AS (SELECT {d}, r / sum(r) OVER () AS t_{d} FROM (SELECT {d}, sqrt(sum(tokens)) AS r FROM cells GROUP BY {d}))" for d in DIMENSIONS
@@ -148,7 +173,7 @@ _TARGETS = ", ".join(
 SQL = f"""
 WITH counted AS (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {_CLASS} AS classes,
-    CASE WHEN {_PLAIN} = '' THEN 0 ELSE len(string_split({_PLAIN}, ' ')) END::BIGINT AS n_tokens FROM documents),
+    len(list_filter(w, lambda x: x <> ''))::BIGINT AS n_tokens FROM (SELECT *, {_SPLIT} AS w FROM documents)),
 rows_ AS (
   SELECT doc_id, source, lang, n_tokens,
     CASE WHEN len(classes) = 0 THEN 'none' ELSE 'topic' || (list_position(c, list_max(c)) - 1) END AS topic
@@ -170,6 +195,8 @@ WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < prob
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """A sample of all documents, raked to tempered shares of sources, languages and topics."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
-    return mixed(docs).select(
+    # Texts are read once; the sample itself needs none.
+    rows = stored(annotated(docs).drop("text"), "annotated")
+    return sampled(rows).select(
         "doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability")
     )
