@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,6 +151,13 @@ def _batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(c), kind) for c, kind in zip(columns, _COLUMNS.values(), strict=True)], names=list(_COLUMNS))
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        found = pa.array([pack(x.encode()) for x in batch.column(2).to_pylist()], pa.binary())
+        yield pa.record_batch([batch.column(0), batch.column(1), found], names=["doc_id", "text_hash", "packed"])
+
+
 def compared_with_next(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and of the next document.
 
@@ -157,14 +165,15 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     itself. Rows without an id come last; rows that share an id stand in the order of
     their texts' hashes. Null texts are empty.
 
-    The texts are sorted by ranges, once. Within a range a task sees each document's successor; the ends
-    of the ranges, two rows each, are compared in a second step.
+    The texts are sorted by ranges, once, and travel compressed. Within a range a task sees each document's
+    successor; the ends of the ranges, two rows each, are compared in a second step.
     """
     known = docs.sparkSession.sparkContext.broadcast(lexicon(docs))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text_hash")]
+    packed = rows.mapInArrow(_pack, "doc_id bigint, text_hash bigint, packed binary")
+    dealt = packed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "packed")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last = TaskContext.get().partitionId(), None
@@ -180,10 +189,12 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
             own = [pa.array([part], pa.int32()), pa.array([kind]), pa.array([end[0]], pa.int64()), pa.array([end[1]], pa.string())]
             return pa.RecordBatch.from_arrays([*blank, *own], names=names)
 
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for low, high in tokens.slices(batch.column(1), PIECE):
+            # A compressed text is about half of it.
+            for low, high in tokens.slices(batch.column(1), PIECE // 2):
                 piece = batch.slice(low, high - low)
-                here = list(zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True))
+                here = [(i, unpack(x).decode()) for i, x in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True)]
                 if last is None:
                     yield with_end([], "first", here[0])
                 else:
@@ -193,7 +204,9 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
         if last is not None:
             yield with_end([], "last", last)
 
-    walked = stored(dealt.mapInArrow(walk, f"{_RESULT}, part int, kind string, end_id bigint, end_text string"), "walked")
+    walked = stored(
+        dealt.mapInArrow(walk, f"{_RESULT}, part int, kind string, end_id bigint, end_text string"), "walked", compression="zstd"
+    )
     inner = walked.where("kind IS NULL").select(*_COLUMNS)
     ends = walked.where("kind IS NOT NULL").select("part", "kind", "end_id", "end_text")
     # As many numbers as there are ranges.

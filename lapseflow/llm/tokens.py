@@ -80,8 +80,10 @@ class Words:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts and where each begins; null counts as empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """Bytes of all texts and where each begins; null texts count as empty. Binary values are taken as they are."""
+    if not pa.types.is_binary(column.type):
+        column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     starts = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
