@@ -35,12 +35,12 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 #: Fixed value: the white space within a line.
-_BLANKS = "\t\x0b\f\r"
+_BLANKS = r"[ \t\x0B\f\r]+"
 
 
 def _words(line: Column) -> Column:
     """Lower-case words between white space."""
-    return F.array_remove(F.split(F.translate(F.lower(line), _BLANKS, " " * len(_BLANKS)), " "), "")
+    return F.array_remove(F.split(F.lower(line), _BLANKS), "")
 
 
 def _line_hashes(words: Column, n: Column, near: int) -> list[Column]:
@@ -74,7 +74,9 @@ def distinct_lines(docs: DataFrame, least: int, near: int) -> tuple[DataFrame, D
     words on, the keys of its halves.
     """
     lines = _identified(docs).select(*_ID, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = lines.select(*PLACE, _words(F.col("line")).alias("words")).where(F.size("words") >= least)
+    # A generator of one row keeps the test of the size from cutting the line a second time.
+    words = lines.select(*PLACE, F.explode(F.array(_words(F.col("line")))).alias("words"))
+    words = words.where(F.size("words") >= least)
     rows = stored(words.select(*PLACE, *_line_hashes(F.col("words"), F.size("words"), near)), "lines")
     classes = rows.groupBy("line_a", "line_b").agg(
         F.min(F.struct(*PLACE)).alias("at"),
