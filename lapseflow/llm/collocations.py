@@ -19,14 +19,12 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lapseflow.llm import tokens
 from lapseflow.llm.registry import query, table
-from lapseflow.operators.joins import lookup_join
 from lapseflow.session import stored
 
 #: Words of the longest phrases.
@@ -39,17 +37,19 @@ COVERED = 50
 REPORTED = 2000
 #: Bytes of text whose windows are counted together before they are sent.
 CHUNK = 1 << 23
-#: Windows dealt to one bucket, on average.
-BUCKET = 1_000_000
-#: Buckets for each of Spark's shuffle partitions at least.
+#: A word is heavy if it leads more windows than a shuffle partition's fair share divided by this.
 SPREAD = 8
-#: A chunk reports words and pairs that lead more than this share of its windows.
+#: Groups that the windows of a heavy word are dealt to.
+SPLIT = 4096
+#: A chunk reports words and pairs that lead more than this share of its windows, or a smaller one.
 HEAVY = 1e-4
+#: Bytes of windows that a task sums up together.
+HELD = 1 << 24
 #: Parts in which a language's candidates are ranked before the last ranking.
 PARTS = 64
 
 _WORD, _GAP, _BREAK = 0, 1, 2
-_SPACE = 0x20
+_SPACE, _LINE = 0x20, 0x0A
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x20, 0x09]] = _GAP
 _CLASS[[*b".,;:!?", *range(0x0A, 0x0E)]] = _BREAK
@@ -75,6 +75,7 @@ class Chunk:
         offsets = np.append(np.searchsorted(index, at), len(index)).astype(np.int64)
         letters = _LOWER[raw[index]]
         spelled = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+        del kind, inside, begins, broken, index
         coded = spelled.dictionary_encode()
         self.words = pa.concat_arrays([pa.array([b""], pa.large_binary()), coded.dictionary])
         self.total = len(at)
@@ -161,65 +162,101 @@ def heavy_leads(texts: DataFrame, size: int = CHUNK, share: float = HEAVY) -> tu
     return total, seen.where("kind > 0")
 
 
-def longest_windows(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+def longest_windows(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, chunk: int = CHUNK, groups: int | None = None) -> DataFrame:
     """(lang, w1, w2, w3, n): counts of longest windows; windows of phrases under ``least`` stand with a shorter prefix.
 
     An empty word means: no such word, or one of no importance. Sums over a prefix are exact for every
-    phrase of ``least`` occurrences, and so is the sum of a language.
+    phrase of ``least`` occurrences, and so is the sum of a language. A word, or pair, is heavy if it leads more
+    than one window in ``groups``.
     """
     texts = _pieces(docs, lang, text)
-    total, heavy = heavy_leads(texts, chunk)
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(SPREAD * partitions, -(-total // bucket))
-    # At most as many words, and as many pairs, as there are buckets.
-    chosen = heavy.where(F.col("n") * buckets > total).collect()
+    groups = groups or SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total, heavy = heavy_leads(texts, chunk, min(HEAVY, 0.5 / groups))
+    # Fewer words than ``groups``, and fewer pairs.
+    chosen = heavy.where(F.col("n") * groups > total).collect()
     leads = [np.array(sorted(r["key"] for r in chosen if r["kind"] == k), np.int64).view(np.uint64) for k in (1, 2)]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
         for found, names in _chunks(batches, chunk):
-            if not found.total:
-                continue
-            word, pair, window = found.keys()
-            whole = np.where(np.isin(word, leads[0]), np.where(np.isin(pair, leads[1]), 3, 2), 1)
-            key = np.choose(whole - 1, [word, pair, window]) % np.uint64(buckets)
-            order = np.lexsort((key, whole, found.lang))
-            ends = [np.flatnonzero(np.diff(x[order], prepend=-1)) for x in (found.lang, whole, key.astype(np.int64))]
-            cuts = np.unique(np.concatenate(ends))
-            spelled = [found.words.take(pa.array(x[order])) for x in (found.first, found.second, found.third)]
-            lines = pc.binary_join_element_wise(*spelled, pa.scalar(b"\n", pa.large_binary()), pa.scalar(b" ", pa.large_binary()))
-            letters, starts = tokens.text_bytes(lines)
-            counts = found.counts[order].astype(np.int64)
-            rows = []
-            for low, high in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
-                i = order[low]
-                rows.append(
-                    (names[found.lang[i]], int(whole[i]), int(key[i]), pack(letters[starts[low] : starts[high]].tobytes()), pack(counts[low:high].tobytes()))
-                )
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "whole", "bucket", "lines", "counts"])
-
-    sent = texts.mapInArrow(send, "lang string, whole int, bucket bigint, lines binary, counts binary")
-    dealt = sent.repartition("lang", "whole", "bucket").sortWithinPartitions("lang", "whole", "bucket")
+            if found.total:
+                yield _by_lead(found, names, leads)
+
+    sent = texts.mapInArrow(send, "lang string, w1 binary, whole int, part bigint, windows binary, counts binary")
+    group = ["lang", "w1", "whole", "part"]
+    dealt = sent.repartition(*group).sortWithinPartitions(*group)
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        now, lines, counts = None, [], []
-        for batch in batches:
-            for *key, own, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if now != key and lines:
-                    yield _summed(now[0], now[1], b"".join(lines), b"".join(counts), least)
-                    lines, counts = [], []
-                now = key
-                lines.append(unpack(own))
-                counts.append(unpack(n))
-        if lines:
-            yield _summed(now[0], now[1], b"".join(lines), b"".join(counts), least)
+        for rows in _whole_groups(batches):
+            yield _summed(rows, least)
 
     found = dealt.mapInArrow(receive, "lang string, w1 binary, w2 binary, w3 binary, n bigint")
     return found.select("lang", *[F.col(w).cast("string").alias(w) for w in ("w1", "w2", "w3")], "n")
 
 
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the columns differs from the row before; the first row counts."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _packed(letters: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters)])
+
+
+def _by_lead(found: Chunk, names: list[str], leads: list[np.ndarray]) -> pa.RecordBatch:
+    """A row for each leading word of a chunk: its windows' other words, line by line, and their counts.
+
+    ``whole``: how many words of a window it takes for all windows that begin with them to be dealt to
+    one group: 1, for heavy words 2, for heavy pairs 3. ``part`` tells the groups of a heavy word apart.
+    """
+    word, pair, window = found.keys()
+    whole = np.where(np.isin(word, leads[0]), np.where(np.isin(pair, leads[1]), 3, 2), 1)
+    part = (np.choose(whole - 1, [np.zeros_like(word), pair, window]) % np.uint64(SPLIT)).astype(np.int64)
+    order = np.arange(len(whole)) if (whole == 1).all() else np.lexsort((part, whole, found.first, found.lang))
+    lang, first, whole, part = (x[order] for x in (found.lang, found.first, whole, part))
+    others = [found.words.take(pa.array(x[order])) for x in (found.second, found.third)]
+    lines = pc.binary_join_element_wise(*others, pa.scalar(b"\n", pa.large_binary()), pa.scalar(b" ", pa.large_binary()))
+    letters, starts = tokens.text_bytes(lines)
+    rows = _changes(lang, first, whole, part)
+    ends = np.append(rows, len(order))
+    counts = found.counts[order].astype(np.int32)
+    columns = [
+        pa.array(names, pa.string()).take(pa.array(lang[rows])),
+        found.words.take(pa.array(first[rows])).cast(pa.binary()),
+        pa.array(whole[rows], pa.int32()),
+        pa.array(part[rows]),
+        _packed(letters, starts[ends]),
+        _packed(counts.view(np.uint8), 4 * ends),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "w1", "whole", "part", "windows", "counts"])
+
+
+def _group_starts(rows: pa.Table) -> np.ndarray:
+    codes = [rows.column(c).combine_chunks().dictionary_encode().indices.to_numpy() for c in ("lang", "w1")]
+    return _changes(*codes, rows.column("whole").to_numpy(), rows.column("part").to_numpy())
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.Table]:
+    """Sorted rows in tables of about ``most`` bytes that end where a group ends."""
+    held, size, limit = [], 0, most
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size < limit:
+            continue
+        rows = pa.Table.from_batches(held)
+        last = int(_group_starts(rows)[-1])
+        if last:
+            yield rows.slice(0, last)
+            held = rows.slice(last).combine_chunks().to_batches()
+            size = sum(b.nbytes for b in held)
+        # A group that fills the table goes on until it is whole.
+        limit = max(most, 2 * size)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _prefixes(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
     """The texts from ``starts`` to ``ends``, as numbers and a dictionary."""
     sizes = ends - starts
@@ -229,49 +266,76 @@ def _prefixes(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.D
     return cut.dictionary_encode()
 
 
-def _summed(lang: str, whole: int, lines: bytes, counts: bytes, least: int) -> pa.RecordBatch:
-    """The windows of one bucket, summed up; rare ones stand with their pair, rare pairs with their word.
+def _totals(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the sum of ``n`` for each, and where each row's key stands among them."""
+    found, where = np.unique(keys, return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, where, n)
+    return found, total, where
 
-    ``whole``: how many leading words of a window it takes for all its like to be in this bucket.
-    Phrases of fewer words may go on in other buckets and are passed on, however rare they seem here.
+
+def _summed(rows: pa.Table, least: int) -> pa.RecordBatch:
+    """The windows of whole groups, summed up; rare ones stand with their pair, rare pairs with their word.
+
+    Phrases of fewer words than a group's ``whole`` may go on in other groups and are passed on,
+    however rare they seem here.
     """
-    letters = np.frombuffer(lines, np.uint8)
-    gaps = np.flatnonzero(letters == _SPACE).reshape(-1, LONGEST)
-    offsets = np.concatenate([[0], gaps[:, -1] + 2]).astype(np.int64)
-    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(gaps), [None, pa.py_buffer(offsets), pa.py_buffer(lines)]).dictionary_encode()
-    windows = len(coded.dictionary)
-    n = np.bincount(coded.indices.to_numpy(), np.frombuffer(counts, np.int64), windows).astype(np.int64)
-    letters, starts = tokens.text_bytes(coded.dictionary)
-    gaps = np.flatnonzero(letters == _SPACE).reshape(-1, LONGEST)
-    starts = starts[:-1]
-    pair = _prefixes(letters, starts, gaps[:, 1])
-    word = _prefixes(letters, starts, gaps[:, 0])
-    pair_of, word_of = pair.indices.to_numpy(), word.indices.to_numpy()
-    full = (n >= least) & (gaps[:, 2] > gaps[:, 1] + 1)
-    pair_total = np.bincount(pair_of, n, len(pair.dictionary))
-    has_second = np.zeros(len(pair.dictionary), bool)
-    has_second[pair_of] = gaps[:, 1] > gaps[:, 0] + 1
-    pair_kept = has_second & ((pair_total >= least) | (whole > 2))
-    word_total = np.bincount(word_of, n, len(word.dictionary))
-    word_kept = (word_total >= least) | (whole > 1)
+    rows = rows.combine_chunks()
+    starts = _group_starts(rows)
+    group_of_row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))
+    counts, at = tokens.text_bytes(rows.column("counts").combine_chunks())
+    n = np.ascontiguousarray(counts).view(np.int32).astype(np.int64)
+    group = np.repeat(group_of_row, np.diff(at) // 4)
+    letters, _ = tokens.text_bytes(rows.column("windows").combine_chunks())
+    # Each line is two words, each with a blank behind it, and its end.
+    offsets = np.concatenate([[0], np.flatnonzero(letters == _LINE) + 1]).astype(np.int64)
+    lines = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+    size = len(lines.dictionary)
+    windows, n, _ = _totals(group * size + lines.indices.to_numpy(), n)
+    group, line = windows // size, windows % size
+    letters, offsets = tokens.text_bytes(lines.dictionary)
+    gaps = np.flatnonzero(letters == _SPACE).reshape(-1, 2)
+    second = _prefixes(letters, offsets[:-1], gaps[:, 0])
+    size = len(second.dictionary)
+    pairs, pair_n, pair = _totals(group * size + second.indices.to_numpy()[line], n)
+    pair_group, pair_second = pairs // size, pairs % size
+    group_n = np.zeros(len(starts), np.int64)
+    np.add.at(group_n, group, n)
+
+    whole = rows.column("whole").to_numpy()[starts]
+    has_third = (gaps[:, 1] > gaps[:, 0] + 1)[line]
+    has_second = (pc.binary_length(second.dictionary).to_numpy() > 0)[pair_second]
+    full = has_third & (n >= least)
+    pair_kept = has_second & ((pair_n >= least) | (whole[pair_group] > 2))
+    group_kept = (group_n >= least) | (whole > 1)
     # What isn't named by itself counts with its prefix.
-    rest = np.where(full, 0, n)
-    pair_rest = np.bincount(pair_of, rest, len(pair.dictionary))
-    word_of_pair = np.zeros(len(pair.dictionary), np.int64)
-    word_of_pair[pair_of] = word_of
-    word_rest = np.bincount(word_of_pair, np.where(pair_kept, 0, pair_rest), len(word.dictionary))
-    lost = int(word_rest[~word_kept].sum())
-    rows = [(*w.split(b" ")[:LONGEST], int(c)) for w, c in zip(coded.dictionary.filter(pa.array(full)).to_pylist(), n[full], strict=True)]
+    pair_rest = np.zeros(len(pairs), np.int64)
+    np.add.at(pair_rest, pair[~full], n[~full])
+    group_rest = np.zeros(len(starts), np.int64)
+    np.add.at(group_rest, pair_group[~pair_kept], pair_rest[~pair_kept])
+    langs = rows.column("lang").combine_chunks().take(pa.array(starts))
+    words = rows.column("w1").combine_chunks().take(pa.array(starts))
+    blank = np.array([b""], object)
+
+    def named(where: np.ndarray, seconds, thirds, sums: np.ndarray) -> list:
+        return [langs.take(pa.array(where)), words.take(pa.array(where)), seconds, thirds, pa.array(sums)]
+
+    texts = [x.split(b" ") for x in lines.dictionary.take(pa.array(line[full])).to_pylist()]
     kept = pair_kept & (pair_rest > 0)
-    rows += [(*w.split(b" "), b"", int(c)) for w, c in zip(pair.dictionary.filter(pa.array(kept)).to_pylist(), pair_rest[kept], strict=True)]
-    kept = word_kept & (word_rest > 0)
-    rows += [(w, b"", b"", int(c)) for w, c in zip(word.dictionary.filter(pa.array(kept)).to_pylist(), word_rest[kept], strict=True)]
-    rows.append((b"", b"", b"", lost))
-    columns = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(rows)), *[pa.array(c, pa.binary()) for c in columns[:3]], pa.array(columns[3], pa.int64())],
-        names=["lang", "w1", "w2", "w3", "n"],
-    )
+    left = group_kept & (group_rest > 0)
+    lost = ~group_kept
+    parts = [
+        named(group[full], pa.array([x[0] for x in texts], pa.binary()), pa.array([x[1] for x in texts], pa.binary()), n[full]),
+        named(pair_group[kept], second.dictionary.take(pa.array(pair_second[kept])).cast(pa.binary()), pa.array(np.repeat(blank, kept.sum()), pa.binary()), pair_rest[kept]),
+        named(np.flatnonzero(left), *[pa.array(np.repeat(blank, left.sum()), pa.binary())] * 2, group_rest[left]),
+    ]
+    # Rare words count for their language only.
+    of_lang = langs.dictionary_encode()
+    sums = np.zeros(len(of_lang.dictionary), np.int64)
+    np.add.at(sums, of_lang.indices.to_numpy()[lost], group_rest[lost])
+    none = pa.array(np.repeat(blank, len(sums)), pa.binary())
+    parts.append([of_lang.dictionary, none, none, none, pa.array(sums)])
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*parts, strict=True)], names=["lang", "w1", "w2", "w3", "n"])
 
 
 def phrase_counts(windows: DataFrame, least: int = LEAST) -> DataFrame:
@@ -293,7 +357,7 @@ def _score(a: Column, left: Column, right: Column) -> Column:
 
 
 def collocations(
-    docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, covered: int = COVERED, reported: int = REPORTED, chunk: int = CHUNK, bucket: int = BUCKET
+    docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, covered: int = COVERED, reported: int = REPORTED, chunk: int = CHUNK, groups: int | None = None
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``reported`` best phrases of two and three words of each language.
 
@@ -304,19 +368,19 @@ def collocations(
     empty and wordless texts have no phrases; repeated rows count each time; very long texts are counted whole,
     chunk by chunk; other columns don't matter. An empty table gives an empty result.
     """
-    counts = stored(phrase_counts(longest_windows(docs, lang, text, least, chunk, bucket), least), "phrases")
+    counts = stored(phrase_counts(longest_windows(docs, lang, text, least, chunk, groups), least), "phrases")
 
     def sized(size: int, names: list[str], f: str) -> DataFrame:
         return counts.where(F.col("size") == size).select("lang", *[F.col(f"w{i}").alias(x) for i, x in enumerate(names, 1)], F.col("f").alias(f))
 
     two = sized(2, ["w1", "w2"], "a")
-    two = lookup_join(two, sized(1, ["w1"], "l"), ["lang", "w1"], "inner")
-    two = lookup_join(two, sized(1, ["w2"], "r"), ["lang", "w2"], "inner")
+    two = two.join(sized(1, ["w1"], "l"), ["lang", "w1"])
+    two = two.join(sized(1, ["w2"], "r"), ["lang", "w2"])
     three = sized(3, ["w1", "w2", "w3"], "a")
-    three = lookup_join(three, sized(2, ["w1", "w2"], "l2"), ["lang", "w1", "w2"], "inner")
-    three = lookup_join(three, sized(2, ["w2", "w3"], "r1"), ["lang", "w2", "w3"], "inner")
-    three = lookup_join(three, sized(1, ["w1"], "l1"), ["lang", "w1"], "inner")
-    three = stored(lookup_join(three, sized(1, ["w3"], "r2"), ["lang", "w3"], "inner"), "threes")
+    three = three.join(sized(2, ["w1", "w2"], "l2"), ["lang", "w1", "w2"])
+    three = three.join(sized(2, ["w2", "w3"], "r1"), ["lang", "w2", "w3"])
+    three = three.join(sized(1, ["w1"], "l1"), ["lang", "w1"])
+    three = stored(three.join(sized(1, ["w3"], "r2"), ["lang", "w3"]), "threes")
 
     covers = F.lit(100) * F.col("a") >= F.lit(covered) * F.col("of")
     inner = three.select("lang", "w1", "w2", "a", F.col("l2").alias("of")).unionByName(

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lapseflow.llm import collocations as d
@@ -61,13 +63,12 @@ def rows():
     return [*corpus(1, 300), (None, "en"), ("", "en"), (" \t", "fr"), ("...", None), ("one", "it"), *[("same old line again", "en")] * 40]
 
 
-@pytest.mark.parametrize(("chunk", "bucket", "spread"), [(1 << 23, 1_000_000, 8), (700, 50, 1), (10_000, 20, 1)])
-def test_equals_brute_force_whatever_the_layout(spark, rows, monkeypatch, chunk, bucket, spread):
-    # Small chunks cut texts apart, small buckets make words and pairs heavy.
-    monkeypatch.setattr(d, "SPREAD", spread)
+@pytest.mark.parametrize(("chunk", "groups"), [(1 << 23, None), (700, 60), (10_000, 500)])
+def test_equals_brute_force_whatever_the_layout(spark, rows, chunk, groups):
+    # Small chunks cut texts apart, many groups make words and pairs heavy.
     docs = spark.createDataFrame([(i, t, x, "s", 0) for i, (t, x) in enumerate(rows)], SCHEMA).repartition(5)
     docs = docs.selectExpr("*", *[f"1 AS {c}" for c in ("w1", "w2", "w3", "n", "f", "size", "rank", "phrase", "part", "bucket", "whole", "a", "l", "r")])
-    assert rows_of(d.collocations(docs, least=4, chunk=chunk, bucket=bucket)) == brute(rows, 4)
+    assert rows_of(d.collocations(docs, least=4, chunk=chunk, groups=groups)) == brute(rows, 4)
 
 
 def test_windows_under_heavy_leads_are_split(spark, rows):
@@ -79,11 +80,24 @@ def test_windows_under_heavy_leads_are_split(spark, rows):
 
 def test_counts_of_frequent_phrases_are_exact(spark, rows):
     docs = spark.createDataFrame([(i, t, x, "s", 0) for i, (t, x) in enumerate(rows)], SCHEMA)
-    got = d.phrase_counts(d.longest_windows(docs, least=3, chunk=500, bucket=30), 3).collect()
+    got = d.phrase_counts(d.longest_windows(docs, least=3, chunk=500, groups=300), 3).collect()
     want = {(lang, *p): c for lang, f in counted(rows).items() for p, c in f.items() if c >= 3}
     assert {(r["lang"], *[w for w in (r["w1"], r["w2"], r["w3"]) if w]): r["f"] for r in got if r["size"]} == want
 
 
+def test_groups_stay_whole_whatever_is_held(spark, rows):
+    docs = spark.createDataFrame([(i, t, x, "s", 0) for i, (t, x) in enumerate(rows)], SCHEMA)
+    whole = pa.RecordBatch.from_arrays([pa.array([x or "und" for _, x in rows]), pa.array([t or "" for t, _ in rows])], names=["lang", "text"])
+    rows = [d._by_lead(c, names, [np.zeros(0, np.uint64)] * 2) for c, names in d._chunks([whole], 5000)]
+    batches = pa.Table.from_batches(rows).sort_by([(c, "ascending") for c in ("lang", "w1", "whole", "part")]).to_batches(max_chunksize=7)
+    for most in (1, 3000, 1 << 24):
+        tables = list(d._whole_groups(iter(batches), most))
+        seen = [{(r["lang"], r["w1"]) for r in t.select(["lang", "w1"]).to_pylist()} for t in tables]
+        assert sum(len(x) for x in seen) == len(set().union(*seen)) and sum(len(t) for t in tables) == sum(len(b) for b in batches)
+        sums = pa.Table.from_batches([d._summed(t, 4) for t in tables])
+        assert sum(sums["n"].to_pylist()) == d.heavy_leads(d._pieces(docs, "lang", "text"))[0]
+
+
 def test_report_is_cut_per_language_with_ties(spark):
     rows = [(f"p{i} q{i}. ", "en") for i in range(30) for _ in range(12 + i % 2)] + [("u v. " * 11, "de")]
     docs = spark.createDataFrame([(i, t, x, "s", 0) for i, (t, x) in enumerate(rows)], SCHEMA)
