@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from lapseflow import schemas
 from lapseflow.functions import names, responses
 from lapseflow.operators.ingest import DOMAIN_KEY
-from lapseflow.operators.joins import lookup_join
+from lapseflow.operators.joins import is_small
 from lapseflow.session import stored
 
 BACKLOG_SIZE = 500
@@ -137,12 +137,13 @@ def merge_answers(changes: DataFrame) -> DataFrame:
     return changes.groupBy(*DOMAIN_KEY).agg(F.sum("failed").cast("int").alias("failed"), *latest)
 
 
-def apply_answers(domains: DataFrame, merged: DataFrame) -> DataFrame:
+def apply_answers(domains: DataFrame, merged: DataFrame, measured: bool = True) -> DataFrame:
     """Overwrite the columns of every answered domain, with NULLs too.
 
     ``merged``: dated answers, one row per domain. Everything else stays as it is.
     An answer touches ``updated_at``; a failed lookup only counts as an attempt.
-    Answers measured as small are broadcast and the table stays where it is.
+    Answers ``measured`` as small are broadcast and the table stays where it is; tables bucketed alike
+    need no measuring. The key is unique on both sides, so no key can be hot.
     """
     new = {}
     for e in ENRICHERS.values():
@@ -154,7 +155,8 @@ def apply_answers(domains: DataFrame, merged: DataFrame) -> DataFrame:
     new["last_attempt"] = F.coalesce("_answers.failed_at", "last_attempt")
     rest = [c for c in merged.columns if c not in DOMAIN_KEY]
     packed = merged.select(*DOMAIN_KEY, F.struct(*rest).alias("_answers"))
-    return lookup_join(domains, packed, list(DOMAIN_KEY), "left").select(
+    lookup = F.broadcast(packed) if measured and is_small(packed) else packed
+    return domains.join(lookup, list(DOMAIN_KEY), "left").select(
         *[new[c].alias(c) if c in new else F.col(c) for c in domains.columns]
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,7 @@ def stamp_created(df: DataFrame, as_of: Column) -> DataFrame:
 
 def insert_new_domains(
     contract: DataFrame,
-    target: DataFrame,
+    target: DataFrame | Callable[[DataFrame], DataFrame],
     tld_dim: DataFrame,
     registrar_dim: DataFrame,
     as_of: Column,
@@ -51,9 +53,11 @@ def insert_new_domains(
 
     Duplicates go first, so the anti-join and both lookups see each domain once.
     Name and tld stand for the id they determine: the rows are partitioned by
-    them already, and only rows that stay get an id computed.
+    them already, and only rows that stay get an id computed. ``target`` may be a function from the first
+    rows to the part of the table that can hold them, so that the rest isn't read.
     """
-    fresh = not_stored(stored(first_wins(contract), "firsts"), target)
+    firsts = stored(first_wins(contract), "firsts")
+    fresh = not_stored(firsts, target if isinstance(target, DataFrame) else target(firsts))
     resolved = dims.resolve_ids(
         dims.resolve_ids(fresh, tld_dim, "tld", "tld_id"),
         registrar_dim,

@@ -82,13 +82,13 @@ def spread_join(
     ``lookup`` holds at most one row per key. ``spread_on`` names fact columns
     that tell the rows of one key apart. The sub-key is a hash of them and of the
     row's partition, so equal rows are spread as well, and a task that runs again
-    puts every row in the same place. The facts are written first: finding
-    the hot keys then reads the key columns only and repeats no earlier work.
+    puts every row in the same place: for that the facts are written first. Without a
+    hot key nothing is written; what finding out reads is the key columns.
     """
-    facts = stored(facts, "facts")
     hot = hot_keys(facts, on, min_rows)
     if not hot:
         return facts.join(lookup, list(on), how)
+    facts = stored(facts, "facts")
     spark = facts.sparkSession
     parts = F.broadcast(spark.createDataFrame(hot, "_key BIGINT, _parts INT"))
 

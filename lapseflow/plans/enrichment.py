@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +121,20 @@ def update_domains(x: Inputs) -> DataFrame:
     return domain_table.read_current(x.spark, path).select("id", "name", "tld", "alexa_score")
 
 
+@query("update_domains_in_runs", "SELECT t.id, t.name, t.tld, r.score AS alexa_score FROM fx_table t LEFT JOIN fx_new_rank r ON r.id = t.id")
+def update_domains_in_runs(x: Inputs) -> DataFrame:
+    """The same through several runs, newest first, a repeated one, folds and the deletion of covered runs."""
+    path = scratch_path(x.spark, "domain")
+    domain_table.append_domains(x.domain_table(), path, buckets=16)
+    late = F.col("seq") % 2 == 1
+    for run, part in (("b", late), ("a", ~late), ("a", ~late)):
+        answers = enrich.latest_answers(x.responses().where(part), [ENRICHERS["alexa"]])
+        domain_table.append_changes(answers, path, run, moment(ENRICHED))
+        domain_table.fold_changes(x.spark, path)
+    domain_table.drop_covered(x.spark, path, datetime.now() + timedelta(days=1))
+    return domain_table.read_current(x.spark, path).select("id", "name", "tld", "alexa_score")
+
+
 @query("coverage_report", """
     SELECT registrar_id, count(*) AS domains, count(*) - count(alexa_score) AS no_rank,
            count(*) - count(has_wiki) AS no_wiki,

@@ -229,7 +229,7 @@ def added_count(x: Inputs) -> DataFrame:
 
 # Dimensions
 
-_KNOWN = f"SELECT * FROM fx_norm WHERE auction_end < TIMESTAMP '{KNOWN_BEFORE}'"
+KNOWN = f"SELECT * FROM fx_norm WHERE auction_end < TIMESTAMP '{KNOWN_BEFORE}'"
 
 
 @query("distinct_keys", "SELECT DISTINCT tld AS name FROM fx_norm")
@@ -289,7 +289,7 @@ def grow_dimension(x: Inputs) -> DataFrame:
 @query("resolve_dim_ids", f"""
     SELECT n.seq, n.name, t.id AS tld_id, r.id AS registrar_id FROM fx_norm n
     LEFT JOIN (SELECT CAST(row_number() OVER (ORDER BY md5(tld), tld) AS INTEGER) AS id, tld
-               FROM (SELECT DISTINCT tld FROM ({_KNOWN}) k) d) t ON t.tld = n.tld
+               FROM (SELECT DISTINCT tld FROM ({KNOWN}) k) d) t ON t.tld = n.tld
     LEFT JOIN fx_registrar r ON r.name = n.registrar""")
 def resolve_dim_ids(x: Inputs) -> DataFrame:
     known = x.norm().where(F.col("auction_end") < moment(KNOWN_BEFORE))
@@ -313,7 +313,7 @@ def domain_with_tld(x: Inputs) -> DataFrame:
     SELECT {uuid_sql("d.name || '.' || d.tld")} AS id, d.name, d.tld, t.id AS tld_id, r.id AS registrar_id,
            TIMESTAMP '{LOADED}' AS created_at, TIMESTAMP '{LOADED}' AS updated_at
     FROM fx_domain d JOIN fx_tld t ON t.name = d.tld JOIN fx_registrar r ON r.name = d.registrar
-    WHERE (d.name, d.tld) NOT IN (SELECT (name, tld) FROM ({_KNOWN}) k)""")
+    WHERE (d.name, d.tld) NOT IN (SELECT (name, tld) FROM ({KNOWN}) k)""")
 def insert_new_domains(x: Inputs) -> DataFrame:
     """A whole load on top of the table as it stood before."""
     fresh = ingest.insert_new_domains(
@@ -339,7 +339,7 @@ def stamp_created(x: Inputs) -> DataFrame:
 
 @query("ingest_delta", f"""
     SELECT b.n AS rows_before, a.n AS rows_after, a.n - b.n AS rows_added, p.n AS rows_pending
-    FROM (SELECT count(*) AS n FROM (SELECT DISTINCT name, tld FROM ({_KNOWN}) k) q) b,
+    FROM (SELECT count(*) AS n FROM (SELECT DISTINCT name, tld FROM ({KNOWN}) k) q) b,
          (SELECT count(*) AS n FROM fx_domain) a,
          (SELECT count(*) AS n FROM fx_listing WHERE domain_name NOT LIKE '%.%') p""")
 def ingest_delta(x: Inputs) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapseflow.operators import ingest
 from lapseflow.operators.enrich import ENRICHERS
-from lapseflow.plans.inputs import ENRICHED, LOADED, Inputs, moment
+from lapseflow.plans.ingest import KNOWN
+from lapseflow.plans.inputs import ENRICHED, KNOWN_BEFORE, LOADED, Inputs, moment
 from lapseflow.plans.registry import query
 from lapseflow.plans.views import uuid_sql
 from lapseflow.session import scratch_path
@@ -46,6 +48,28 @@ def stream_listing_ingest(x: Inputs) -> DataFrame:
     return domain_table.read_domains(x.spark, f"{root}/domain").select(*_COLUMNS)
 
 
+@query("insert_into_buckets", f"""
+    SELECT {uuid_sql("d.name || '.' || d.tld")} AS id, d.name, d.tld, t.id AS tld_id,
+           CASE WHEN (d.name, d.tld) IN (SELECT (name, tld) FROM ({KNOWN}) k) THEN TIMESTAMP '{KNOWN_BEFORE}'
+                ELSE TIMESTAMP '{LOADED}' END AS created_at
+    FROM fx_domain d JOIN fx_tld t ON t.name = d.tld""")
+def insert_into_buckets(x: Inputs) -> DataFrame:
+    """A load on top of a stored table, of which only the buckets that the load falls in are read."""
+    path = scratch_path(x.spark, "domain")
+    rows = x.staged().drop("price")
+    known = rows.where(F.col("auction_end") < moment(KNOWN_BEFORE))
+    for batch, at in ((known, KNOWN_BEFORE), (rows, LOADED)):
+        fresh = ingest.insert_new_domains(
+            batch.drop("auction_end"),
+            lambda firsts: domain_table.candidates(x.spark, path, firsts),
+            x.tld_dim(),
+            x.registrar_dim(),
+            moment(at),
+        )
+        domain_table.append_domains(fresh, path, buckets=32)
+    return domain_table.read_domains(x.spark, path).select("id", "name", "tld", "tld_id", "created_at")
+
+
 @query("stream_rejects", "SELECT seq, lower(registrar) AS registrar, domain_name AS domain, 'no_dot' AS reason FROM fx_listing WHERE domain_name NOT LIKE '%.%'")
 def stream_rejects(x: Inputs) -> DataFrame:
     """The listings that a stream could not load."""

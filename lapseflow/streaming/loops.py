@@ -76,9 +76,9 @@ def stream_listing_ingest(
         # A registrar may appear with losing listings only; these count as well.
         tlds = _grown(spark, f"{root}/tld", rows, "tld", as_of)
         registrars = _grown(spark, f"{root}/registrar", normalise.accepted(listed, domain), "registrar", as_of)
-        target = table.read_domains(spark, f"{root}/domain")
-        fresh = ingest.insert_new_domains(rows, target, tlds, registrars, as_of)
-        table.append_domains(fresh, f"{root}/domain", buckets)
+        path = f"{root}/domain"
+        fresh = ingest.insert_new_domains(rows, lambda firsts: table.candidates(spark, path, firsts), tlds, registrars, as_of)
+        table.append_domains(fresh, path, buckets)
 
     return _run_available(listings, name, step)
 
