@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +22,8 @@ from lapseflow.sources import auctions, feeds, tables
 
 # Listings per landed envelope: bounds what one document, hence one task, holds.
 ENVELOPE_ROWS = 20_000
+# Bytes of a range in the query of one long document, short enough that the smallest input has several.
+LONG = 1 << 16
 
 _AUCTION = """
     SELECT l.seq, l.domain_name, a.price, a.is_adult, a.domain_age, a.auction_end_time
@@ -45,6 +47,7 @@ def envelope_documents(x: Inputs, of: Column | None = None) -> DataFrame:
     )
     document = F.to_json(F.struct(F.struct("records").alias("meta"), "data"))
     return grouped.select(
+        "chunk",
         F.concat(F.lit("all_listings"), F.col("chunk"), F.lit(".json.zip")).alias("file_name"),
         document.alias("document"),
     )
@@ -80,18 +83,20 @@ def scan_listing_select(x: Inputs) -> DataFrame:
     return auctions.select_listing_files(x.listing().select(name.alias("file_name")))
 
 
-def zipped(documents: DataFrame) -> DataFrame:
-    """Each document as an archive with one member."""
+def land_archives(documents: DataFrame, path: str) -> None:
+    """Each document as an archive with one member, a file below ``path``."""
 
     def archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = FileSystem.from_uri(path) if "://" in path else (LocalFileSystem(), path.removeprefix("file:"))
+        store.create_dir(root)
         for batch in batches:
-            for name, document in zip(batch["file_name"], batch["document"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            for name, document in zip(batch["file_name"], batch["document"], strict=True):
+                # A task that runs again writes the same file.
+                with store.open_output_stream(f"{root}/{name}") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr(name.rsplit(".", 1)[0], document)
-                yield pd.DataFrame({"file_name": [name], "content": [buffer.getvalue()]})
+            yield pd.DataFrame({"file_name": batch["file_name"]})
 
-    return documents.mapInPandas(archives, "file_name STRING, content BINARY")
+    documents.mapInPandas(archives, "file_name STRING").write.format("noop").mode("overwrite").save()
 
 
 @query("load_feeds", "SELECT name, tld, registrar FROM fx_norm")
@@ -111,8 +116,24 @@ def load_feeds(x: Inputs) -> DataFrame:
 
 @query("scan_zip_json", _AUCTION)
 def scan_zip_json(x: Inputs) -> DataFrame:
-    archives = zipped(envelope_documents(x))
-    return auction_columns(auctions.unzipped_listings(archives))
+    path = x.landed("archives", lambda to: land_archives(envelope_documents(x), to))
+    return auction_columns(auctions.zipped_auction_json(x.spark, path))
+
+
+@query("scan_long_json", _AUCTION)
+def scan_long_json(x: Inputs) -> DataFrame:
+    """All listings as one document, which no task reads alone."""
+
+    def land(to: str) -> None:
+        # Long lines of the one document; the array goes on from line to line.
+        lines = envelope_documents(x).select("chunk", F.substring_index(F.substring_index("document", '"data":[', -1), "]}", 1).alias("line"))
+        last = lines.agg(F.max("chunk")).scalar()
+        end = F.when(F.col("chunk") == last, "]}").otherwise(",")
+        start = F.when(F.col("chunk") == lines.agg(F.min("chunk")).scalar(), '{"meta":{"records":"[{"},"data":[').otherwise("")
+        lines.orderBy("chunk").coalesce(1).select(F.concat(start, "line", end)).write.text(to)
+
+    path = x.landed("long", land)
+    return auction_columns(auctions.auction_json(x.spark, path, size=LONG))
 
 
 @query("scan_auction_csv", """

@@ -1,4 +1,4 @@
-"""Readers of the auction feeds. Unsplittable files run one task each."""
+"""Readers of the auction feeds. An archive takes one task, a long document or marketplace file several."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import io
 import itertools
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from lapseflow import schemas
 from lapseflow.functions.names import is_listing_file
-from lapseflow.sources import json_stream
+from lapseflow.sources import json_ranges, json_stream
+from lapseflow.sources.files import listed, opened
 
 # Listings that an archive's reader hands on at once.
 BATCH = 5_000
@@ -21,9 +23,38 @@ BATCH = 5_000
 LISTING_ARCHIVES = "{all_listings.zip,all_listings[^_]*.zip}"
 
 
-def auction_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per listing of the JSON envelopes ``{meta, data[]}`` below ``path``."""
-    return envelopes(spark, path).select(F.inline("data"))
+def auction_json(spark: SparkSession, path: str | list[str], size: int = json_ranges.RANGE) -> DataFrame:
+    """One row per listing of the JSON envelopes ``{meta, data[]}`` below ``path``.
+
+    Envelopes of over ``size`` bytes are read by a task for each such range; the others by one task each.
+    A broken or cut-off one fails the read.
+    """
+    files = listed(spark, path)
+    # As many names as there are ranges at most.
+    long = [(r.path, r.length) for r in files.where(F.col("length") > size).orderBy("path").collect()]
+    if not long:
+        return envelopes(spark, path).select(F.inline("data"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch["path"]:
+                with opened(name) as file:
+                    yield from _entries(file)
+
+    short = files.where(F.col("length") <= size).select("path").mapInPandas(read, "entry STRING")
+    return _parsed(json_ranges.long_documents(spark, long, size=size).unionByName(short))
+
+
+def _entries(file: BinaryIO) -> Iterator[pd.DataFrame]:
+    """The listings of one document, some at a time."""
+    entries = json_stream.listings(io.TextIOWrapper(file, encoding="utf-8"))
+    while part := list(itertools.islice(entries, BATCH)):
+        yield pd.DataFrame({"entry": part})
+
+
+def _parsed(entries: DataFrame) -> DataFrame:
+    entry = F.from_json("entry", schemas.AUCTION_ENTRY, {"mode": "FAILFAST"})
+    return entries.select(entry.alias("entry")).select("entry.*")
 
 
 def envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -47,33 +78,28 @@ def select_listing_files(files: DataFrame, file_name: str = "file_name") -> Data
 
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
-    """The listing archives below ``path``, with their bytes.
+    """(path, file_name, length) of the listing archives below ``path``.
 
     The names are tested while the files are listed, so no other file is read.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", LISTING_ARCHIVES).load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", name.alias("file_name"), "content")
+    return listed(spark, path, LISTING_ARCHIVES)
 
 
 def unzipped_listings(files: DataFrame) -> DataFrame:
     """One row per listing of the one member of each archive, which bears its name less the last suffix.
 
-    The member is read as a stream: a task holds an archive's bytes and BATCH listings, however
-    long the text is that they unpack to. A broken archive or document fails the read.
+    Archive and member are read as streams: a task holds the archive's list of members and BATCH listings,
+    however long the archive is and the text that it unpacks to. An archive without that member, a broken one or a
+    broken document fails the read.
     """
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["file_name"], batch["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(name.rsplit(".", 1)[0]) as member:
-                    entries = json_stream.listings(io.TextIOWrapper(member, encoding="utf-8"))
-                    while part := list(itertools.islice(entries, BATCH)):
-                        yield pd.DataFrame({"entry": part})
+            for path, name in zip(batch["path"], batch["file_name"], strict=True):
+                with opened(path) as file, zipfile.ZipFile(file) as archive, archive.open(name.rsplit(".", 1)[0]) as member:
+                    yield from _entries(member)
 
-    texts = files.select("file_name", "content").mapInPandas(members, "entry STRING")
-    entry = F.from_json("entry", schemas.AUCTION_ENTRY, {"mode": "FAILFAST"})
-    return texts.select(entry.alias("entry")).select("entry.*")
+    return _parsed(files.select("path", "file_name").mapInPandas(members, "entry STRING"))
 
 
 def zipped_auction_json(spark: SparkSession, path: str) -> DataFrame:

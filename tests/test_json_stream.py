@@ -59,3 +59,44 @@ def test_memory_does_not_follow_the_document():
             return ",".join('{"k": "v"}' for _ in range(1000)) + ("," if self.left else "") + tail
 
     assert sum(1 for _ in json_stream.listings(Endless())) == 200_000
+
+
+class Counted(io.StringIO):
+    """A text that knows how much of it was read."""
+
+    read_so_far = 0
+
+    def read(self, n=-1):
+        found = super().read(n)
+        self.read_so_far += len(found)
+        return found
+
+
+def test_a_fault_is_reported_within_a_piece():
+    text = Counted('{"data": [{"a" 1}, ' + '{"k": "v"}, ' * 500_000 + "{}]}")
+    with pytest.raises(ValueError, match="malformed"):
+        list(json_stream.listings(text))
+    assert text.read_so_far <= 2 * json_stream.PIECE
+
+
+def test_a_long_value_is_read_a_few_times_over_only(monkeypatch):
+    # Each failed try reads as much again as is held.
+    tries = []
+    cursor = json_stream._Cursor(io.StringIO('"' + "x" * 3_000_000 + '"'))
+    own = cursor._decode
+    cursor._decode = lambda text, at: (tries.append(len(text)), own(text, at))[1]
+    assert len(cursor.value()) == 3_000_002 and sum(tries) < 4 * 3_000_002
+
+
+def test_values_beyond_the_bound_fail():
+    with pytest.raises(ValueError, match="over 1000"):
+        list(json_stream.listings(io.StringIO('{"data": [{"k": "' + "x" * 200_000 + '"}]}'), most=1000))
+
+
+def test_what_is_passed_over_is_not_kept():
+    cursor = json_stream._Cursor(io.StringIO("[" + '{"a": "]\\\\\\""},' * 200_000 + "0] 7"))
+    cursor.skip()
+    assert cursor.value() == "7" and len(cursor._text) <= 2 * json_stream.PIECE
+    for text in ("[1, 2", '["a]', "[{]", '["\\'):
+        with pytest.raises(ValueError, match="malformed"):
+            json_stream._Cursor(io.StringIO(text)).skip()
