@@ -42,7 +42,30 @@ def is_fresh(listed_at: Column, as_of: Column, days: int = FRESH_DAYS) -> Column
 def retention(
     listings: DataFrame, listed_at: str, as_of: Column, days: int = FRESH_DAYS
 ) -> tuple[DataFrame, DataFrame]:
-    """Fresh listings to keep, and older ones with the month their archive is filed under."""
-    fresh = is_fresh(F.col(listed_at), as_of, days)
-    old = listings.where(~fresh).withColumn("month", F.date_format(listed_at, "yyyy-MM"))
+    """Fresh listings to keep, and older ones with the month their archive is filed under.
+
+    Every row is on one side: a listing without a time stays, since its age isn't known.
+    """
+    fresh = F.coalesce(is_fresh(F.col(listed_at), as_of, days), F.lit(True))
+    old = listings.where(~fresh).withColumn("month", month_of(F.col(listed_at)))
     return listings.where(fresh), old
+
+
+def month_of(moment: Column) -> Column:
+    return F.date_format(moment, "yyyy-MM")
+
+
+def stored_retention(
+    live: DataFrame, archive: DataFrame, listed_at: str, as_of: Column, days: int = FRESH_DAYS
+) -> tuple[DataFrame, DataFrame]:
+    """The same from listings stored by ``month``, of which whole months may have moved to an archive.
+
+    Months before the border day's are old as a whole and later ones fresh as a whole, by their
+    partition alone; only in the border month rows are looked at. Either side reads its own months.
+    """
+    border = month_of(as_of - F.make_dt_interval(days=F.lit(days)))
+    month = F.col("month")
+    fresh = is_fresh(F.col(listed_at), as_of, days)
+    both = live.unionByName(archive)
+    keep = both.where(month.isNull() | (month > border) | ((month == border) & fresh))
+    return keep, both.where((month < border) | ((month == border) & ~fresh))

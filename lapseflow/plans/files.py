@@ -136,14 +136,28 @@ def scan_long_json(x: Inputs) -> DataFrame:
     return auction_columns(auctions.auction_json(x.spark, path, size=LONG))
 
 
-@query("scan_auction_csv", """
+_MARKET = """
     SELECT split_part(domain_name, '.', 1) AS name, strftime(auction_end, '%Y-%m-%d') AS start_time,
            strftime(auction_end + INTERVAL 7 DAY, '%Y-%m-%d') AS end_time, a.price AS reserve_price,
            CAST(l.seq AS INTEGER) AS traffic
-    FROM fx_listing l JOIN fx_attr a ON a.seq = l.seq""")
+    FROM fx_listing l JOIN fx_attr a ON a.seq = l.seq"""
+
+
+@query("scan_auction_csv", _MARKET)
 def scan_auction_csv(x: Inputs) -> DataFrame:
     path = x.landed("market", lambda to: market_rows(x).write.csv(to, sep=";", encoding="UTF-16", header=True))
-    rows = normalise.rename_market_columns(auctions.market_csv(x.spark, path))
+    return market_columns(auctions.market_csv(x.spark, path))
+
+
+@query("scan_long_csv", _MARKET)
+def scan_long_csv(x: Inputs) -> DataFrame:
+    """All listings as one marketplace file, which no task reads alone."""
+    path = x.landed("long-market", lambda to: market_rows(x).coalesce(1).write.csv(to, sep=";", encoding="UTF-16", header=True))
+    return market_columns(auctions.market_csv(x.spark, path, size=LONG))
+
+
+def market_columns(listings: DataFrame) -> DataFrame:
+    rows = normalise.rename_market_columns(listings)
     return rows.select(
         names.first_label(F.col("name")).alias("name"),
         "start_time",

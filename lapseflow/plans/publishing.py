@@ -10,7 +10,8 @@ from lapseflow.functions.text import html_link
 from lapseflow.operators import feed, search
 from lapseflow.plans.inputs import AS_OF, Inputs, moment
 from lapseflow.plans.registry import query
-from lapseflow.session import stored
+from lapseflow.session import scratch_path, stored
+from lapseflow.sinks import files
 
 _GRACE = "CASE registrar WHEN 'godaddy' THEN 90 WHEN 'sedo' THEN 70 END"
 _AVAILABLE = f"strftime(expired + to_days({_GRACE}), '%B/%-d')"
@@ -63,6 +64,22 @@ def retention_archive(x: Inputs) -> DataFrame:
     return old.select("seq", "domain_name", "auction_end", "month")
 
 
+@query("retention_by_month", f"""
+    SELECT seq, domain_name, listed_at, strftime(listed_at, '%Y-%m') AS month, coalesce(listed_at >= {_NOW} - INTERVAL 90 DAY, true) AS kept
+    FROM (SELECT seq, domain_name, CASE WHEN seq % 11 > 0 THEN auction_end END AS listed_at FROM fx_listing) l""")
+def retention_by_month(x: Inputs) -> DataFrame:
+    """Listings stored by month, some undated, after two rounds of moving whole months to the archive."""
+    live, archive = scratch_path(x.spark, "listings"), scratch_path(x.spark, "archive")
+    dated = F.when(F.col("seq") % 11 > 0, F.col("auction_end")).alias("listed_at")
+    files.write_listings(x.listing().select("seq", "domain_name", dated), live, "listed_at")
+    for month in ("1994-02", "1998-04"):
+        files.archive_months(x.spark, live, archive, month)
+    layout = "seq BIGINT, domain_name STRING, listed_at TIMESTAMP_NTZ"
+    sides = [files.read_listings(x.spark, path, layout) for path in (live, archive)]
+    keep, old = feed.stored_retention(*sides, "listed_at", moment(AS_OF))
+    return keep.withColumn("kept", F.lit(True)).unionByName(old.withColumn("kept", F.lit(False)))
+
+
 def feed_domains(x: Inputs) -> DataFrame:
     """Dated domains with their wiki and rank answers, stored as a domain table would be."""
     looked_up = x.enriched().select("name", "tld", "has_wiki", "alexa_score")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lapseflow import schemas
 from lapseflow.functions.names import is_listing_file
-from lapseflow.sources import json_ranges, json_stream
+from lapseflow.sources import csv_ranges, json_ranges, json_stream
 from lapseflow.sources.files import listed, opened
 
 # Listings that an archive's reader hands on at once.
@@ -106,17 +106,28 @@ def zipped_auction_json(spark: SparkSession, path: str) -> DataFrame:
     return unzipped_listings(archives(spark, path))
 
 
-def market_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def market_csv(spark: SparkSession, path: str | list[str], size: int = csv_ranges.RANGE) -> DataFrame:
     """The marketplace file: UTF-16, ``;`` between fields, a ``sep=;`` line, a header line.
 
-    It has to be read whole per file (``multiLine``): a split inside two-byte
-    text would corrupt rows. The two leading lines are dropped by content; rows
-    without a name stay, for the rejects.
+    Quotes within quotes are doubled. A file of over ``size`` bytes is read by a task for each such range, unless it
+    has quotes within plain fields; a shorter one or one with such quotes is read whole by one task.
+    The two leading lines are dropped by content; rows without a name stay, for the rejects.
     """
     titles = [*schemas.MARKET_COLUMNS, *schemas.MARKET_EXTRA]
     layout = ", ".join(f"`{t}` STRING" for t in titles)
-    rows = spark.read.schema(layout).csv(
-        path, sep=";", encoding="UTF-16", multiLine=True, enforceSchema=True
-    )
+    files = listed(spark, path).where(~F.col("file_name").rlike("^[._]")).orderBy("path")
+    # As many names as there are ranges at most.
+    long = [(r.path, r.length) for r in files.where(F.col("length") > size).collect()]
+
+    def whole(paths: str | list[str]) -> DataFrame:
+        return spark.read.schema(layout).csv(paths, sep=";", encoding="UTF-16", multiLine=True, enforceSchema=True, escape='"')
+
+    if not long:
+        rows = whole(path)
+    else:
+        records, odd = csv_ranges.long_files(spark, long, size=size)
+        rest = [*odd, *[r.path for r in files.where(F.col("length") <= size).select("path").collect()]]
+        rows = csv_ranges.parsed(records, layout)
+        rows = rows.unionByName(whole(rest)) if rest else rows
     first = F.col("`Domain Name`")
     return rows.where(~F.coalesce(first.isin("sep=", "Domain Name"), F.lit(False)))

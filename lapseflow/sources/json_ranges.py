@@ -29,88 +29,118 @@ BLOCK = 1 << 20
 #: Bytes of the longest listing, and of all that a document holds beside its listings.
 MOST = 1 << 26
 
-_OUT, _IN, _ESCAPED = 0, 1, 2
 _QUOTE, _ESCAPE, _COMMA, _OBJECT = b'"\\,{'
-_STEP = np.zeros(256, np.int8)
-_STEP[[*b"[{"]] = 1
-_STEP[[*b"]}"]] = -1
+# With this bit set both opening brackets are one sign, and both closing ones.
+_FOLD, _OPENS, _CLOSES = 0x20, b"{"[0], b"}"[0]
 _BLANK = np.zeros(256, bool)
 _BLANK[[*b" \t\r\n"]] = True
 
 
-def _strings(raw: np.ndarray, state: int) -> tuple[np.ndarray, int]:
-    """Whether each byte belongs to a string (its opening quote does, its closing one doesn't), and the state behind."""
-    escapes = np.flatnonzero(raw == _ESCAPE)
-    quote = raw == _QUOTE
-    last_escapes = False
-    if len(escapes) or state == _ESCAPED:
-        # Within a run of escape signs every second one escapes what follows it.
-        new = np.ones(len(escapes), bool)
-        new[1:] = escapes[1:] != escapes[:-1] + 1
-        run = np.flatnonzero(new)
-        place = np.arange(len(escapes)) - np.repeat(run, np.diff(np.append(run, len(escapes))))
-        if state == _ESCAPED:
-            quote[0] = False
-            if len(escapes) and escapes[0] == 0:
-                # The first sign is itself escaped.
-                first = int(run[1]) if len(run) > 1 else len(escapes)
-                place[:first] += 1
-        active = escapes[place % 2 == 0]
-        quote[active[active + 1 < len(raw)] + 1] = False
-        last_escapes = bool(len(active) and active[-1] == len(raw) - 1)
-    inside = (np.cumsum(quote, dtype=np.int32) + (state != _OUT)) % 2 == 1
-    return inside, _OUT if not inside[-1] else _ESCAPED if last_escapes else _IN
-
-
 @dataclass
 class Place:
-    """Where scanning stands: before byte ``at``, in ``state``, ``depth`` brackets deep."""
+    """Where scanning stands: before byte ``at``, in a string or not, ``depth`` brackets deep."""
 
     at: int
-    state: int = _OUT
+    inside: bool = False
     depth: int = 0
+    escaped: bool = False
 
 
-def _blocks(file: pa.NativeFile, place: Place, stop: int, block: int = BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """First byte, bytes, membership of strings and depth behind each byte, block by block; ``place`` moves on."""
+@dataclass
+class Block:
+    """Bytes from ``at`` on, and their brackets: where, whether in a string, +1 or -1, and the depth behind each."""
+
+    at: int
+    raw: np.ndarray
+    where: np.ndarray
+    quoted: np.ndarray
+    step: np.ndarray
+    depth: np.ndarray
+    depth_before: int
+
+
+def _unescaped(raw: np.ndarray, escaped: bool) -> tuple[np.ndarray, bool]:
+    """The quotes that no escape sign stands before, and whether the first byte behind is escaped."""
+    quotes = np.flatnonzero(raw == _QUOTE)
+    signs = np.flatnonzero(raw == _ESCAPE)
+    if not len(signs):
+        return quotes[1:] if escaped and len(quotes) and quotes[0] == 0 else quotes, False
+    # Within a run of escape signs every second one escapes what follows it.
+    new = np.ones(len(signs), bool)
+    new[1:] = signs[1:] != signs[:-1] + 1
+    run = np.flatnonzero(new)
+    place = np.arange(len(signs)) - np.repeat(run, np.diff(np.append(run, len(signs))))
+    if escaped and signs[0] == 0:
+        # The first sign is itself escaped.
+        place[: run[1] if len(run) > 1 else len(signs)] += 1
+    taken = signs[place % 2 == 0] + 1
+    if escaped:
+        taken = np.concatenate([[0], taken])
+    return np.setdiff1d(quotes, taken, assume_unique=True), bool(len(taken) and taken[-1] == len(raw))
+
+
+def _blocks(file: pa.NativeFile, place: Place, stop: int, block: int = BLOCK) -> Iterator[Block]:
+    """What stands before ``stop``, block by block; ``place`` moves on."""
     file.seek(place.at)
     while place.at < stop:
         raw = np.frombuffer(file.read(min(block, stop - place.at)), np.uint8)
         if not len(raw):
             return
-        inside, state = _strings(raw, place.state)
-        depth = np.cumsum(np.where(inside, 0, _STEP[raw]), dtype=np.int32) + place.depth
-        at = place.at
-        place.at, place.state, place.depth = at + len(raw), state, int(depth[-1])
-        yield at, raw, inside, depth
+        quotes, escaped = _unescaped(raw, place.escaped)
+        folded = raw | _FOLD
+        where = np.flatnonzero((folded == _OPENS) | (folded == _CLOSES))
+        quoted = (np.searchsorted(quotes, where) + place.inside) % 2 == 1
+        step = np.where(folded[where] == _OPENS, 1, -1)
+        depth = np.cumsum(np.where(quoted, 0, step)) + place.depth
+        found = Block(place.at, raw, where, quoted, step, depth, place.depth)
+        place.at += len(raw)
+        place.inside = bool((len(quotes) + place.inside) % 2)
+        place.escaped = escaped
+        place.depth = int(depth[-1]) if len(depth) else place.depth
+        yield found
+
+
+def border(file: pa.NativeFile, at: int) -> int:
+    """The first place from ``at`` on that isn't behind an escape sign: there ranges really meet."""
+    while at > 0:
+        file.seek(at - 1)
+        if file.read(1) != bytes([_ESCAPE]):
+            break
+        at += 1
+    return at
 
 
-def outcomes(path: str, start: int, stop: int, block: int = BLOCK) -> list[tuple[int, int]]:
-    """State behind a range and change of depth in it, for each state it may begin in."""
-    found = []
+def outcomes(path: str, start: int, stop: int, block: int = BLOCK) -> list[tuple[bool, int]]:
+    """Whether a range ends in a string, and the change of depth in it, if it begins outside and if inside of one."""
     with opened(path) as file:
-        for state in (_OUT, _IN, _ESCAPED):
-            place = Place(start, state)
-            for _ in _blocks(file, place, stop, block):
-                pass
-            found.append((place.state, place.depth))
-    return found
+        place = Place(border(file, start))
+        outside = inside = 0
+        for found in _blocks(file, place, border(file, stop), block):
+            outside += int(found.step[~found.quoted].sum())
+            inside += int(found.step[found.quoted].sum())
+    return [(place.inside, outside), (not place.inside, inside)]
 
 
 def outer_text(path: str, place: Place, stop: int, block: int = BLOCK) -> tuple[bytes, list[int]]:
     """The bytes of a range outside of the outermost object's own arrays and objects, and where these begin and end."""
     kept, borders, size = [], [], 0
     with opened(path) as file:
-        depth_before = place.depth
-        for at, raw, _, depth in _blocks(file, place, stop, block):
-            before = np.concatenate([[depth_before], depth[:-1]])
-            depth_before = int(depth[-1])
-            opens, closes = (before == 1) & (depth == 2), (before == 2) & (depth == 1)
-            # Their own brackets stay.
-            text = raw[(depth <= 1) | opens].tobytes()
-            borders += (np.flatnonzero(opens | closes) + at).tolist()
-            kept.append(text)
-            size += len(text)
+        place.at = border(file, place.at)
+        for found in _blocks(file, place, border(file, stop), block):
+            text = found.raw.tobytes()
+            before = np.concatenate([[found.depth_before], found.depth[:-1]])
+            low = 0 if found.depth_before <= 1 else None
+            for i in np.flatnonzero(~found.quoted & ((before <= 1) | (found.depth <= 1))).tolist():
+                at = int(found.where[i])
+                # Their own brackets stay.
+                kept.append(text[at if low is None else low : at + 1])
+                size += len(kept[-1])
+                low = at + 1 if found.depth[i] <= 1 else None
+                if {before[i], found.depth[i]} == {1, 2}:
+                    borders.append(at + found.at)
+            if low is not None:
+                kept.append(text[low:])
+                size += len(kept[-1])
             if size > MOST:
                 raise ValueError(f"malformed listing document: over {MOST} bytes beside its listings")
     return b"".join(kept), borders
@@ -118,12 +148,12 @@ def outer_text(path: str, place: Place, stop: int, block: int = BLOCK) -> tuple[
 
 @dataclass
 class Range(InputPartition):
-    """Bytes ``start`` to ``stop`` of a document, beginning in ``state`` at ``depth``, and its array from ``low`` to ``high``."""
+    """Bytes ``start`` to ``stop`` of a document, where it begins, and the document's array from ``low`` to ``high``."""
 
     path: str
     start: int
     stop: int
-    state: int
+    inside: bool
     depth: int
     low: int
     high: int
@@ -170,15 +200,21 @@ def _after_blank(text: str, at: int) -> int:
 
 def listings(part: Range, block: int = BLOCK, most: int = MOST) -> Iterator[list[bytes]]:
     """The texts of the listings that begin in a range, block by block. Whatever isn't an object is an error."""
-    # Where the listing that is being read follows its comma or bracket; before the range's first one: none.
-    since = part.low if part.start <= part.low else None
-    place = Place(part.start, part.state, part.depth) if since is None else Place(part.low + 1, _OUT, 2)
-    held, begun = b"", False
     with opened(part.path) as file:
-        for at, raw, inside, depth in _blocks(file, place, part.high + 1, block):
-            before = np.concatenate([[depth[0] - (0 if inside[0] else _STEP[raw[0]])], depth[:-1]])
-            flat = (depth == 2) & (before == 2)
-            cuts = np.flatnonzero((flat & (raw == _COMMA) & ~inside) | ((before == 2) & (depth == 1)))
+        start, stop = border(file, part.start), border(file, part.stop)
+        # Where the listing that is being read follows its comma or bracket; before the range's first one: none.
+        since = part.low if start <= part.low else None
+        place = Place(start, part.inside, part.depth) if since is None else Place(part.low + 1, False, 2)
+        held, begun = b"", False
+        for found in _blocks(file, place, part.high + 1, block):
+            raw, at = found.raw, found.at
+            own = ~found.quoted
+            where, depth, step = found.where[own], found.depth[own], found.step[own]
+            # The bytes two brackets deep: behind each bracket that ends there, up to the next one.
+            lows = np.concatenate([[0], where + 1])
+            sizes = np.where(np.concatenate([[found.depth_before], depth]) == 2, np.append(where, len(raw)) - lows, 0)
+            flat = np.arange(sizes.sum()) + np.repeat(lows - (np.cumsum(sizes) - sizes), sizes)
+            cuts = np.sort(np.concatenate([flat[raw[flat] == _COMMA], where[(depth == 1) & (step < 0)]]))
             first = 0 if since is not None else int(cuts[0]) if len(cuts) else len(raw)
             text, texts, low, done = raw.tobytes(), [], 0, False
             for cut in cuts.tolist():
@@ -187,19 +223,24 @@ def listings(part: Range, block: int = BLOCK, most: int = MOST) -> Iterator[list
                 held, low = b"", cut + 1
                 since = at + cut
                 # Past the range, or behind the array.
-                if done := since >= part.stop or depth[cut] == 1:
+                if done := since >= stop or raw[cut] != _COMMA:
                     break
             last = low if done else len(raw)
             # Between commas stands one object, and blanks.
-            odd = flat & ~_BLANK[raw] & ((raw != _COMMA) | inside)
-            opens = np.flatnonzero((before[first:last] == 2) & (depth[first:last] == 3)) + first
+            between = raw[flat[(flat >= first) & (flat < last)]]
+            opens = where[(depth == 3) & (step > 0) & (where >= first) & (where < last)]
             group = np.searchsorted(cuts, opens)
-            if odd[first:last].any() or (raw[opens] != _OBJECT).any() or (group[1:] == group[:-1]).any() or (begun and len(group) and group[0] == 0):
+            if (
+                (~_BLANK[between] & (between != _COMMA)).any()
+                or (raw[opens] != _OBJECT).any()
+                or (group[1:] == group[:-1]).any()
+                or (begun and len(group) and group[0] == 0)
+            ):
                 raise ValueError(f"malformed listing document {part.path}: a listing that isn't an object, or no comma behind one")
             begun = bool(len(group) and group[-1] == len(cuts)) or (begun and not len(cuts))
             if texts:
                 yield texts
-            if done or (since is None and place.at >= part.stop):
+            if done or (since is None and place.at >= stop):
                 return
             if since is not None:
                 held += text[low:]
@@ -253,34 +294,35 @@ def long_documents(spark: SparkSession, files: list[tuple[str, int]], key: str =
         for batch in batches:
             for row in batch.to_pylist():
                 found = outcomes(row["path"], row["start"], row["stop"], block)
-                yield pa.RecordBatch.from_pylist([row | {"states": [s for s, _ in found], "depths": [d for _, d in found]}])
+                row |= {"ends": [s for s, _ in found], "depths": [d for _, d in found]}
+                yield pa.RecordBatch.from_pylist([row])
 
-    ends = {(r.path, r.start): r for r in cut.mapInArrow(first, "path STRING, start BIGINT, stop BIGINT, states ARRAY<BIGINT>, depths ARRAY<BIGINT>").collect()}
-    begun, state, depth = [], _OUT, 0
+    ends = {(r.path, r.start): r for r in cut.mapInArrow(first, "path STRING, start BIGINT, stop BIGINT, ends ARRAY<BOOLEAN>, depths ARRAY<BIGINT>").collect()}
+    begun, inside, depth = [], False, 0
     for path, low, high in pieces:
         if low == 0:
-            state, depth = _OUT, 0
-        begun.append((path, low, high, state, depth))
+            inside, depth = False, 0
+        begun.append((path, low, high, inside, depth))
         end = ends[path, low]
-        state, depth = end.states[state], depth + end.depths[state]
+        inside, depth = end.ends[inside], depth + end.depths[inside]
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                outer, borders = outer_text(row["path"], Place(row["start"], row["state"], row["depth"]), row["stop"], block)
+                outer, borders = outer_text(row["path"], Place(row["start"], row["inside"], row["depth"]), row["stop"], block)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["path"]]), pa.array([row["start"]]), pa.array([outer], pa.binary()), pa.array([borders], pa.list_(pa.int64()))],
                     names=["path", "start", "outer", "borders"],
                 )
 
-    known = spark.createDataFrame(begun, "path STRING, start BIGINT, stop BIGINT, state INT, depth INT").repartition(max(len(begun), 1))
+    known = spark.createDataFrame(begun, "path STRING, start BIGINT, stop BIGINT, inside BOOLEAN, depth BIGINT").repartition(max(len(begun), 1))
     outers = {(r.path, r.start): r for r in known.mapInArrow(second, "path STRING, start BIGINT, outer BINARY, borders ARRAY<BIGINT>").collect()}
     parts = []
     for path, length in files:
         own = [outers[path, low] for low in range(0, length, size)]
         arrays = spans(b"".join(bytes(r.outer) for r in own), [b for r in own for b in r.borders], path, key)
-        for name, low, high, state, depth in begun:
+        for name, low, high, inside, depth in begun:
             if name == path:
-                parts += [Range(path, low, high, state, depth, a, b) for a, b in arrays if low <= b and a < high]
+                parts += [Range(path, low, high, inside, depth, a, b) for a, b in arrays if low <= b and a < high]
     spark.dataSource.register(ListingRanges)
     return spark.read.format("listing_ranges").option("ranges", json.dumps([astuple(p) for p in parts])).option("block", block).load()

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapseflow import schemas
-from lapseflow.operators import enrich, ingest, normalise
+from lapseflow.operators import enrich, feed, ingest, normalise
 from lapseflow.operators.enrich import ENRICHERS, apply_enrichment
 from lapseflow.plans.inputs import LOADED, Inputs, moment
 from lapseflow.session import scratch_path
@@ -317,3 +317,33 @@ def test_stream_keeps_its_rejects(spark, x, tmp_path):
     assert rejected.where("run LIKE '%one%'").count() == normalise.rejects(x.listing()).count()
     accepted = normalise.accepted(x.listing()).count()
     assert accepted + rejected.count() // 2 == x.listing().count()
+
+
+def test_retention_by_month_loses_nothing(spark, tmp_path):
+    live, archive = str(tmp_path / "live"), str(tmp_path / "archive")
+    layout = "name STRING, at TIMESTAMP_NTZ"
+    days = [datetime(2020, 1, 5), datetime(2021, 1, 31), datetime(2021, 3, 2), datetime(2021, 3, 3), datetime(2021, 3, 31), datetime(2021, 9, 1), None, None]
+    listings = spark.createDataFrame([(f"n{i}", d) for i, d in enumerate(days)], layout)
+    as_of = moment("2021-06-01 00:00:00")
+
+    def sides():
+        return feed.stored_retention(files.read_listings(spark, live, layout), files.read_listings(spark, archive, layout), "at", as_of)
+
+    def names(df):
+        return sorted(r.name for r in df.collect())
+
+    want = feed.retention(listings, "at", as_of)
+    assert (names(want[0]), names(want[1])) == (["n3", "n4", "n5", "n6", "n7"], ["n0", "n1", "n2"])
+    files.write_listings(listings, live, "at")
+    for before, moved in (("2020-01", 0), ("2021-03", 2), ("2021-03", 0)):
+        assert files.archive_months(spark, live, archive, before) == moved
+        keep, old = sides()
+        assert names(keep) == names(want[0]) and sorted(map(tuple, old.collect())) == sorted(map(tuple, want[1].select(*old.columns).collect()))
+    # A late listing of a month that has moved already.
+    files.write_listings(spark.createDataFrame([("late", datetime(2021, 1, 2))], layout), live, "at")
+    assert files.archive_months(spark, live, archive, "2021-02") == 1
+    assert names(sides()[1]) == ["late", "n0", "n1", "n2"]
+    plan = sides()[0]._jdf.queryExecution().executedPlan().toString()
+    assert "isnull(month" in plan.split("PartitionFilters")[1] and "(month" in plan.split("PartitionFilters")[1]
+    # Of the months, only those that can hold kept rows are opened.
+    assert all("month=2020" not in f and "month=2021-01" not in f for f in sides()[0].inputFiles())

@@ -23,19 +23,18 @@ OBJECTS = st.dictionaries(TEXTS, INNER, max_size=3)
 def read(path: str, length: int, size: int, block: int = 1 << 20) -> list:
     """What the passes do, in one process."""
     pieces = [(low, min(low + size, length)) for low in range(0, length, size)]
-    state, depth, begun, outer, borders = 0, 0, [], b"", []
+    inside, depth, begun, outer, borders = False, 0, [], b"", []
     for low, high in pieces:
-        begun.append((low, high, state, depth))
-        text, own = json_ranges.outer_text(path, Place(low, state, depth), high, block)
+        begun.append((low, high, inside, depth))
+        text, own = json_ranges.outer_text(path, Place(low, inside, depth), high, block)
         outer, borders = outer + text, borders + own
         ends = json_ranges.outcomes(path, low, high, block)
-        depth += ends[state][1]
-        state = ends[state][0]
+        inside, depth = ends[inside][0], depth + ends[inside][1]
     out = []
     for low, high in json_ranges.spans(outer, borders, path, "data"):
-        for start, stop, state, depth in begun:
+        for start, stop, inside, depth in begun:
             if start <= high and low < stop:
-                part = Range(path, start, stop, state, depth, low, high)
+                part = Range(path, start, stop, inside, depth, low, high)
                 reader = json_ranges._Reader({"ranges": "[]", "block": str(block)})
                 out += [json.loads(x) for b in reader.read(part) for x in b.column(0).to_pylist()]
     return out
