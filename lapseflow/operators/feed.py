@@ -67,5 +67,6 @@ def stored_retention(
     month = F.col("month")
     fresh = is_fresh(F.col(listed_at), as_of, days)
     both = live.unionByName(archive)
-    keep = both.where(month.isNull() | (month > border) | ((month == border) & fresh))
-    return keep, both.where((month < border) | ((month == border) & ~fresh))
+    # First by partition alone, then the rows of the border month.
+    keep = both.where(month.isNull() | (month >= border)).where(month.isNull() | (month > border) | fresh)
+    return keep, both.where(month <= border).where((month < border) | ~fresh)
