@@ -63,7 +63,7 @@ def term_search(
     return hits.withColumn("position", F.row_number().over(best)).where(F.col("position") <= top)
 
 
-def _checked(limit: int, page: int = 1) -> None:
+def checked(limit: int, page: int = 1) -> None:
     low, high = PAGE_LIMIT
     if not low <= limit <= high or page < 1:
         raise ValueError(f"limit must be {low}-{high} and page at least 1")
@@ -74,7 +74,7 @@ def page(df: DataFrame, limit: int, number: int = 1, key: str = "domain_name") -
 
     Following pages one by one is cheaper with :func:`page_after`.
     """
-    _checked(limit, number)
+    checked(limit, number)
     rows, skip = df.where(F.col(key).isNotNull()), (number - 1) * limit
     if skip <= SHALLOW:
         return rows.orderBy(key).offset(skip).limit(limit)
@@ -120,13 +120,13 @@ def _near_start(df: DataFrame, skip: int, key: str) -> tuple[str, int, int] | No
 
 def page_after(df: DataFrame, limit: int, last: str, key: str = "domain_name") -> DataFrame:
     """The page that follows the row ``last``: no rows are sorted only to be skipped."""
-    _checked(limit)
+    checked(limit)
     return df.where(F.col(key) > last).orderBy(key).limit(limit)
 
 
 def page_numbers(df: DataFrame, limit: int, number: int = 1) -> DataFrame:
     """One row: offset of this page, page count, next and previous page (NULL at the ends)."""
-    _checked(limit, number)
+    checked(limit, number)
     pages = F.ceil(F.count(F.lit(1)) / limit)
     return df.agg(
         F.lit((number - 1) * limit).cast("bigint").alias("current_offset"),

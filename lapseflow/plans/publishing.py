@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lapseflow.functions import names, scoring
 from lapseflow.functions.text import html_link
-from lapseflow.operators import feed, search
+from lapseflow.operators import feed, search, search_index, stored_pages
 from lapseflow.plans.inputs import AS_OF, Inputs, moment
 from lapseflow.plans.registry import query
 from lapseflow.session import scratch_path, stored
@@ -115,6 +115,24 @@ def page_domains(x: Inputs) -> DataFrame:
     return search.page(domain_names(x), 50, 3)
 
 
+@query("page_domains_stored", f"""
+    SELECT * FROM (SELECT 1 AS page, domain_name FROM ({_NAMES}) n ORDER BY domain_name LIMIT 7)
+    UNION ALL SELECT * FROM (SELECT 50 AS page, domain_name FROM ({_NAMES}) n ORDER BY domain_name LIMIT 7 OFFSET 343)""")
+def page_domains_stored(x: Inputs) -> DataFrame:
+    """The first page and a deep one from a stored order."""
+    path = scratch_path(x.spark, "order")
+    stored_pages.store_order(domain_names(x), path, ranges=16)
+    pages = [stored_pages.stored_page(x.spark, path, 7, n).select(F.lit(n).alias("page"), "domain_name") for n in (1, 50)]
+    return pages[0].unionByName(pages[1])
+
+
+@query("page_numbers_stored", "SELECT CAST(100 AS BIGINT) AS current_offset, CAST((count(*) + 49) // 50 AS BIGINT) AS pages, CASE WHEN (count(*) + 49) // 50 > 3 THEN 4 END AS next_page, 2 AS prev_page FROM fx_domain")
+def page_numbers_stored(x: Inputs) -> DataFrame:
+    path = scratch_path(x.spark, "order")
+    stored_pages.store_order(domain_names(x), path)
+    return stored_pages.stored_page_numbers(x.spark, path, 50, 3)
+
+
 @query("page_domains_after", f"SELECT domain_name FROM ({_NAMES}) n WHERE domain_name > 'red' ORDER BY domain_name LIMIT 50")
 def page_domains_after(x: Inputs) -> DataFrame:
     return search.page_after(domain_names(x), 50, "red")
@@ -165,6 +183,24 @@ def term_search(x: Inputs) -> DataFrame:
     )
 
 
+@query("term_search_index", f"""
+    SELECT term, name, similarity, distance, position FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY term ORDER BY similarity DESC, distance, name) AS INTEGER) AS position
+        FROM (SELECT term, name, CAST(levenshtein(term, name) AS INTEGER) AS distance,
+                     len(list_intersect(g, h)) / (len(g) + len(h) - len(list_intersect(g, h))) AS similarity
+              FROM (SELECT name, {_GRAMS.format('name')} AS g FROM (SELECT DISTINCT name FROM fx_domain) n) a,
+                   (SELECT term, {_GRAMS.format('term')} AS h FROM (SELECT DISTINCT lower(split_part(p_name, ' ', 2)) AS term FROM part UNION SELECT DISTINCT lower(replace(n_name, ' ', '')) FROM nation) v) b
+             ) s WHERE similarity >= 0.3) r
+    WHERE position <= 10""")
+def term_search_index(x: Inputs) -> DataFrame:
+    """Many terms at once, a table of them, over stored postings."""
+    path = scratch_path(x.spark, "index")
+    search_index.build_index(x.norm(), path)
+    second = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
+    terms = x.table("part").select(second.alias("term")).unionByName(x.table("nation").select(F.replace("n_name", F.lit(" "), F.lit("")).alias("term")))
+    return search_index.search_index(x.spark, path, terms).select("term", "name", "similarity", "distance", "position")
+
+
 _BASE = "https://files.example.org/"
 
 

@@ -12,7 +12,7 @@ from lapseflow.plans.inputs import ENRICHED, KNOWN_BEFORE, LOADED, Inputs, momen
 from lapseflow.plans.registry import query
 from lapseflow.plans.views import uuid_sql
 from lapseflow.session import scratch_path
-from lapseflow.sinks import domain_table
+from lapseflow.sinks import dim_table, domain_table
 from lapseflow.streaming import loops
 
 
@@ -76,6 +76,32 @@ def stream_rejects(x: Inputs) -> DataFrame:
     return loops.read_rejects(x.spark, loaded_root(x, rounds=1)).drop("run")
 
 
+@query("stream_report", f"""
+    SELECT l.n AS rows_read, r.n AS rows_rejected, d.n AS rows_inserted
+    FROM (SELECT count(*) AS n FROM fx_listing) l, (SELECT count(*) AS n FROM fx_listing WHERE domain_name NOT LIKE '%.%') r,
+         (SELECT count(*) AS n FROM fx_domain) d
+    UNION ALL
+    SELECT l.n, r.n, CAST(0 AS BIGINT)
+    FROM (SELECT count(*) AS n FROM fx_listing) l, (SELECT count(*) AS n FROM fx_listing WHERE domain_name NOT LIKE '%.%') r""")
+def stream_report(x: Inputs) -> DataFrame:
+    """What each of two loads of the same listings read, rejected and inserted."""
+    return loops.read_report(x.spark, loaded_root(x, rounds=2)).drop("run")
+
+
+@query("grow_dimension_versions", "SELECT name FROM (SELECT DISTINCT tld AS name FROM fx_norm) t")
+def grow_dimension_versions(x: Inputs) -> DataFrame:
+    """A dimension grown by loads that take turns while another one is under way; ids are 1 to n, each once."""
+    path = scratch_path(x.spark, "dim")
+    rows = x.staged().select("seq", "tld")
+    thirds = [rows.where(F.col("seq") % 3 == k) for k in range(3)]
+    between = iter([lambda: dim_table.grow(x.spark, path, thirds[1], "tld", moment(LOADED))])
+    dim_table.grow(x.spark, path, thirds[0], "tld", moment(LOADED), before_claim=lambda: next(between, lambda: None)())
+    grown = dim_table.grow(x.spark, path, thirds[2], "tld", moment(LOADED))
+    ids = grown.agg(F.count("id").alias("n"), F.count_distinct("id").alias("ids"), F.max("id").alias("last"))
+    sound = ids.where("n = ids AND n = last").select(F.lit(True).alias("sound"))
+    return grown.join(F.broadcast(sound)).select("name")
+
+
 @query("dedup_repeat_listing", _LOADED)
 def dedup_repeat_listing(x: Inputs) -> DataFrame:
     """The same listings delivered again on a second day add nothing."""

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lapseflow import schemas
-from lapseflow.operators import dims, ingest, normalise
+from lapseflow.operators import ingest, normalise
 from lapseflow.operators.enrich import Enricher, latest_answers
 from lapseflow.session import shared_folder, stored
+from lapseflow.sinks import dim_table
 from lapseflow.sinks import domain_table as table
 
 FILES_PER_PASS = 5
+_REPORT = "rows_read BIGINT, rows_rejected BIGINT, rows_inserted BIGINT"
 
 
 def file_stream(
@@ -40,20 +44,17 @@ def _run_available(stream: DataFrame, name: str, step) -> StreamingQuery:
     )
 
 
-def _grown(spark: SparkSession, path: str, staged: DataFrame, column: str, as_of: Column) -> DataFrame:
-    """Append a dimension's new members to its stored files and read it back.
-
-    One writer at a time: two would number their new members alike.
-    """
-    known = spark.read.schema(schemas.DIMENSION).parquet(path)
-    dims.added_members(known, staged, column, as_of).write.mode("append").parquet(path)
-    return spark.read.schema(schemas.DIMENSION).parquet(path)
+def _seen(of: Observation) -> int:
+    """The rows that were counted while they were written."""
+    try:
+        return int(of.get["n"])
+    except Py4JJavaError:
+        # Spark leaves the counting out of a plan that turns out to be empty.
+        return 0
 
 
 def create_tables(spark: SparkSession, root: str, buckets: int = table.BUCKETS) -> None:
-    """Empty domain and dimension tables below ``root``."""
-    for name in ("tld", "registrar"):
-        dims.empty_dimension(spark).write.parquet(f"{root}/{name}")
+    """An empty domain table below ``root``; its dimensions begin with their first members."""
     table.append_domains(ingest.empty_domains(spark), f"{root}/domain", buckets)
 
 
@@ -63,26 +64,41 @@ def stream_listing_ingest(
     """Load every pending listing (``seq``, ``registrar`` and ``domain``) into the tables below ``root``.
 
     A batch is read once, reduced to a row per domain and stored. Listings that can't be split go
-    to ``root``/rejects with a reason. A batch that runs again adds nothing: domains
-    already stored are skipped, and its rejects are replaced. One such stream at a time
-    may write to a ``root``.
+    to ``root``/rejects with a reason, and what the batch brought to ``root``/report; both are counted
+    while they are written. A batch that runs again adds nothing: domains already stored are skipped,
+    and its rejects and its report are replaced. Several streams may share the dimensions of a ``root``; one at a
+    time may write its domains.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        listed = stored(batch.select("seq", "registrar", domain), "listed")
-        normalise.reject_rows(listed, domain).write.mode("overwrite").parquet(f"{root}/rejects/run={name}-{number}")
+        run = f"run={name}-{number}"
+        counts = [Observation() for _ in range(3)]
+
+        def counted(df: DataFrame, of: Observation) -> DataFrame:
+            return df.observe(of, F.count(F.lit(1)).alias("n"))
+
+        listed = stored(counted(batch.select("seq", "registrar", domain), counts[0]), "listed")
+        rejects = counted(normalise.reject_rows(listed, domain), counts[1])
+        rejects.write.mode("overwrite").parquet(f"{root}/rejects/{run}")
         rows = stored(ingest.first_wins(normalise.to_contract(listed, domain)), "firsts")
         # A registrar may appear with losing listings only; these count as well.
-        tlds = _grown(spark, f"{root}/tld", rows, "tld", as_of)
-        registrars = _grown(spark, f"{root}/registrar", normalise.accepted(listed, domain), "registrar", as_of)
+        tlds = dim_table.grow(spark, f"{root}/tld", rows, "tld", as_of)
+        registrars = dim_table.grow(spark, f"{root}/registrar", normalise.accepted(listed, domain), "registrar", as_of)
         path = f"{root}/domain"
         fresh = ingest.insert_new_domains(rows, lambda firsts: table.candidates(spark, path, firsts), tlds, registrars, as_of)
-        table.append_domains(fresh, path, buckets)
+        table.append_domains(counted(fresh, counts[2]), path, buckets)
+        line = spark.createDataFrame([tuple(_seen(c) for c in counts)], _REPORT)
+        line.coalesce(1).write.mode("overwrite").parquet(f"{root}/report/{run}")
 
     return _run_available(listings, name, step)
 
 
+def read_report(spark: SparkSession, root: str) -> DataFrame:
+    """Rows read, rejected and inserted by each batch of the listing streams below ``root``."""
+    return spark.read.schema(f"{_REPORT}, run STRING").parquet(f"{root}/report")
+
+
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """What the listing streams below ``root`` couldn't load."""
     return spark.read.schema("seq BIGINT, registrar STRING, domain STRING, reason STRING, run STRING").parquet(f"{root}/rejects")

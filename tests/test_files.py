@@ -15,7 +15,7 @@ from lapseflow.operators import enrich, feed, ingest, normalise
 from lapseflow.operators.enrich import ENRICHERS, apply_enrichment
 from lapseflow.plans.inputs import LOADED, Inputs, moment
 from lapseflow.session import scratch_path
-from lapseflow.sinks import domain_table, files
+from lapseflow.sinks import dim_table, domain_table, files
 from lapseflow.sources import auctions, feeds, tables
 from lapseflow.streaming import loops
 
@@ -143,11 +143,47 @@ def test_stream_in_bites_equals_batch(spark, x, tmp_path):
     got = domain_table.read_domains(spark, f"{root}/domain").select("name", "tld", "created_at")
     want = ingest.first_wins(contract_rows(x)).select("name", "tld", moment(LOADED).alias("created_at"))
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
-    tlds = spark.read.parquet(f"{root}/tld").collect()
+    tlds = dim_table.read(spark, f"{root}/tld").collect()
     assert sorted(r.id for r in tlds) == list(range(1, len(tlds) + 1))
     assert len({r.name for r in tlds}) == len(tlds)
 
 
+def test_two_interleaved_loads_give_no_id_twice(spark):
+    path = scratch_path(spark, "test-dim")
+
+    def load(names, **options):
+        rows = spark.createDataFrame([(n,) for n in names], "tld STRING")
+        return dim_table.grow(spark, path, rows, "tld", moment(LOADED), **options)
+
+    # Twice another writer is faster, then nobody is.
+    others = [["d", "e"], ["b", "c", "d"]]
+    got = load(["A", "b", "f"], before_claim=lambda: others and load(others.pop())).collect()
+    assert sorted(r.name for r in got) == list("abcdef") and sorted(r.id for r in got) == list(range(1, 7))
+    kept = {r.name: r.id for r in got}
+    assert [v[0] for v in dim_table.versions(spark, path)] == [3, 2, 1]
+    # A load without new members makes no version.
+    assert load(["a", "F", None]).count() == 6 and len(dim_table.versions(spark, path)) == 3
+    # Whole versions bound what a reader opens; ids stay.
+    for i in range(6):
+        load([f"n{i}"], whole=3)
+        assert len(dim_table.versions(spark, path)) <= 4
+    members = {r.name: r.id for r in dim_table.read(spark, path).collect()}
+    assert {n: members[n] for n in kept} == kept and sorted(members.values()) == list(range(1, 13))
+
+
+def test_counts_come_with_the_writes(spark, x):
+    root = scratch_path(spark, "test-tables")
+    loops.create_tables(spark, root)
+    source = f"{root}/landed"
+    x.listing().repartitionByRange(6, "seq").write.parquet(source)
+    for _ in range(2):
+        loops.stream_listing_ingest(loops.file_stream(spark, source, x.listing().schema), root, moment(LOADED), root.rsplit("/", 1)[-1]).awaitTermination()
+    report = loops.read_report(spark, root).collect()
+    assert len(report) == 2 and sum(r.rows_read for r in report) == x.listing().count()
+    assert sum(r.rows_rejected for r in report) == loops.read_rejects(spark, root).count()
+    assert sum(r.rows_inserted for r in report) == domain_table.read_domains(spark, f"{root}/domain").count()
+
+
 def logged(spark, path):
     """The stored table with its answers, as comparable rows."""
     columns = ("name", "tld", "alexa_score", "has_wiki", "registered", "expired", "attempts")
