@@ -27,7 +27,7 @@ from lapseflow.session import stored
 
 #: Shares of all documents between which a lexicon word's document frequency lies.
 RAREST, COMMONEST = 0.0005, 0.1
-#: Of texts with fewer lexicon words all words count.
+#: Of texts with fewer lexicon words all words count; and so they do of a text that such a one is compared with.
 FEWEST = 3
 #: Random parts of each level, and levels: parts hold 1/2, 1/4 ... of the lexicon.
 PARTS, LEVELS = 16, 13
@@ -67,16 +67,26 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def _lexical(keys: np.ndarray, bounds: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each word is of the lexicon, and whether each text has fewer such words than ``FEWEST``."""
+    at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+    within = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+    seen = np.concatenate([[0], np.cumsum(within)])
+    return within, seen[bounds[1:]] - seen[bounds[:-1]] < FEWEST
+
+
 def fingerprints(column: pa.Array, known: np.ndarray) -> list[str]:
     """A text's full hash and, level by level, the hashes of its parts; a part without words is all zeros."""
     keys, bounds = _distinct(column)
+    within, few = _lexical(keys, bounds, known)
+    return _coded(keys, bounds, within | np.repeat(few, np.diff(bounds)))
+
+
+def _coded(keys: np.ndarray, bounds: np.ndarray, use: np.ndarray) -> list[str]:
+    """The fingerprints of the words that are used."""
     n = len(bounds) - 1
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
-    within = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-    enough = np.bincount(owner, weights=within, minlength=n) >= FEWEST
-    use = within | ~enough[owner]
-    keys, owner = keys[use], owner[use]
+    owner = np.repeat(np.arange(n), np.diff(bounds))[use]
+    keys = keys[use]
     bounds = np.searchsorted(owner, np.arange(n + 1))
     full = tokens.mix(_sums(tokens.mix(keys), bounds) + np.diff(bounds).astype(np.uint64))
     parts = np.zeros((n, LEVELS * PARTS), np.uint64)
@@ -123,19 +133,35 @@ def edited(text: str, following: str) -> str:
 def _compared(rows: list[tuple[int | None, str]], known: np.ndarray) -> list[tuple]:
     """Result columns of each row but the last, which is only the one that follows."""
     changed = [edited(text, rows[i + 1][1]) for i, (_, text) in enumerate(rows[:-1])]
-    own = fingerprints(pa.array([t for _, t in rows], pa.string()), known)
-    other = fingerprints(pa.array(changed, pa.string()), known)
+    texts = [t for _, t in rows]
+    keys, bounds = _distinct(pa.array(texts + changed, pa.string()))
+    within, few = _lexical(keys, bounds, known)
+    codes = _coded(keys, bounds, within | np.repeat(few, np.diff(bounds)))
+    n = len(texts)
+    pairs = [(i, n + i) for i in range(n - 1)] + [(i, i + 1) for i in range(n - 1)]
+    # Where only one of two texts has too few lexicon words, all words of both count: like is compared with like.
+    unlike = sorted({i for pair in pairs if few[pair[0]] != few[pair[1]] for i in pair if not few[i]})
+    whole = dict(enumerate(codes))
+    if unlike:
+        own = [keys[bounds[i] : bounds[i + 1]] for i in unlike]
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int64)
+        found = np.concatenate(own)
+        whole |= dict(zip(unlike, _coded(found, edges, np.ones(len(found), bool)), strict=True))
+
+    def alike(a: int, b: int) -> float:
+        return likeness(codes[a], codes[b]) if few[a] == few[b] else likeness(whole[a], whole[b])
+
     return [
         (
             rows[i][0],
-            len(rows[i][1]),
+            len(texts[i]),
             hashlib.sha256(changed[i].encode()).hexdigest(),
-            own[i],
-            other[i],
-            likeness(own[i], other[i]),
-            likeness(own[i], own[i + 1]),
+            codes[i],
+            codes[n + i],
+            alike(i, n + i),
+            alike(i, i + 1),
         )
-        for i in range(len(rows) - 1)
+        for i in range(n - 1)
     ]
 
 

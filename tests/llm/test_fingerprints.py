@@ -68,3 +68,29 @@ def test_few_rows(make, prose):
     assert len(alone) == 1 and alone[0]["near_next"] == 1
     rows = d.compared_with_next(make([(None, "a b c"), (7, "d e f"), (7, "d e f"), (7, "x y z")])).collect()
     assert sorted((r["doc_id"] for r in rows), key=str) == [7, 7, 7, None]
+
+
+def test_a_third_of_copies_is_told_from_other_texts(make, prose):
+    # All words of the copies stand in too many documents for the lexicon, those of the others don't.
+    docs = [(i, prose(777, 90) if i % 3 == 0 else prose(i, 90)) for i in range(90)]
+    got = {r["doc_id"]: r for r in d.compared_with_next(make(docs)).collect()}
+    known = d.lexicon(make(docs))
+    copies = [got[i] for i in range(0, 90, 3)]
+    assert d._lexical(*d._distinct(pa.array([prose(777, 90)])), known)[1].all()
+    assert all(r["near_edited"] > r["near_next"] for r in copies)
+    # As well as any other text.
+    others = [got[i]["near_edited"] for i in range(90) if i % 3]
+    assert np.mean([r["near_edited"] for r in copies]) > 0.7 * np.mean(others)
+    assert len({r["fingerprint"] for r in copies}) == 1
+
+
+def test_like_is_compared_with_like(prose):
+    words = prose(5, 60).split()
+    text, other = " ".join(words), " ".join(words[:40] + ["x", "y", "z"] * 7)
+    # The lexicon holds three words, which only the edited text has; or none; or all.
+    for known in (["x", "y", "z"], [], [*words, "x", "y", "z"]):
+        band = np.sort(d._distinct(pa.array(known, pa.string()))[0])
+        row = d._compared([(1, text), (2, other)], band)[0]
+        assert row[6] > 0.3
+    both = d.fingerprints(pa.array([text, other]), np.zeros(0, np.uint64))
+    assert d._compared([(1, text), (2, other)], np.sort(d._distinct(pa.array(["x", "y", "z"]))[0]))[0][6] == d.likeness(*both)
