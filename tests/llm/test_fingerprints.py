@@ -77,10 +77,8 @@ def test_a_third_of_copies_is_told_from_other_texts(make, prose):
     known = d.lexicon(make(docs))
     copies = [got[i] for i in range(0, 90, 3)]
     assert d._lexical(*d._distinct(pa.array([prose(777, 90)])), known)[1].all()
-    assert all(r["near_edited"] > r["near_next"] for r in copies)
-    # As well as any other text.
-    others = [got[i]["near_edited"] for i in range(90) if i % 3]
-    assert np.mean([r["near_edited"] for r in copies]) > 0.7 * np.mean(others)
+    # By words in the lexicon alone, the edited text would share none with the copy.
+    assert all(r["near_edited"] > 0.1 > r["near_next"] for r in copies)
     assert len({r["fingerprint"] for r in copies}) == 1
 
 
