@@ -34,6 +34,8 @@ _DOMAINS = f"{schemas.DOMAIN}, bucket INT"
 _CHANGES = f"{schemas.CHANGE}, run STRING"
 _FOLDS = "fold STRING, covered STRING, number BIGINT"
 _FOLD = "fold-"
+# Bucket counts of tables seen by this process; a table's never changes.
+_KNOWN: dict[str, int] = {}
 
 
 def bucket_of(buckets: int) -> Column:
@@ -52,6 +54,8 @@ def _read_or_empty(spark: SparkSession, path: str, layout: str) -> DataFrame:
 
 def buckets_of(spark: SparkSession, path: str, buckets: int = BUCKETS) -> int:
     """How many buckets the table at ``path`` has; a new one gets ``buckets`` and keeps them."""
+    if path in _KNOWN:
+        return _KNOWN[path]
     place, layout = f"{path}-layout", "buckets INT"
     found = _read_or_empty(spark, place, layout).first()
     if found is None:
@@ -62,7 +66,7 @@ def buckets_of(spark: SparkSession, path: str, buckets: int = BUCKETS) -> int:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
         found = spark.read.schema(layout).parquet(place).first()
-    return found.buckets
+    return _KNOWN.setdefault(path, found.buckets)
 
 
 def _table(spark: SparkSession, path: str, layout: str, partition: str, buckets: int) -> str:
