@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapseflow.llm.bounds import BROADCAST_ROWS, small
+from lapseflow.llm.bounds import light, small
 from lapseflow.llm.registry import query, table
 from lapseflow.session import stored
 
@@ -90,7 +90,7 @@ def distinct_lines(docs: DataFrame, least: int, near: int) -> tuple[DataFrame, D
 def _words_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """(at, words) of the lines at given places; other documents and lines are not cut into words."""
     wanted = stored(places.groupBy(*_ID).agg(F.collect_set("line_no").alias("wanted")), "wanted")
-    texts = _identified(docs).alias("t").join(small(wanted).alias("w"), _same("t", "w"))
+    texts = _identified(docs).alias("t").join(light(wanted).alias("w"), _same("t", "w"))
     lines = texts.select("t.doc_id", "t.text_hash", "w.wanted", F.posexplode(F.split("t.text", "\n")).alias("line_no", "line"))
     return (
         lines.where(F.array_contains("wanted", F.col("line_no")))
@@ -232,7 +232,6 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, near: int = NEAR_WORDS)
     """
     docs = docs.drop("n_lines", "n_dropped", "emptied")
     gone = stored(repeated_lines(docs, least, near), "gone")
-    bounded = small(gone) if (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= 8 * BROADCAST_ROWS else gone
     text = F.col("d.text").cast("string")
     same = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64(text) == F.col("g.text_hash"))
     lines, some = F.split(text, "\n"), F.col("g.gone").isNotNull()
@@ -240,7 +239,7 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, near: int = NEAR_WORDS)
     rest = F.when(some, F.array_join(kept, "\n")).otherwise(F.col("d.text"))
     # Only texts that lost lines are looked at again.
     left = F.exists(kept, lambda line: F.size(_words(line)) >= least)
-    return docs.alias("d").join(bounded.alias("g"), same, "left").select(
+    return docs.alias("d").join(light(gone).alias("g"), same, "left").select(
         *[rest.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
         F.when(some, F.size("g.gone")).otherwise(0).cast("bigint").alias("n_dropped"),

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+from lapseflow.llm import bounds
 from lapseflow.llm import line_dedup as d
 
 
@@ -74,6 +75,21 @@ def test_many_lines_that_differ_in_one_word(make, prose):
     assert all(got[i] == (1, False) for i in range(1, 300))
 
 
+def test_nothing_is_broadcast_beyond_its_bytes(make, prose, monkeypatch):
+    line = prose(1, 12)
+    rows = make([(i, f"{line}\n{prose(i % 40, 9)}\nend {i} of it") for i in range(200)])
+    small = sorted(map(tuple, d.dedup_lines(rows).collect()), key=str)
+    monkeypatch.setattr(bounds, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(bounds, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, d.dedup_lines(rows).collect()), key=str) == small
+
+
+def test_bytes_count_texts_and_arrays(spark):
+    rows = [(1, "abc", [1, 2, 3]), (None, None, None), (2, "é", [])]
+    assert bounds.n_bytes(spark.createDataFrame(rows, "n int, t string, a array<int>")) == 3 * 8 + (3 + 8 + 2) + (32 + 8 + 8)
+    assert bounds.n_bytes(spark.createDataFrame([], "t string")) == 0
+
+
 def test_without_ids_and_repeated_rows(make, prose):
     line, other = prose(1, 10), prose(2, 10)
     rows = make([(None, line), (1, line), (2, other), (2, other), (2, prose(3, 10) + "\n" + other), (3, other)])
