@@ -147,7 +147,7 @@ def latent_basis(rows: np.ndarray, rank: int = RANK, seed: int = 1) -> np.ndarra
 
 
 def fit(docs: DataFrame, sample: DataFrame) -> Model | None:
-    """A model from (doc_id, text, label) rows, of which there are ``SAMPLE`` or little more; None without any."""
+    """A model from (doc_id, text, label) rows, of which there are ``SAMPLE`` at most; None without any."""
     total, seen = document_frequencies(docs)
     idf = np.log((1 + total) / (1 + seen)) + 1
     # Each labelled text's features, a bounded table.
@@ -187,13 +187,17 @@ def votes(model: Model, vectors: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
     """The similarity-weighted share of label 1 among each vector's ``k`` nearest labelled ones.
 
     Vectors without a positive similarity get the share in the sample. The blocked product is exact;
-    neighbours that tie for the last place may be any of them.
+    of neighbours that tie for the last place those with the smallest ids are taken.
     """
     k = min(k, len(model.labels))
     out = np.full(len(vectors), model.labels.mean())
     for low in range(0, len(vectors), BLOCK):
         likeness = vectors[low : low + BLOCK] @ model.vectors.T
         near = np.argpartition(-likeness, k - 1, axis=1)[:, :k]
+        last = np.take_along_axis(likeness, near, axis=1).min(axis=1)
+        for i in np.flatnonzero((likeness >= last[:, None]).sum(axis=1) > k):
+            among = np.flatnonzero(likeness[i] >= last[i])
+            near[i] = among[np.argsort(-likeness[i, among], kind="stable")[:k]]
         weight = np.maximum(np.take_along_axis(likeness, near, axis=1), 0).astype(np.float64)
         total = weight.sum(axis=1)
         some = total > 1e-9
