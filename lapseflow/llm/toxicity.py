@@ -31,16 +31,12 @@ SAMPLE = 20_000
 #: Lengths of word beginnings that may become entries, next to whole words of MIN_WORD letters.
 BEGINNINGS = range(3, 11)
 MIN_WORD = 3
-#: Entries are looked for among so many of the most frequent terms of toxic documents.
-CANDIDATES = 100_000
 #: An entry is in so many toxic documents of the sample, or this share of them, at least ...
 SUPPORT, SUPPORT_SHARE = 3, 0.002
 #: ... and so much of the documents with it, each class counted as a share of its own, is toxic.
 PRECISION = 0.8
 #: What a clean document with a term costs against a toxic one, as shares of their classes.
 PENALTY = 2.0
-#: Entries at most, each of which must explain SUPPORT documents that no earlier one does.
-ENTRIES = 2_000
 #: A word or pair of words is an exception when so many clean documents and no toxic one have it.
 EXCEPTION_SUPPORT = 2
 PIECE = 1 << 19
@@ -68,6 +64,11 @@ def _folding() -> dict[int, str | None]:
             found[code] = None
         elif plain != char:
             found[code] = plain
+    # Enclosed and mathematical letters and digits, ligatures.
+    for code in (*range(0x2460, 0x2500), *range(0xFB00, 0xFB07), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200)):
+        plain = "".join(c for c in unicodedata.normalize("NFKC", chr(code)).lower() if c.isalnum())
+        if plain != chr(code):
+            found[code] = "".join(found.get(ord(c), c) or "" for c in plain) or " "
     # Full-width forms.
     for code in range(0xFF01, 0xFF5F):
         plain = found.get(code - 0xFEE0, chr(code - 0xFEE0))
@@ -127,10 +128,16 @@ def weight_of(matcher, text: str) -> float:
             spared.append((start, end))
         else:
             hits[start] = max(hits.get(start, 0.0), weight)
-    for start, end in spared:
+    spared.sort()
+    total, k, reach = 0.0, 0, -1
+    for at in sorted(hits):
+        while k < len(spared) and spared[k][0] <= at:
+            reach = max(reach, spared[k][1])
+            k += 1
         # The phrase's last space begins the next word.
-        hits = {at: w for at, w in hits.items() if not start <= at < end}
-    return sum(hits.values())
+        if at >= reach:
+            total += hits[at]
+    return total
 
 
 def measures(weight: float, text: str) -> tuple[float, float]:
@@ -182,11 +189,12 @@ def _cover(holders: dict[str, set[int]], strength: dict[str, float], cost: dict[
     """Entries that explain the toxic documents: each next one explains most that are not yet explained, less its cost.
 
     Of equals the stronger, then the longer, then the first in the alphabet is taken. That leaves out
-    terms that only copies of an explained document share.
+    terms that only copies of an explained document share. Each explains ``support`` documents
+    that no earlier one does, so there are at most the sample's toxic documents by ``support`` of them.
     """
     left = {t: set(d) for t, d in holders.items()}
     chosen: dict[str, float] = {}
-    while left and len(chosen) < ENTRIES:
+    while left:
         best = min(left, key=lambda t: (cost[t] - len(left[t]), -round(strength[t], 6), -len(t), t))
         if len(left[best]) - cost[best] < support:
             break
@@ -263,7 +271,7 @@ def _curve(x: np.ndarray, y: np.ndarray, label: np.ndarray) -> tuple[float, floa
 
 
 def fit(sample: DataFrame, given: dict[str, float] | None = None, exceptions: Iterable[str] = ()) -> Lexicon:
-    """A lexicon from (text, label) rows, of which there are ``SAMPLE`` or little more.
+    """A lexicon from (text, label) rows, of which there are ``SAMPLE`` at most.
 
     ``given``: entries, folded or not, that are kept with their weights beside the learnt ones;
     ``exceptions``: phrases that are always spared. Without a toxic row there are only these.
@@ -278,8 +286,8 @@ def fit(sample: DataFrame, given: dict[str, float] | None = None, exceptions: It
     support = max(SUPPORT, int(SUPPORT_SHARE * toxic))
     marked = rows.where("label = 1").withColumn("place", F.xxhash64("text"))
     frequent = _counted(marked, None).where(F.col("n") >= support)
-    # Bounded by CANDIDATES rows.
-    hits = {r["term"]: r["n"] for r in frequent.orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
+    # All that the sample's toxic documents share; its rows are bounded, and with them these terms.
+    hits = {r["term"]: r["n"] for r in frequent.collect()}
     other = {r["term"]: r["n"] for r in _counted(rows.where("label = 0"), set(hits)).collect()}
     strength, cost = {}, {}
     for term, n in hits.items():
@@ -296,7 +304,7 @@ def fit(sample: DataFrame, given: dict[str, float] | None = None, exceptions: It
     # Copies of a text have one place: they are one document here.
     entries = _cover({t: d for t, d in holders.items() if len(d) >= SUPPORT}, strength, cost, SUPPORT) | entries
     around = _contexts(rows, entries).where((F.col("toxic") == 0) & (F.col("clean") >= EXCEPTION_SUPPORT))
-    spared |= {r["phrase"] for r in around.orderBy(F.desc("clean"), "phrase").limit(ENTRIES).collect()}
+    spared |= {r["phrase"] for r in around.collect()}
     lexicon = Lexicon(entries, spared - set(entries))
     # A bounded table: three numbers for each row of the sample.
     found = np.array(_measured(rows, lexicon).collect(), float)

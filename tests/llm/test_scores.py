@@ -7,8 +7,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from lapseflow.llm import quality, toxicity
+from lapseflow.llm import labelled, quality, toxicity
 
 LABELS = "doc_id bigint, quality int, toxic int"
 
@@ -68,6 +69,29 @@ def test_votes_equal_brute_force():
     assert got[-1] == model.labels.mean()
 
 
+def test_ties_go_to_the_first_rows():
+    same = np.tile(np.array([[1, 0]], np.float32), (9, 1))
+    labels = np.array([1, 1, 0, 1, 0, 0, 0, 0, 0], float)
+    model = quality.Model(np.ones(quality.FEATURES), np.eye(2), same, labels)
+    assert quality.votes(model, same[:1], 4).tolist() == [0.75]
+    # Nearer ones still come before the tied ones.
+    model.vectors[8] = [0.6, 0.8]
+    got = quality.votes(model, np.array([[0.6, 0.8]], np.float32), 2)
+    assert math.isclose(got[0], 0.6 / 1.6, abs_tol=1e-6)
+
+
+def test_one_id_on_a_third_of_the_rows(spark, make, corpus):
+    docs, labels = corpus
+    hot = [(1, f"{docs[1][1]} {'x' * (k % 3)}") for k in range(180)]
+    labels = spark.createDataFrame(labels, LABELS)
+    sample = labelled.labelled_sample(make(docs + hot), labels, "quality", F.lit(True), 50)
+    rows = sample.collect()
+    assert len(rows) == len({r["doc_id"] for r in rows}) == 50
+    sample = labelled.labelled_sample(make(docs + hot), labels, "toxic", F.lit(True), 10_000)
+    assert sample.count() == sample.select("doc_id").distinct().count() == 324
+    assert quality.quality_scores(make(docs + hot), labels).count() == len(docs) + 180
+
+
 def test_features_count_whole_texts(prose):
     text = prose(1, 5000)
     where, feature, count = quality.features(pa.array([text, None, text + " x x"]))
@@ -124,6 +148,26 @@ def test_disguised_words_and_exceptions():
     assert toxicity.score_of(lexicon, matcher, "a clown") > 0.5 > toxicity.score_of(lexicon, matcher, None)
 
 
+def test_exceptions_against_brute_force():
+    lexicon = toxicity.Lexicon({" ab ": 1.0, " cd": 2.0}, {" x ab ", " ab cd ", " cd x "}, (-2.0, 2.0, 0.0))
+    matcher = lexicon.automaton()
+    rng = random.Random(4)
+    for _ in range(200):
+        words = [rng.choice(["ab", "cd", "cde", "x"]) for _ in range(rng.randrange(9))]
+        want = 0.0
+        for i, w in enumerate(words):
+            near = {(i - 1, "x", "ab"), (i - 1, "ab", "cd"), (i, "ab", "cd"), (i, "cd", "x")}
+            spared = any(0 <= k < len(words) - 1 and words[k : k + 2] == [a, b] for k, a, b in near)
+            want += 0.0 if spared else {"ab": 1.0, "cd": 2.0, "cde": 2.0}.get(w, 0.0)
+        assert toxicity.weight_of(matcher, toxicity.folded(" ".join(words))) == want, words
+    # Very many exceptions in one text take time in proportion.
+    assert toxicity.weight_of(matcher, toxicity.folded("x ab " * 100_000 + "ab")) == 1.0
+
+
+def test_enclosed_and_mathematical_letters():
+    assert toxicity.folded("𝐜𝐥𝐨𝐰𝐧 𝔠𝔩𝔬𝔴𝔫 ⓒⓛⓞⓦⓝ 🄲🄻🄾🅆🄽 ﬁne") == " clown clown clown clown fine "
+
+
 def test_longer_texts_weigh_less():
     lexicon = toxicity.Lexicon({" scum ": 3.0}, set(), (-6.0, 0.5, 1.0))
     matcher = lexicon.automaton()
