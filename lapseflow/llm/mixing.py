@@ -1,14 +1,16 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 The corpus is reduced to cells of equal source, language and topic with their token counts. Raking
-scales the cells' masses to the targets of one dimension after another, again and again; a cell never
-gets more than ``1 / budget`` of its own tokens, so that the final mass times the budget, over the
-tokens, is a probability. Documents are then kept by a uniform number made from their id.
+scales the cells' masses to the targets of one dimension after another, until no share of any value moves
+any more; a cell never gets more than ``1 / budget`` of its own tokens, so that the final mass times the
+budget, over the tokens, is a probability. Documents are then kept by a uniform number made from their id.
+Where that limit keeps targets out of reach, :func:`deviations` says which, and by how much.
 All expressions are built-in ones.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +29,10 @@ TOPIC_WORD = 6
 TEMPERATURE = 0.5
 #: The share of all tokens that the sample holds on average.
 BUDGET = 0.5
-SWEEPS = 10
+#: Raking has settled when no marginal share moved by more than this part of all tokens in a sweep.
+TOLERANCE = 1e-4
+#: Sweeps after which raking that hasn't settled warns and ends.
+MOST_SWEEPS = 100
 
 
 _BLANKS = r"[ \t\n\x0B\f\r]+"
@@ -77,12 +82,27 @@ def targets(cells: DataFrame, dimension: str, temperature: float) -> DataFrame:
     return own.select(dimension, (F.col("root") / F.lit(total or 1.0)).alias("target"))
 
 
-def rake(cells: DataFrame, goals: dict[str, DataFrame], budget: float = BUDGET, sweeps: int = SWEEPS) -> DataFrame:
+def _moved(now: DataFrame, dimensions: Sequence[str]) -> float:
+    """The most that a marginal share differs between the masses ``mass`` and ``before``."""
+    shares = now.groupingSets([[d] for d in dimensions], *dimensions).agg(
+        (F.sum("mass") - F.sum("before")).alias("by")
+    )
+    return shares.agg(F.max(F.abs("by"))).first()[0]
+
+
+def rake(
+    cells: DataFrame,
+    goals: dict[str, DataFrame],
+    budget: float = BUDGET,
+    tolerance: float = TOLERANCE,
+    most: int = MOST_SWEEPS,
+) -> DataFrame:
     """``cells`` with ``probability``, from their ``tokens`` and the target shares of each dimension.
 
     ``goals``: for each dimension a table (dimension, target); values without a target get
     nothing. A cell's mass is a part of 1 and at most ``1 / budget`` of its share of the tokens.
-    Cells without tokens have probability 1.
+    Sweeps go on until no marginal share moves by more than ``tolerance``; if that takes more
+    than ``most`` a warning says so. Cells without tokens have probability 1.
     """
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
@@ -92,7 +112,9 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], budget: float = BUDGET,
     for dimension, goal in goals.items():
         now = now.join(goal.withColumnRenamed("target", f"target_{dimension}"), dimension, "left")
     now = stored(now.fillna(0.0, [f"target_{d}" for d in goals]), "cells")
-    for _ in range(sweeps):
+    moved, sweeps = float("inf"), 0
+    while moved > tolerance and sweeps < most:
+        now = now.withColumn("before", F.col("mass"))
         for dimension in goals:
             sums = now.groupBy(dimension).agg(F.sum("mass").alias("sum"))
             scaled = F.col("mass") * F.col(f"target_{dimension}") / F.col("sum")
@@ -101,10 +123,34 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], budget: float = BUDGET,
             ).drop("sum")
         # Each sweep is written, so plans stay short and a lost executor costs one sweep.
         now = stored(now, "cells")
+        moved, sweeps = _moved(now, list(goals)), sweeps + 1
+        now = now.drop("before")
+    if moved > tolerance:
+        warnings.warn(f"after {sweeps} sweeps a share still moved by {moved:.2g}", stacklevel=2)
     probability = F.when(F.col("tokens") == 0, 1.0).otherwise(F.least(F.lit(1.0), F.lit(budget) * F.col("mass") / share))
     return now.withColumn("probability", probability).drop("mass", *[f"target_{d}" for d in goals])
 
 
+def deviations(raked: DataFrame, goals: dict[str, DataFrame], budget: float = BUDGET) -> DataFrame:
+    """(dimension, value, target, reached) for every target: its share, and the expected one of the sample.
+
+    Both are parts of ``budget`` times all tokens of ``raked``, cells with ``tokens`` and ``probability``.
+    Values that no cell has reach 0, and so does everything where there are no tokens.
+    """
+    total = float(raked.agg(F.sum("tokens")).first()[0] or 0)
+    found = None
+    for dimension, goal in goals.items():
+        kept = raked.groupBy(dimension).agg(F.sum(F.col("tokens") * F.col("probability")).alias("kept"))
+        part = goal.join(kept, dimension, "left").select(
+            F.lit(dimension).alias("dimension"),
+            F.col(dimension).alias("value"),
+            "target",
+            (F.coalesce("kept", F.lit(0.0)) / F.lit(total * budget or 1.0)).alias("reached"),
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def uniform(column: str) -> Column:
     """A number in [0, 1) made from an id; the same for equal ids."""
     digest = F.md5(F.coalesce(F.col(column).cast("string"), F.lit("")))
@@ -149,19 +195,19 @@ def mixed(docs: DataFrame, budget: float = BUDGET, temperature: float = TEMPERAT
     return sampled(annotated(docs), budget, temperature)
 
 
-def _sql_sweeps() -> str:
-    """Common table expressions m1, m2 ... that scale the masses to one dimension after another."""
-    steps, last = [], "m0"
-    for step in range(SWEEPS * len(DIMENSIONS)):
-        dimension = DIMENSIONS[step % len(DIMENSIONS)]
-        steps.append(
-            f"m{step + 1} AS MATERIALIZED (SELECT * EXCLUDE (mass), least(CASE WHEN sum(mass) OVER (PARTITION BY {dimension}) > 0 "
-            f"THEN mass * t_{dimension} / sum(mass) OVER (PARTITION BY {dimension}) ELSE 0.0 END, share / {BUDGET}) AS mass FROM {last})"
+def _sql_sweep(masses: str) -> str:
+    """``masses`` after one sweep, with ``before``, in SQL."""
+    scaled = f"(SELECT *, mass AS before FROM {masses})"
+    for d in DIMENSIONS:
+        own = f"sum(mass) OVER (PARTITION BY {d})"
+        scaled = (
+            f"(SELECT * EXCLUDE (mass), least(CASE WHEN {own} > 0 THEN mass * t_{d} / {own} ELSE 0.0 END, share / {BUDGET}) AS mass FROM {scaled})"
         )
-        last = f"m{step + 1}"
-    return ",\n".join(steps)
+    return scaled
 
 
+#: How far a cell's marginal shares moved in a sweep.
+_SQL_MOVED = "greatest(" + ", ".join(f"abs(sum(mass - before) OVER (PARTITION BY {d}))" for d in DIMENSIONS) + ")"
 _SPLIT = rf"regexp_split_to_array(lower(coalesce(text, '')), '{_BLANKS}')"
 _CLASS = (
     f"list_transform(list_filter(w, lambda x: len(x) >= {TOPIC_WORD} AND regexp_matches(x, '^[a-zß-ÿ]')), lambda x: unicode(x) % {TOPICS})"
@@ -171,7 +217,7 @@ _TARGETS = ", ".join(
     f"t{d} AS (SELECT {d}, r / sum(r) OVER () AS t_{d} FROM (SELECT {d}, sqrt(sum(tokens)) AS r FROM cells GROUP BY {d}))" for d in DIMENSIONS
 )
 SQL = f"""
-WITH counted AS (
+WITH RECURSIVE counted AS (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {_CLASS} AS classes,
     len(list_filter(w, lambda x: x <> ''))::BIGINT AS n_tokens FROM (SELECT *, {_SPLIT} AS w FROM documents)),
 rows_ AS (
@@ -183,8 +229,17 @@ cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS toke
 m0 AS MATERIALIZED (
   SELECT *, tokens / total AS share, tokens / total AS mass
   FROM (SELECT *, sum(tokens) OVER () AS total FROM cells) JOIN tsource USING (source) JOIN tlang USING (lang) JOIN ttopic USING (topic)),
-{_sql_sweeps()},
-p AS (SELECT source, lang, topic, CASE WHEN tokens = 0 THEN 1.0 ELSE least(1.0, {BUDGET} * mass / share) END AS probability FROM m{SWEEPS * len(DIMENSIONS)})
+swept(sweep, moved, source, lang, topic, tokens, share, tsource, tlang, ttopic, mass) AS (
+  SELECT 0, 1e300::DOUBLE, source, lang, topic, tokens, share::DOUBLE, t_source, t_lang, t_topic, mass::DOUBLE FROM m0
+  UNION ALL
+  SELECT sweep + 1, max(moved) OVER (), source, lang, topic, tokens, share, t_source, t_lang, t_topic, mass
+  FROM (SELECT * EXCLUDE (moved), {_SQL_MOVED} AS moved FROM {_sql_sweep(
+      "(SELECT sweep, moved, source, lang, topic, tokens, share, tsource AS t_source, tlang AS t_lang, ttopic AS t_topic, mass FROM swept)"
+  )}
+    WHERE sweep < {MOST_SWEEPS} AND moved > {TOLERANCE})),
+p AS (
+  SELECT source, lang, topic, CASE WHEN tokens = 0 THEN 1.0 ELSE least(1.0, {BUDGET} * mass / share) END AS probability
+  FROM swept WHERE sweep = (SELECT max(sweep) FROM swept))
 SELECT doc_id, source, lang, topic, n_tokens, round(probability, 6) AS probability
 FROM rows_ JOIN p USING (source, lang, topic)
 WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < probability

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from lapseflow.llm import mixing as d
@@ -9,16 +10,19 @@ from lapseflow.llm import mixing as d
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-def rake(cells, goals, budget, sweeps):
+def rake(cells, goals, budget, tolerance):
+    """Probabilities, and how many sweeps they took."""
     total = sum(cells.values())
-    mass = {c: n / total for c, n in cells.items()}
-    for _ in range(sweeps):
+    mass, sweeps, moved = {c: n / total for c, n in cells.items()}, 0, 1
+    while moved > tolerance:
+        before, sweeps = mass, sweeps + 1
         for k, goal in enumerate(goals):
             sums = defaultdict(float)
             for c, m in mass.items():
                 sums[c[k]] += m
             mass = {c: min(m * goal[c[k]] / sums[c[k]] if sums[c[k]] else 0, cells[c] / total / budget) for c, m in mass.items()}
-    return {c: 1.0 if not cells[c] else min(1, budget * mass[c] * total / cells[c]) for c in cells}
+        moved = max(abs(sum(mass[c] - before[c] for c in cells if c[k] == v)) for k, goal in enumerate(goals) for v in goal)
+    return {c: 1.0 if not cells[c] else min(1, budget * mass[c] * total / cells[c]) for c in cells}, sweeps
 
 
 def test_raking_equals_brute_force(spark):
@@ -33,8 +37,8 @@ def test_raking_equals_brute_force(spark):
     df = spark.createDataFrame([(*c, n) for c, n in cells.items()], "source string, lang string, topic string, tokens bigint")
     targets = {n: d.targets(df, n, 0.5) for n in d.DIMENSIONS}
     got = {(r["source"], r["lang"], r["topic"]): r["probability"] for r in d.rake(df, targets).collect()}
-    want = rake(cells, goals, d.BUDGET, d.SWEEPS)
-    assert all(abs(got[c] - want[c]) < 1e-9 for c in cells)
+    want, sweeps = rake(cells, goals, d.BUDGET, d.TOLERANCE)
+    assert sweeps > 1 and all(abs(got[c] - want[c]) < 1e-9 for c in cells)
 
 
 def test_marginals_are_met(spark):
@@ -47,7 +51,9 @@ def test_marginals_are_met(spark):
         "lang": spark.createDataFrame([("x", 0.55), ("y", 0.45)], "lang string, target double"),
         "topic": spark.createDataFrame([("1", 0.5), ("2", 0.5)], "topic string, target double"),
     }
-    got = d.rake(df, goals, budget=0.3, sweeps=20).withColumn("kept", F.col("tokens") * F.col("probability"))
+    raked = d.rake(df, goals, budget=0.3, tolerance=1e-6)
+    assert all(abs(r["target"] - r["reached"]) < 1e-3 for r in d.deviations(raked, goals, 0.3).collect())
+    got = raked.withColumn("kept", F.col("tokens") * F.col("probability"))
     total = got.agg(F.sum("kept")).first()[0]
     assert abs(total - 0.3 * 3200) < 1
     for name, goal in goals.items():
@@ -55,6 +61,20 @@ def test_marginals_are_met(spark):
         assert all(abs(r["k"] / total - want[r[name]]) < 1e-3 for r in got.groupBy(name).agg(F.sum("kept").alias("k")).collect())
 
 
+def test_targets_out_of_reach_are_reported(spark):
+    # Nine tenths of the sample can't come from a tenth of the tokens.
+    cells = spark.createDataFrame([("a", 900), ("b", 100)], "source string, tokens bigint")
+    goals = {"source": spark.createDataFrame([("a", 0.1), ("b", 0.8), ("c", 0.1)], "source string, target double")}
+    raked = d.rake(cells, goals, budget=0.5)
+    got = {r["value"]: (r["target"], round(r["reached"], 6)) for r in d.deviations(raked, goals, 0.5).collect()}
+    assert got == {"a": (0.1, 0.1), "b": (0.8, 0.2), "c": (0.1, 0.0)}
+    assert {r["source"]: round(r["probability"], 6) for r in raked.collect()} == {"a": round(0.05 / 0.9, 6), "b": 1.0}
+    with pytest.warns(UserWarning, match="after 1 sweeps"):
+        d.rake(cells, goals, most=1)
+    none = d.deviations(cells.limit(0).withColumn("probability", F.lit(1.0)), goals)
+    assert {r["reached"] for r in none.collect()} == {0.0}
+
+
 def test_sample_follows_the_probabilities(spark, prose):
     rows = [(i, prose(i, 20 + i % 7), "en" if i % 3 else "de", "hot" if i % 10 else f"s{i % 20}", 0) for i in range(2000)]
     got = d.mixed(spark.createDataFrame(rows, SCHEMA))
