@@ -319,12 +319,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold a window of the benchmark.
+    """``docs`` without the rows whose text holds a window of the benchmark.
 
-    All rows with the id of a contaminated one go; rows without an id stay.
+    Rows are told apart by a 64-bit hash of their text, so a clean text stays though its id is that of
+    a contaminated one, and rows without an id are judged like all others. Null and empty texts
+    and texts without words stay; very long ones are searched whole. With an empty benchmark all rows stay.
     """
-    _, found = find_matches(docs, benchmark, window, near=None)
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    own = F.xxhash64(F.col("text").cast("string"))
+    _, found = find_matches(docs.select(own.alias("doc_id"), "text"), benchmark, window, near=None)
+    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.xxhash64(docs["text"].cast("string")) == gone["_gone"], "left_anti")
 
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"

@@ -78,7 +78,11 @@ def test_empty_tables(spark, make):
 
 def test_stage_drops_contaminated_only(spark, make, prose):
     benchmark = spark.createDataFrame([(1, prose(1, 20))], "item_id bigint, text string")
-    docs = make([(1, "x " + prose(1, 20)), (2, prose(3, 20)), (None, prose(1, 20)), (4, None)], clashing=True)
+    docs = make(
+        [(1, "x " + prose(1, 20)), (2, prose(3, 20)), (None, prose(1, 20)), (None, prose(4, 20)), (1, prose(5, 20)), (4, None)],
+        clashing=True,
+    ).selectExpr("*", "doc_id AS _gone")
     got = d.without_contaminated(docs, benchmark)
     assert set(got.columns) == set(docs.columns)
-    assert sorted((r["doc_id"] for r in got.collect()), key=str) == [2, 4, None]
+    assert sorted((r["doc_id"] for r in got.collect()), key=str) == [1, 2, 4, None]
+    assert {r["text"] for r in got.collect()} == {prose(3, 20), prose(4, 20), prose(5, 20), None}
