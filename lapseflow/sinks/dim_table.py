@@ -13,26 +13,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lapseflow import schemas
 from lapseflow.operators import dims
+from lapseflow.session import delete_older, file_system
 
 # After so many versions one holds all members.
 WHOLE = 32
 _WHOLE, _ADDED = "whole", "added"
 
 
-def _place(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
 def versions(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
     """(number, kind, folder) of the versions that make up the dimension now, newest first."""
-    files, root = _place(spark, f"{path}-versions")
+    files, root = file_system(spark, f"{path}-versions")
     if not files.exists(root):
         return []
     named = [status.getPath() for status in files.listStatus(root) if status.getPath().getName().isdigit()]
@@ -49,11 +46,11 @@ def versions(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
 
 def _claim(spark: SparkSession, path: str, number: int, kind: str, folder: str) -> bool:
     """Make a folder the version ``number``; False if another writer has that number."""
-    files, draft = _place(spark, f"{path}-versions/draft-{folder}")
+    files, draft = file_system(spark, f"{path}-versions/draft-{folder}")
     out = files.create(draft, False)
     out.writeBytes(f"{kind} {folder}\n")
     out.close()
-    _, target = _place(spark, f"{path}-versions/{number}")
+    _, target = file_system(spark, f"{path}-versions/{number}")
     hadoop = spark._jvm.org.apache.hadoop.fs
     rename = getattr(hadoop, "Options$Rename")
     options = spark.sparkContext._gateway.new_array(rename, 1)
@@ -112,3 +109,23 @@ def grow(
         before_claim()
         if _claim(spark, path, now[0][0] + 1 if now else 1, kind, folder):
             return read(spark, path)
+
+
+def drop_unread(spark: SparkSession, path: str, before: datetime) -> int:
+    """Delete what the dimension's newest versions don't need and nobody has written to since ``before``; how many went.
+
+    These are members that a version with all of them repeats, members whose writer lost its version to another
+    and numbered again, and the entries of versions that no reader opens. Choose ``before`` so that no read
+    or load that began earlier is still running: a late load could claim a number that was freed.
+    """
+    now = versions(spark, path)
+    if not now:
+        return 0
+    read_now, oldest = {folder for _, _, folder in now}, now[-1][0]
+
+    def unread(entry: str) -> bool:
+        return int(entry) < oldest if entry.isdigit() else entry.startswith("draft-")
+
+    return delete_older(spark, path, before, lambda name: name not in read_now) + delete_older(
+        spark, f"{path}-versions", before, unread
+    )
