@@ -26,7 +26,8 @@ LISTING_ARCHIVES = "{all_listings.zip,all_listings[^_]*.zip}"
 def auction_json(spark: SparkSession, path: str | list[str], size: int = json_ranges.RANGE) -> DataFrame:
     """One row per listing of the JSON envelopes ``{meta, data[]}`` below ``path``.
 
-    Envelopes of over ``size`` bytes are read by a task for each such range; the others by one task each.
+    Envelopes of over ``size`` bytes are read by a task for each such range, or longer ones where that would be very
+    many (``files.range_size``); the others by one task each.
     A broken or cut-off one fails the read.
     """
     files = listed(spark, path)

@@ -7,6 +7,9 @@ from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Ranges that long files are cut into at most, as long as none gets longer than its reader bears.
+RANGES = 1 << 8
+
 
 def listed(spark: SparkSession, path: str | list[str], names: str | None = None) -> DataFrame:
     """(path, file_name, length) of the files below ``path``; nothing of their content is read.
@@ -24,3 +27,12 @@ def opened(path: str) -> pa.NativeFile:
         return LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
     store, place = FileSystem.from_uri(path)
     return store.open_input_file(place)
+
+
+def range_size(lengths: list[int], size: int, most: int) -> int:
+    """Bytes of a range of files of these lengths: ``size``, but up to ``most`` where that would make over RANGES ranges.
+
+    So their number, and with it what planning and starting their tasks takes, doesn't grow with the input before
+    ranges are ``most`` bytes long.
+    """
+    return max(size, min(most, -(-sum(lengths) // RANGES)))

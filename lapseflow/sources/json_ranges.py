@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from lapseflow.sources.files import opened
+from lapseflow.sources.files import opened, range_size
 
 #: Bytes of a range; a shorter document isn't cut.
 RANGE = 1 << 25
@@ -253,6 +253,10 @@ class _Reader(DataSourceReader):
         self._ranges = [Range(*r) for r in json.loads(options["ranges"])]
         self._block = int(options.get("block", BLOCK))
 
+    def __getstate__(self) -> dict:
+        # Every task gets the reader: it must not bring the ranges of all others.
+        return {**self.__dict__, "_ranges": []}
+
     def partitions(self) -> list[Range]:
         return self._ranges
 
@@ -284,9 +288,11 @@ class ListingRanges(DataSource):
 def long_documents(spark: SparkSession, files: list[tuple[str, int]], key: str = "data", size: int = RANGE, block: int = BLOCK) -> DataFrame:
     """(entry): the text of each element of the array ``key`` of each document, given as (path, length).
 
-    The driver holds a few numbers per range. A broken or cut-off document fails: in its outer text before
+    Ranges are of ``size`` bytes, longer ones (up to RANGE) where :func:`range_size` says so. The driver holds a few
+    numbers per range. A broken or cut-off document fails: in its outer text before
     anything is read, in a listing when the listing is parsed (``FAILFAST``).
     """
+    size = range_size([length for _, length in files], size, RANGE)
     pieces = [(path, low, min(low + size, length)) for path, length in files for low in range(0, length, size)]
     cut = spark.createDataFrame(pieces, "path STRING, start BIGINT, stop BIGINT").repartition(max(len(pieces), 1))
 
@@ -298,11 +304,11 @@ def long_documents(spark: SparkSession, files: list[tuple[str, int]], key: str =
                 yield pa.RecordBatch.from_pylist([row])
 
     ends = {(r.path, r.start): r for r in cut.mapInArrow(first, "path STRING, start BIGINT, stop BIGINT, ends ARRAY<BOOLEAN>, depths ARRAY<BIGINT>").collect()}
-    begun, inside, depth = [], False, 0
+    begun, inside, depth = {}, False, 0
     for path, low, high in pieces:
         if low == 0:
             inside, depth = False, 0
-        begun.append((path, low, high, inside, depth))
+        begun[path, low] = (path, low, high, inside, depth)
         end = ends[path, low]
         inside, depth = end.ends[inside], depth + end.depths[inside]
 
@@ -315,14 +321,14 @@ def long_documents(spark: SparkSession, files: list[tuple[str, int]], key: str =
                     names=["path", "start", "outer", "borders"],
                 )
 
-    known = spark.createDataFrame(begun, "path STRING, start BIGINT, stop BIGINT, inside BOOLEAN, depth BIGINT").repartition(max(len(begun), 1))
+    known = spark.createDataFrame([*begun.values()], "path STRING, start BIGINT, stop BIGINT, inside BOOLEAN, depth BIGINT").repartition(max(len(begun), 1))
     outers = {(r.path, r.start): r for r in known.mapInArrow(second, "path STRING, start BIGINT, outer BINARY, borders ARRAY<BIGINT>").collect()}
     parts = []
     for path, length in files:
         own = [outers[path, low] for low in range(0, length, size)]
         arrays = spans(b"".join(bytes(r.outer) for r in own), [b for r in own for b in r.borders], path, key)
-        for name, low, high, inside, depth in begun:
-            if name == path:
-                parts += [Range(path, low, high, inside, depth, a, b) for a, b in arrays if low <= b and a < high]
+        for low in range(0, length, size):
+            _, _, high, inside, depth = begun[path, low]
+            parts += [Range(path, low, high, inside, depth, a, b) for a, b in arrays if low <= b and a < high]
     spark.dataSource.register(ListingRanges)
     return spark.read.format("listing_ranges").option("ranges", json.dumps([astuple(p) for p in parts])).option("block", block).load()

@@ -7,8 +7,9 @@ import json
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
-from lapseflow.sources import auctions, json_ranges
+from lapseflow.sources import auctions, files, json_ranges
 from lapseflow.sources.json_ranges import Place, Range
 
 TEXTS = st.text(alphabet='ab"\\[]{},: \nä漢 ', max_size=8)
@@ -113,3 +114,23 @@ def test_a_long_document_that_is_broken_fails(spark, tmp_path, at):
         (tmp_path / "long.json").write_text(broken)
         with pytest.raises(Exception, match="(?i)malformed"):
             auctions.auction_json(spark, str(tmp_path), size=1 << 16).collect()
+
+
+def test_a_document_of_very_many_ranges_gets_longer_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "RANGES", 5)
+    (tmp_path / "long.json").write_text(json.dumps({"data": [entry(i) for i in range(2_000)]}))
+    cut = auctions.auction_json(spark, str(tmp_path), size=1 << 10)
+    assert 1 < cut.selectExpr("spark_partition_id() AS part").distinct().count() <= 5
+    assert sorted(int(r["link"]) for r in cut.collect()) == [*range(2_000)]
+
+
+def test_no_range_is_longer_than_its_reader_bears():
+    assert files.range_size([1 << 40], 1 << 16, 1 << 25) == 1 << 25
+    assert files.range_size([1 << 40], 1 << 26, 1 << 25) == 1 << 26
+    assert files.range_size([100, 200], 1 << 16, 1 << 25) == 1 << 16
+
+
+def test_a_task_does_not_bring_the_ranges_of_the_others():
+    readers = [json_ranges._Reader({"ranges": json.dumps([["p", i, i + 1, False, 0, 0, n] for i in range(n)])}) for n in (1, 5_000)]
+    assert len(readers[1].partitions()) == 5_000
+    assert len({len(cloudpickle.dumps(r.read)) for r in readers}) == 1
