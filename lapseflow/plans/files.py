@@ -152,7 +152,8 @@ def scan_auction_csv(x: Inputs) -> DataFrame:
 @query("scan_long_csv", _MARKET)
 def scan_long_csv(x: Inputs) -> DataFrame:
     """All listings as one marketplace file, which no task reads alone."""
-    path = x.landed("long-market", lambda to: market_rows(x).coalesce(1).write.csv(to, sep=";", encoding="UTF-16", header=True))
+    # One task writes the file; the rows come from many (coalesce would have it join them alone).
+    path = x.landed("long-market", lambda to: market_rows(x).repartition(1).write.csv(to, sep=";", encoding="UTF-16", header=True))
     return market_columns(auctions.market_csv(x.spark, path, size=LONG))
 
 

@@ -110,8 +110,8 @@ def zipped_auction_json(spark: SparkSession, path: str) -> DataFrame:
 def market_csv(spark: SparkSession, path: str | list[str], size: int = csv_ranges.RANGE) -> DataFrame:
     """The marketplace file: UTF-16, ``;`` between fields, a ``sep=;`` line, a header line.
 
-    Quotes within quotes are doubled. A file of over ``size`` bytes is read by a task for each such range, unless it
-    has quotes within plain fields; a shorter one or one with such quotes is read whole by one task.
+    Quotes within quotes are doubled. A file of over ``size`` bytes is read by a task for each such range, or longer
+    ones where that would be very many (``files.range_size``), unless it has quotes within plain fields; a shorter one or one with such quotes is read whole by one task.
     The two leading lines are dropped by content; rows without a name stay, for the rejects.
     """
     titles = [*schemas.MARKET_COLUMNS, *schemas.MARKET_EXTRA]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapseflow.sources.files import opened
+from lapseflow.sources.files import opened, range_size
 
 #: Bytes of a range; a shorter file isn't cut.
 RANGE = 1 << 24
@@ -94,9 +94,10 @@ def long_files(spark: SparkSession, files: list[tuple[str, int]], separator: str
 
     Those are files with quotes in other places, which only a reader from the beginning can tell apart.
     Quotes within quotes are doubled; records end with a line feed, with or without a carriage return. Empty
-    lines are no records. The driver holds three values per range.
+    lines are no records. Ranges are of ``size`` bytes, longer ones (up to RANGE) where :func:`range_size` says so. The
+    driver holds three values per range.
     """
-    size = size // 2 * 2
+    size = -(-range_size([length for _, length in files], size // 2 * 2, RANGE) // 2) * 2
     pieces = [(path, low, min(low + size, length)) for path, length in files for low in range(0, length, size)]
     layout = "path STRING, start BIGINT, stop BIGINT"
 

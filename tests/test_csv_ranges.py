@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lapseflow import schemas
-from lapseflow.sources import auctions, csv_ranges
+from lapseflow.sources import auctions, csv_ranges, files
 
 FIELDS = st.text(alphabet='ab";\n\r, äx漢🙂', max_size=6).map(lambda t: t.replace("\r\n", "\n").replace("\r", ""))
 
@@ -76,3 +76,12 @@ def test_only_short_files_and_hidden_ones(spark, tmp_path):
     (tmp_path / "short.csv").write_bytes(market_file(3))
     (tmp_path / "_SUCCESS").write_bytes(b"")
     assert auctions.market_csv(spark, str(tmp_path)).count() == 3
+
+
+def test_a_file_of_very_many_ranges_gets_longer_ones(spark, tmp_path, monkeypatch):
+    (tmp_path / "long.csv").write_bytes(market_file(3_000))
+    whole = bag(auctions.market_csv(spark, str(tmp_path)))
+    monkeypatch.setattr(files, "RANGES", 5)
+    cut = auctions.market_csv(spark, str(tmp_path), size=1_000)
+    assert cut.selectExpr("spark_partition_id() AS part").distinct().count() <= 5
+    assert bag(cut) == whole
