@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import zipfile
 from collections.abc import Iterator
+from operator import itemgetter
 
-import pandas as pd
 from pyarrow.fs import FileSystem, LocalFileSystem
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from lapseflow.functions import names
@@ -22,6 +23,8 @@ from lapseflow.sources import auctions, feeds, tables
 
 # Listings per landed envelope: bounds what one document, hence one task, holds.
 ENVELOPE_ROWS = 20_000
+# Bytes of a document that its archive's writer gets at once.
+PIECE = 1 << 16
 # Bytes of a range in the query of one long document, short enough that the smallest input has several.
 LONG = 1 << 16
 
@@ -83,20 +86,33 @@ def scan_listing_select(x: Inputs) -> DataFrame:
     return auctions.select_listing_files(x.listing().select(name.alias("file_name")))
 
 
+def document_pieces(documents: DataFrame) -> DataFrame:
+    """(file_name, piece): the bytes of each document in its order, at most PIECE in a row."""
+    # Bytes are cut where they lie; characters would be counted from the document's beginning for each piece.
+    raw = documents.select("file_name", F.col("document").cast("binary").alias("raw"))
+    last = F.floor((F.octet_length("raw") - 1) / PIECE).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring("raw", i * PIECE + 1, F.lit(PIECE)))
+    return raw.select("file_name", F.explode(pieces).alias("piece"))
+
+
 def land_archives(documents: DataFrame, path: str) -> None:
-    """Each document as an archive with one member, a file below ``path``."""
+    """Each document as an archive with one member, a file below ``path``; a task's Python holds some pieces of one."""
 
-    def archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def archives(rows: Iterator[Row]) -> None:
         store, root = FileSystem.from_uri(path) if "://" in path else (LocalFileSystem(), path.removeprefix("file:"))
         store.create_dir(root)
-        for batch in batches:
-            for name, document in zip(batch["file_name"], batch["document"], strict=True):
-                # A task that runs again writes the same file.
-                with store.open_output_stream(f"{root}/{name}") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr(name.rsplit(".", 1)[0], document)
-            yield pd.DataFrame({"file_name": batch["file_name"]})
-
-    documents.mapInPandas(archives, "file_name STRING").write.format("noop").mode("overwrite").save()
+        # The pieces of a document follow each other.
+        for name, group in itertools.groupby(rows, key=itemgetter("file_name")):
+            # A task that runs again writes the same file.
+            with (
+                store.open_output_stream(f"{root}/{name}") as file,
+                zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive,
+                archive.open(name.rsplit(".", 1)[0], "w") as member,
+            ):
+                for row in group:
+                    member.write(row["piece"])
+
+    document_pieces(documents).foreachPartition(archives)
 
 
 @query("load_feeds", "SELECT name, tld, registrar FROM fx_norm")

@@ -383,3 +383,18 @@ def test_retention_by_month_loses_nothing(spark, tmp_path):
     for side, test in zip(sides(), (">= 2021-03", "<= 2021-03"), strict=True):
         scans = side._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]
         assert len(scans) == 2 and all("month" in s.split("]")[0] and test in s.split("PushedFilters")[0] for s in scans)
+
+
+def test_archives_are_written_in_pieces(spark, tmp_path):
+    from lapseflow.plans import files as plans
+
+    # Letters of two bytes, so that pieces end within some; many long documents in one task.
+    texts = {f"all_listings{i}.json.zip": "x" * (i % 2) + "é" * (plans.PIECE * i // 2) + "漢" for i in range(8)}
+    documents = spark.createDataFrame([*texts.items()], "file_name STRING, document STRING").coalesce(1)
+    sizes = plans.document_pieces(documents).selectExpr("max(octet_length(piece))", "count(*)").first()
+    assert sizes[0] == plans.PIECE and sizes[1] == sum(-(-len(t.encode()) // plans.PIECE) for t in texts.values())
+    plans.land_archives(documents, str(tmp_path / "archives"))
+    for name, text in texts.items():
+        with zipfile.ZipFile(tmp_path / "archives" / name) as archive:
+            assert archive.namelist() == [name.removesuffix(".zip")]
+            assert archive.read(archive.namelist()[0]).decode() == text
