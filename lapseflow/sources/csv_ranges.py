@@ -3,7 +3,7 @@
 Ranges are cut between two-byte units. Whether a range begins within quotes depends on how many quotes
 stand before it, so a first pass counts them; it also tests, for both cases, that quotes stand where they
 open or close a field. A range then reads the records whose line break lies in it, the last one on into
-the next range; breaks within quotes end no record.
+the next range; breaks within quotes end no record. A task holds a block of its range and the records in it.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from lapseflow.sources.files import opened, range_size
 RANGE = 1 << 24
 #: Bytes of the longest record.
 MOST = 1 << 26
+#: Bytes that are looked at together, whole units.
+BLOCK = 1 << 20
 _QUOTE, _LINE, _RETURN = 0x22, 0x0A, 0x0D
 _MARK = 0xFEFF
 
@@ -37,41 +39,63 @@ def _order(file: pa.NativeFile) -> str:
     return "<u2" if file.read(2) == b"\xff\xfe" else ">u2"
 
 
-def quote_counts(path: str, start: int, stop: int, separator: str = ";") -> tuple[int, bool, bool]:
+def quote_counts(path: str, start: int, stop: int, separator: str = ";", block: int = BLOCK) -> tuple[int, bool, bool]:
     """Quotes in a range, and whether all open or close a field if it begins outside, and if within quotes."""
+    count, outside, inside = 0, True, True
+    ends = [ord(separator), _LINE, _QUOTE]
     with opened(path) as file:
         kind = _order(file)
-        # One unit more on each side, if there is one.
-        low = max(start - 2, 0)
-        units = _units(file, low, stop + 2, kind)
-    at = np.flatnonzero(units == _QUOTE)
-    at = at[(at >= (start - low) // 2) & (at < (stop - low) // 2)]
-    ends = [ord(separator), _LINE, _QUOTE]
-    around = np.concatenate([[_LINE], units, [_LINE]])
-    opens = np.isin(around[at], [*ends, _MARK])
-    closes = np.isin(around[at + 2], [*ends, _RETURN])
-    first, second = slice(None, None, 2), slice(1, None, 2)
-    outside = bool(opens[first].all() and closes[second].all())
-    return len(at), outside, bool(closes[first].all() and opens[second].all())
-
-
-def records(path: str, start: int, stop: int, inside: bool) -> list[str]:
-    """The records that follow a line break in the range, and the first one of the file."""
+        for at in range(start, stop, block):
+            # One unit more on each side, if there is one.
+            low, high = max(at - 2, 0), min(at + block, stop)
+            units = _units(file, low, high + 2, kind)
+            quotes = np.flatnonzero(units == _QUOTE)
+            quotes = quotes[(quotes >= (at - low) // 2) & (quotes < (high - low) // 2)]
+            around = np.full(len(units) + 2, _LINE, units.dtype)
+            around[1:-1] = units
+            opens = np.isin(around[quotes], [*ends, _MARK])
+            closes = np.isin(around[quotes + 2], [*ends, _RETURN])
+            # Which of them open if the range begins outside, and which if within quotes.
+            even, odd = (slice(count % 2, None, 2), slice(1 - count % 2, None, 2))
+            outside &= bool(opens[even].all() and closes[odd].all())
+            inside &= bool(closes[even].all() and opens[odd].all())
+            count += len(quotes)
+    return count, outside, inside
+
+
+def record_blocks(path: str, start: int, stop: int, inside: bool, block: int = BLOCK) -> Iterator[list[str]]:
+    """The records that follow a line break in the range, and the first one of the file, block by block."""
     with opened(path) as file:
         kind = _order(file)
-        units = _units(file, start, stop, kind)
         text = "utf-16-le" if kind == "<u2" else "utf-16-be"
 
         def breaks(of: np.ndarray, within: bool) -> tuple[np.ndarray, bool]:
             quotes, lines = np.flatnonzero(of == _QUOTE), np.flatnonzero(of == _LINE)
             return lines[(np.searchsorted(quotes, lines) + within) % 2 == 0], bool((len(quotes) + within) % 2)
 
-        cuts, within = breaks(units, inside)
-        first = 0 if start == 0 else int(cuts[0]) + 1 if len(cuts) else None
-        if first is None:
-            return []
+        def texts(found: list[bytes]) -> list[str]:
+            return [x for raw in found if (x := raw.decode(text).removesuffix("\r"))]
+
+        # What was read of the record that goes on in the next block; before the range's first record: none.
+        held = b"" if start == 0 else None
+        within = inside
+        for at in range(start, stop, block):
+            units = _units(file, at, min(at + block, stop), kind)
+            cuts, within = breaks(units, within)
+            raw, found = units.tobytes(), []
+            low = int(at == 0 and len(units) > 0 and units[0] == _MARK)
+            for cut in cuts.tolist():
+                if held is not None:
+                    found.append(held + raw[2 * low : 2 * cut])
+                held, low = b"", cut + 1
+            if held is not None:
+                held += raw[2 * low :]
+            if found:
+                yield texts(found)
+        if held is None:
+            return
         # On to the end of the last record.
-        parts, at, size = [units[first:].tobytes()], stop, 1 << 16
+        parts, at, size = [held], stop, 1 << 16
         while len(more := _units(file, at, at + size, kind)):
             found, within_next = breaks(more, within)
             parts.append(more[: found[0] if len(found) else len(more)].tobytes())
@@ -80,13 +104,12 @@ def records(path: str, start: int, stop: int, inside: bool) -> list[str]:
             at, within, size = at + 2 * len(more), within_next, 2 * size
             if at - stop > MOST:
                 raise ValueError(f"malformed file {path}: a record of over {MOST} bytes")
-    raw = b"".join(parts)
-    cuts = np.unique(np.concatenate([cuts[cuts >= first] - first, [len(raw) // 2]]))
-    lows = np.concatenate([[0], cuts[:-1] + 1])
-    found = [raw[2 * a : 2 * b].decode(text).removesuffix("\r") for a, b in zip(lows.tolist(), cuts.tolist(), strict=True)]
-    if start == 0:
-        found[0] = found[0].removeprefix(chr(_MARK))
-    return [x for x in found if x]
+        yield texts([b"".join(parts)])
+
+
+def records(path: str, start: int, stop: int, inside: bool) -> list[str]:
+    """All of :func:`record_blocks` at once."""
+    return [record for found in record_blocks(path, start, stop, inside) for record in found]
 
 
 def long_files(spark: SparkSession, files: list[tuple[str, int]], separator: str = ";", size: int = RANGE) -> tuple[DataFrame, list[str]]:
@@ -124,7 +147,8 @@ def long_files(spark: SparkSession, files: list[tuple[str, int]], separator: str
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(records(**row), pa.string())], names=["record"])
+                for found in record_blocks(**row):
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["record"])
 
     return known.repartition(max(len(begun), 1)).mapInArrow(read, "record STRING"), sorted(odd)
 

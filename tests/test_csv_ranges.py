@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import random
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings
@@ -85,3 +86,39 @@ def test_a_file_of_very_many_ranges_gets_longer_ones(spark, tmp_path, monkeypatc
     cut = auctions.market_csv(spark, str(tmp_path), size=1_000)
     assert cut.selectExpr("spark_partition_id() AS part").distinct().count() <= 5
     assert bag(cut) == whole
+
+
+@pytest.mark.parametrize("block", [2, 6, 64])
+def test_blocks_cut_anywhere_change_nothing(tmp_path, block):
+    path = tmp_path / "long.csv"
+    for data in (market_file(40), market_file(40).decode("utf-16").encode("utf-16-be")):
+        path.write_bytes(data)
+        inside, size = False, 300
+        for low in range(0, len(data), size):
+            high = min(low + size, len(data))
+            counted = csv_ranges.quote_counts(str(path), low, high)
+            assert csv_ranges.quote_counts(str(path), low, high, block=block) == counted
+            found = [r for part in csv_ranges.record_blocks(str(path), low, high, inside, block) for r in part]
+            assert found == csv_ranges.records(str(path), low, high, inside)
+            inside = (counted[0] + inside) % 2 == 1
+
+
+def test_quotes_in_plain_fields_are_noticed_in_any_block(tmp_path):
+    path = tmp_path / "market.csv"
+    path.write_bytes(market_file(40, odd=True))
+    for block in (2, 6, 64):
+        assert not csv_ranges.quote_counts(str(path), 0, path.stat().st_size, block=block)[1]
+
+
+def test_a_range_is_not_held_whole(tmp_path):
+    path = tmp_path / "long.csv"
+    path.write_bytes(market_file(1_000) * 80)
+    size = path.stat().st_size
+    tracemalloc.start()
+    try:
+        csv_ranges.quote_counts(str(path), 0, size, block=1 << 16)
+        read = sum(len(part) for part in csv_ranges.record_blocks(str(path), 0, size, False, 1 << 16))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert read > 70_000 and peak < size / 4
